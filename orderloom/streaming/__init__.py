@@ -1,0 +1 @@
+"""Empty on purpose: the order-line workload is batch only, there is no stream to process."""
