@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,18 @@ def as_rate(value: Column) -> Column:
     return F.bround(value, 4).try_cast(RATE)
 
 
+def sum_cents(name: str) -> Column:
+    """Sum of an amount in whole cents.
+
+    Adding 64-bit integers avoids a decimal object per row; ANSI mode reports an overflow.
+    """
+    return F.sum((F.col(name) * 100).cast("bigint")).alias(name)
+
+
+def dollars(cents: Column) -> Column:
+    return (cents.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Double quotient; null when the denominator is zero or null."""
     divisor = denominator.cast("double")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.functions import dates, money
 from orderloom.operators.model import Warehouse
 from orderloom.operators.validate import repeated_keys, unresolved_keys
 from orderloom.schema import (
@@ -21,55 +20,55 @@ from orderloom.schema import (
 )
 
 
-def _value_rules(limits: Limits) -> dict[str, dict[str, Column]]:
+def _value_rules(limits: Limits) -> dict[str, dict[str, str]]:
     """Conditions that hold for a valid row; as in SQL, null satisfies a check."""
-    quantity, discount = F.col("quantity"), F.col("discount")
-    price, cost = F.col("unit_price"), F.col("unit_cost")
     return {
         "dim_date": {
-            "day_range": F.col("day").between(1, 31),
-            "month_range": F.col("month").between(1, 12),
-            "quarter_range": F.col("quarter").between(1, 4),
-            "year_range": F.col("year").between(limits.min_year, limits.max_year),
-            "date_key_matches_date": F.col("date_key") == dates.date_key(F.col("full_date")),
+            "day_range": "day BETWEEN 1 AND 31",
+            "month_range": "month BETWEEN 1 AND 12",
+            "quarter_range": "quarter BETWEEN 1 AND 4",
+            "year_range": f"year BETWEEN {limits.min_year} AND {limits.max_year}",
+            "date_key_matches_date": (
+                "date_key = year(full_date) * 10000 + month(full_date) * 100 + day(full_date)"
+            ),
         },
         "dim_customer": {
-            "customer_key_positive": F.col("customer_key") > 0,
-            "customer_id_format": F.col("customer_id").rlike(limits.customer_id),
+            "customer_key_positive": "customer_key > 0",
+            "customer_id_format": f"customer_id RLIKE '{limits.customer_id}'",
         },
-        "dim_category": {"category_key_positive": F.col("category_key") > 0},
+        "dim_category": {"category_key_positive": "category_key > 0"},
         "dim_product": {
-            "product_key_positive": F.col("product_key") > 0,
-            "product_id_format": F.col("product_id").rlike(limits.product_id),
+            "product_key_positive": "product_key > 0",
+            "product_id_format": f"product_id RLIKE '{limits.product_id}'",
         },
-        "dim_channel": {"channel_key_positive": F.col("channel_key") > 0},
+        "dim_channel": {"channel_key_positive": "channel_key > 0"},
         "fact_sales": {
-            "sales_key_positive": F.col("sales_key") > 0,
-            "transaction_id_format": F.col("transaction_id").rlike(limits.transaction_id),
-            "line_number_positive": F.col("line_number") > 0,
-            "quantity_positive": quantity > 0,
-            "unit_price_positive": price > 0,
-            "discount_range": discount.between(0, 1),
-            "revenue_nonnegative": F.col("revenue") >= 0,
-            "unit_cost_nonnegative": cost >= 0,
-            "total_cost_nonnegative": F.col("total_cost") >= 0,
-            "revenue_calculation": F.col("revenue") == money.line_revenue(price, quantity, discount),
-            "cost_calculation": F.col("total_cost") == money.line_cost(cost, quantity),
-            "profit_calculation": F.col("profit") == F.col("revenue") - F.col("total_cost"),
+            "sales_key_positive": "sales_key > 0",
+            "transaction_id_format": f"transaction_id RLIKE '{limits.transaction_id}'",
+            "line_number_positive": "line_number > 0",
+            "quantity_positive": "quantity > 0",
+            "unit_price_positive": "unit_price > 0",
+            "discount_range": "discount BETWEEN 0 AND 1",
+            "revenue_nonnegative": "revenue >= 0",
+            "unit_cost_nonnegative": "unit_cost >= 0",
+            "total_cost_nonnegative": "total_cost >= 0",
+            "revenue_calculation": "revenue = round(unit_price * quantity * (1 - discount), 2)",
+            "cost_calculation": "total_cost = round(unit_cost * quantity, 2)",
+            "profit_calculation": "profit = revenue - total_cost",
         },
     }
 
 
-def _declared_rules(table: str) -> dict[str, Column]:
+def _declared_rules(table: str) -> dict[str, str]:
     """Not-null, text-length and decimal-precision rules that follow from the schema."""
-    rules: dict[str, Column] = {}
+    rules: dict[str, str] = {}
     for field in TABLES[table].fields:
-        rules[f"{field.name}_not_null"] = F.col(field.name).isNotNull()
-        if isinstance(field.dataType, T.DecimalType):
-            fitted = F.col(field.name).try_cast(field.dataType)
-            rules[f"{field.name}_precision"] = fitted.eqNullSafe(F.col(field.name))
+        name, kind = field.name, field.dataType
+        rules[f"{name}_not_null"] = f"{name} IS NOT NULL"
+        if isinstance(kind, T.DecimalType):
+            rules[f"{name}_precision"] = f"try_cast({name} AS {kind.simpleString()}) <=> {name}"
     for column, length in TEXT_LIMITS[table].items():
-        rules[f"{column}_length"] = F.length(column) <= length
+        rules[f"{column}_length"] = f"length({column}) <= {length}"
     return rules
 
 
@@ -84,7 +83,9 @@ def _row(frame: DataFrame, table: str, name: str, count: Column) -> DataFrame:
 def _row_constraints(table: str, frame: DataFrame, limits: Limits) -> DataFrame:
     """All single-row constraints of a table in one pass."""
     rules = {**_declared_rules(table), **_value_rules(limits)[table]}
-    counts = frame.agg(*[F.count_if(~rule).alias(name) for name, rule in rules.items()])
+    counts = frame.selectExpr(
+        *[f"count_if(NOT ({rule})) AS {name}" for name, rule in rules.items()]
+    )
     return counts.unpivot([], list(rules), "constraint_name", "violations").select(
         F.lit(table).alias("table_name"), "constraint_name", "violations"
     )

@@ -162,12 +162,12 @@ def enrich_sales(warehouse: Warehouse) -> DataFrame:
 
     Dimension keys must be unique, which `validate.require_valid_model` checks.
     """
-    products = warehouse.dim_product.join(warehouse.dim_category, "category_key")
     return (
         warehouse.fact_sales.join(
             warehouse.dim_date.select("date_key", "full_date", "year"), "date_key"
         )
         .join(warehouse.dim_customer, "customer_key")
-        .join(products, "product_key")
+        .join(warehouse.dim_product, "product_key")
+        .join(warehouse.dim_category, "category_key")
         .join(warehouse.dim_channel, "channel_key")
     )

@@ -175,12 +175,13 @@ def number_within(
 ) -> DataFrame:
     """ROW_NUMBER per group; groups above `limit` rows are sorted by many tasks."""
     sizes = frame.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    large = stage(sizes.where(F.col("_size") > limit).select(group), "large-groups")
+    large = sizes.where(F.col("_size") > limit).select(group)
     window = Window.partitionBy(group).orderBy(*order)
     numbered = F.row_number().over(window).cast("bigint")
     if large.isEmpty():
         return frame.withColumn(name, numbered)
     # At most (rows / limit) groups can be large, so their list is small enough to broadcast.
+    large = stage(large, "large-groups")
     usual = frame.join(F.broadcast(large), group, "left_anti").withColumn(name, numbered)
     # Full copies tie in every column; the scan position spreads them over tasks as well.
     hot = frame.join(F.broadcast(large), group, "left_semi").withColumn(

@@ -23,82 +23,90 @@ class OrderGrain(Warehouse):
 def order_grain(warehouse: Warehouse) -> OrderGrain:
     """Sum lines to orders once, for the many KPIs that do not look at products."""
     keys = ["transaction_id", "date_key", "customer_key", "channel_key"]
-    orders = stage(warehouse.fact_sales.groupBy(*keys).agg(*_sums()), "orders")
-    return OrderGrain(**{**warehouse.tables(), "fact_sales": orders})
-
-
-# Segment attribute -> dimension that owns it.
-ATTRIBUTES = {
-    "year": "dim_date",
-    "month": "dim_date",
-    "customer_id": "dim_customer",
-    "region": "dim_customer",
-    "product_id": "dim_product",
-    "product_name": "dim_product",
-    "category_name": "dim_product",
-    "channel_name": "dim_channel",
-}
-_KEYS = {
-    "dim_date": "date_key",
-    "dim_customer": "customer_key",
-    "dim_product": "product_key",
-    "dim_channel": "channel_key",
-}
-
-
-def _lookup(warehouse: Warehouse, dimension: str, attributes: list[str]) -> DataFrame:
-    """Key and wanted attributes of one dimension."""
-    if dimension == "dim_product":
-        source = warehouse.dim_product
-        if "category_name" in attributes:
-            source = source.join(warehouse.dim_category, "category_key")
-    elif dimension == "dim_date":
-        source = warehouse.dim_date.select(
-            "date_key", "year", dates.month_start(F.col("full_date")).alias("month")
-        )
-    else:
-        source = getattr(warehouse, dimension)
-    return source.select(_KEYS[dimension], *attributes)
+    orders = warehouse.fact_sales.groupBy(*keys).agg(*_cent_sums())
+    staged = stage(_in_dollars(orders), "orders")
+    return OrderGrain(**{**warehouse.tables(), "fact_sales": staged})
+
+
+DATE_ATTRIBUTES = ["year", "month"]
+CUSTOMER_ATTRIBUTES = ["customer_id", "region"]
+
+
+def _cent_sums() -> list[Column]:
+    return [money.sum_cents("revenue"), money.sum_cents("profit"), F.sum("quantity").alias("quantity")]
 
 
 def _sums() -> list[Column]:
     return [F.sum(name).alias(name) for name in SUMS]
 
 
+def _in_dollars(sums: DataFrame) -> DataFrame:
+    return sums.withColumns({name: money.dollars(F.col(name)) for name in ("revenue", "profit")})
+
+
+def _early_keys(warehouse: Warehouse, by: list[str]) -> tuple[DataFrame, list[str]]:
+    """Fact lines with the narrow columns that stand for all but the customer attributes."""
+    lines = warehouse.fact_sales
+    keys = [name for name in by if name in DATE_ATTRIBUTES]
+    if keys:
+        days = warehouse.dim_date.select(
+            "date_key", "year", dates.month_start(F.col("full_date")).alias("month")
+        )
+        lines = lines.join(days.select("date_key", *keys), "date_key")
+    if "product_id" in by:
+        keys.append("product_key")
+    elif "category_name" in by:
+        products = warehouse.dim_product.select("product_key", "category_key")
+        lines = lines.join(products, "product_key")
+        keys.append("category_key")
+    if "channel_name" in by:
+        keys.append("channel_key")
+    return lines, keys
+
+
 def customer_totals(warehouse: Warehouse, by: list[str] | None = None) -> DataFrame:
-    """One row per customer and segment: sums and number of orders.
+    """One row per customer key and segment key: sums and number of orders.
 
-    Lines shrink to orders, orders to customers, each step with map-side partial sums, so a hot
+    Lines shrink to orders and orders to customers, each step with map-side partial sums, so a hot
     order, customer or segment costs one row per task. An order has exactly one customer, which
-    makes both counts exact without a distinct aggregate. Dimensions other than the customer are
-    joined first because the segment is part of the grouping; the customer dimension, the one
-    that may be large, is joined last, to the shrunken rows.
+    makes both counts exact without a distinct aggregate.
     """
-    by = by or []
-    lines = warehouse.fact_sales
-    early = [name for name in by if ATTRIBUTES[name] != "dim_customer"]
-    late = [name for name in by if ATTRIBUTES[name] == "dim_customer"]
-    for dimension in dict.fromkeys(ATTRIBUTES[name] for name in early):
-        wanted = [name for name in early if ATTRIBUTES[name] == dimension]
-        lines = lines.join(_lookup(warehouse, dimension, wanted), _KEYS[dimension])
+    lines, keys = _early_keys(warehouse, by or [])
+    sums = _cent_sums()
     if not isinstance(warehouse, OrderGrain):
-        lines = lines.groupBy("transaction_id", "customer_key", *early).agg(*_sums())
-    customers = lines.groupBy("customer_key", *early).agg(
-        *_sums(), F.count(F.lit(1)).alias("transactions")
+        lines = lines.groupBy("transaction_id", "customer_key", *keys).agg(*sums)
+        sums = _sums()
+    customers = lines.groupBy("customer_key", *keys).agg(
+        *sums, F.count(F.lit(1)).alias("transactions")
     )
-    if late:
-        customers = customers.join(_lookup(warehouse, "dim_customer", late), "customer_key")
-    return customers
+    return _in_dollars(customers)
 
 
 def segment_totals(warehouse: Warehouse, by: list[str]) -> DataFrame:
-    """Exact decimal sums and distinct counts per segment."""
+    """Exact decimal sums and distinct counts per segment.
+
+    Only integer keys travel through the shuffles of the fact; names are joined to the totals. The
+    customer dimension, which may be large, meets one row per customer.
+    """
     customers = customer_totals(warehouse, by)
-    return customers.groupBy(*by).agg(
+    late = [name for name in by if name in CUSTOMER_ATTRIBUTES]
+    if late:
+        customers = customers.join(
+            warehouse.dim_customer.select("customer_key", *late), "customer_key"
+        )
+    keys = [c for c in customers.columns if c not in ("customer_key", "transactions", *SUMS)]
+    totals = customers.groupBy(*keys).agg(
         *_sums(),
         F.sum("transactions").alias("transactions"),
         F.count(F.lit(1)).alias("unique_customers"),
     )
+    if "product_key" in keys:
+        totals = totals.join(warehouse.dim_product, "product_key")
+    if "category_name" in by:
+        totals = totals.join(warehouse.dim_category, "category_key")
+    if "channel_key" in keys:
+        totals = totals.join(warehouse.dim_channel, "channel_key")
+    return totals.select(*by, *SUMS, "transactions", "unique_customers")
 
 
 def measures(totals: DataFrame, keys: list[str]) -> DataFrame:

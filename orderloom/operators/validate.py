@@ -6,10 +6,9 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions import money
 from orderloom.functions.parsing import PARSERS, typed_columns
 from orderloom.operators.model import Warehouse
 from orderloom.schema import FOREIGN_KEYS, PRIMARY_KEYS, RAW_COLUMNS, RawDataError
@@ -44,59 +43,52 @@ def _with_types(raw: DataFrame) -> DataFrame:
     return plain.select("*", F.struct(*typed_columns(plain, RAW_COLUMNS)).alias("t"))
 
 
-def _unparsed(name: str) -> Column:
-    return F.col(name).isNotNull() & F.col(f"t.{name}").isNull()
-
-
-def _row_rules() -> dict[str, Column]:
-    """Rules on single rows; a null value breaks the null rule only."""
-    numbers = [name for name in PARSERS if name != "order_date"]
-    return {
-        "null_values": reduce(or_, [F.col(name).isNull() for name in RAW_COLUMNS]),
-        "invalid_order_date": _unparsed("order_date"),
-        "invalid_numbers": reduce(or_, [_unparsed(name) for name in numbers]),
-        "nonpositive_counts": (F.col("t.line_number") <= 0) | (F.col("t.quantity") <= 0),
-        "nonpositive_prices": (F.col("t.unit_price") <= 0) | (F.col("t.unit_cost") <= 0),
-        "negative_amounts": (F.col("t.revenue") < 0) | (F.col("t.total_cost") < 0),
-        "discount_out_of_range": ~F.col("t.discount").between(0, 1),
-        "financial_mismatch": _financial_mismatch(),
-    }
-
-
-def _expected() -> dict[str, Column]:
-    revenue = money.line_revenue(F.col("t.unit_price"), F.col("t.quantity"), F.col("t.discount"))
-    cost = money.line_cost(F.col("t.unit_cost"), F.col("t.quantity"))
-    return {"revenue": revenue, "total_cost": cost, "profit": revenue - cost}
-
+# Amounts of a line as their formulas give them, from the typed values.
+EXPECTED = {
+    "revenue": "round(t.unit_price * t.quantity * (1 - t.discount), 2)",
+    "total_cost": "round(t.unit_cost * t.quantity, 2)",
+    "profit": (
+        "round(t.unit_price * t.quantity * (1 - t.discount), 2)"
+        " - round(t.unit_cost * t.quantity, 2)"
+    ),
+}
 
-def _financial_mismatch() -> Column:
-    return reduce(
-        or_,
-        [F.bround(F.col(f"t.{name}"), 2) != value for name, value in _expected().items()],
-    )
+FINANCIAL_MISMATCH = " OR ".join(
+    f"bround(t.{name}, 2) <> {formula}" for name, formula in EXPECTED.items()
+)
+
+# Violations on single rows; a null value breaks the null rule only.
+ROW_RULES = {
+    "null_values": " OR ".join(f"{name} IS NULL" for name in RAW_COLUMNS),
+    "invalid_order_date": "order_date IS NOT NULL AND t.order_date IS NULL",
+    "invalid_numbers": " OR ".join(
+        f"({name} IS NOT NULL AND t.{name} IS NULL)" for name in PARSERS if name != "order_date"
+    ),
+    "nonpositive_counts": "t.line_number <= 0 OR t.quantity <= 0",
+    "nonpositive_prices": "t.unit_price <= 0 OR t.unit_cost <= 0",
+    "negative_amounts": "t.revenue < 0 OR t.total_cost < 0",
+    "discount_out_of_range": "t.discount NOT BETWEEN 0 AND 1",
+    "financial_mismatch": FINANCIAL_MISMATCH,
+}
 
 
 def row_checks(raw: DataFrame) -> DataFrame:
     """Counts of all single-row rules in one pass."""
-    rules = _row_rules()
-    counts = _with_types(raw).agg(
-        F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("empty_dataset"),
-        *[F.count_if(rule).alias(name) for name, rule in rules.items()],
+    counts = _with_types(raw).selectExpr(
+        "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS empty_dataset",
+        *[f"count_if({rule}) AS {name}" for name, rule in ROW_RULES.items()],
     )
-    return _as_rows(counts, ["empty_dataset", *rules])
+    return _as_rows(counts, ["empty_dataset", *ROW_RULES])
 
 
 def _as_rows(counts: DataFrame, names: list[str]) -> DataFrame:
     """One wide row of counts to (check_no, check_name, violation_count) rows."""
-    entries = [
-        F.struct(
-            F.lit(CHECK_NUMBERS[name]).alias("check_no"),
-            F.lit(name).alias("check_name"),
-            F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias("violation_count"),
-        )
-        for name in names
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+    entries = ", ".join(
+        f"{CHECK_NUMBERS[name]}, '{name}', coalesce(CAST({name} AS BIGINT), 0)" for name in names
+    )
+    return counts.selectExpr(
+        f"stack({len(names)}, {entries}) AS (check_no, check_name, violation_count)"
+    )
 
 
 def null_columns(raw: DataFrame) -> DataFrame:
@@ -118,12 +110,12 @@ def financial_mismatches(raw: DataFrame) -> DataFrame:
     """Lines whose amounts differ from their formulas, with the expected amounts."""
     return (
         _with_types(raw)
-        .where(_financial_mismatch())
-        .select(
+        .where(FINANCIAL_MISMATCH)
+        .selectExpr(
             "transaction_id",
             "line_number",
-            *[F.bround(f"t.{name}", 2).alias(name) for name in _expected()],
-            *[value.alias(f"expected_{name}") for name, value in _expected().items()],
+            *[f"bround(t.{name}, 2) AS {name}" for name in EXPECTED],
+            *[f"{formula} AS expected_{name}" for name, formula in EXPECTED.items()],
         )
     )
 

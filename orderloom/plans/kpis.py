@@ -26,6 +26,7 @@ from orderloom.operators.segments import (
     segment_totals,
     with_yoy,
 )
+from orderloom.sources.staging import stage
 
 TOP_CUSTOMERS = 10
 
@@ -164,7 +165,12 @@ def product_performance(
 def product_sums(warehouse: Warehouse) -> DataFrame:
     """Revenue, profit and margin per product key, before any join."""
     sums = warehouse.fact_sales.groupBy("product_key").agg(
-        F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit")
+        money.sum_cents("revenue"), money.sum_cents("profit")
+    )
+    sums = sums.select(
+        "product_key",
+        money.dollars(F.col("revenue")).alias("revenue"),
+        money.dollars(F.col("profit")).alias("profit"),
     )
     return sums.withColumn("margin", money.ratio(F.col("profit"), F.col("revenue")))
 
@@ -201,7 +207,8 @@ CUSTOMER = ["customer_id", "region"]
 
 def customer_performance(warehouse: Warehouse) -> DataFrame:
     """Measures per customer with lifetime names, unranked."""
-    totals = customer_totals(warehouse, CUSTOMER).withColumn("unique_customers", F.lit(1))
+    totals = customer_totals(warehouse).join(warehouse.dim_customer, "customer_key")
+    totals = totals.withColumn("unique_customers", F.lit(1))
     return measures(totals, CUSTOMER).withColumnsRenamed(
         {"revenue": "lifetime_revenue", "profit": "lifetime_profit"}
     )
@@ -224,6 +231,12 @@ def customer_value(warehouse: Warehouse, *, limit: int = SINGLE_TASK_ROWS) -> Da
     return ranked.withColumn("revenue_share", money.ratio(F.col("lifetime_revenue"), total))
 
 
+def customer_revenue(warehouse: Warehouse) -> DataFrame:
+    """Revenue per customer key."""
+    cents = warehouse.fact_sales.groupBy("customer_key").agg(money.sum_cents("revenue"))
+    return cents.select("customer_key", money.dollars(F.col("revenue")).alias("revenue"))
+
+
 def top_customers(warehouse: Warehouse, n: int) -> DataFrame:
     return top_rows(customer_performance(warehouse), _by_revenue(), n)
 
@@ -232,7 +245,7 @@ def top_customer_concentration(
     warehouse: Warehouse, n: int = TOP_CUSTOMERS, *, limit: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
     """Revenue of the n best customers and its share; n is clamped to the customers there are."""
-    customers = warehouse.fact_sales.groupBy("customer_key").agg(F.sum("revenue").alias("revenue"))
+    customers = customer_revenue(warehouse)
     order = [F.col("revenue").desc(), F.col("customer_key")]
     top = top_rows(customers, order, max(n, 0), limit).agg(
         F.count(F.lit(1)).alias("top_customer_count"), F.sum("revenue").alias("top_revenue")
@@ -292,14 +305,16 @@ def calculate_kpis(warehouse: Warehouse, *, top_customer_count: int = TOP_CUSTOM
     """All KPI frames of a filter context.
 
     Seven of the ten need no products, so they share one staged roll-up of the fact to orders.
+    Frames that several reports and rules read are staged as well.
     """
     orders = order_grain(warehouse)
-    by_category = category_annual(warehouse)
+    by_category = stage(category_annual(warehouse), "category-annual")
+    products = stage(product_performance(warehouse), "products")
     return KPIResults(
         overview=executive_overview(orders),
         annual=annual_performance(orders),
         monthly=monthly_trend(orders),
-        products=product_performance(warehouse),
+        products=products,
         categories=category_performance(warehouse, by_category),
         category_annual=by_category,
         regions=region_performance(orders),

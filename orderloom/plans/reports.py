@@ -130,9 +130,7 @@ def top_customers(warehouse: Warehouse, n: int = TOP_CUSTOMERS) -> DataFrame:
 
 def customer_revenue_histogram(warehouse: Warehouse, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Customers per equal-width revenue bin; one bin when all revenues are equal."""
-    customers = warehouse.fact_sales.groupBy("customer_key").agg(
-        F.sum("revenue").cast("double").alias("revenue")
-    )
+    customers = kpis.customer_revenue(warehouse).select(F.col("revenue").cast("double"))
     edges = customers.agg(F.struct(F.min("revenue").alias("low"), F.max("revenue").alias("high")))
     placed = customers.withColumn("edges", edges.scalar())
     low, high = F.col("edges.low"), F.col("edges.high")
