@@ -80,7 +80,7 @@ def _row(frame: DataFrame, table: str, name: str, count: Column) -> DataFrame:
     )
 
 
-def _row_constraints(table: str, frame: DataFrame, limits: Limits) -> DataFrame:
+def row_constraints(table: str, frame: DataFrame, limits: Limits) -> DataFrame:
     """All single-row constraints of a table in one pass."""
     rules = {**_declared_rules(table), **_value_rules(limits)[table]}
     counts = frame.selectExpr(
@@ -98,7 +98,7 @@ def constraint_report(warehouse: Warehouse, limits: Limits = Limits()) -> DataFr
     """
     parts = []
     for table, frame in warehouse.tables().items():
-        parts.append(_row_constraints(table, frame, limits))
+        parts.append(row_constraints(table, frame, limits))
         for columns in ([PRIMARY_KEYS[table]], NATURAL_KEYS[table]):
             repeated = repeated_keys(frame.dropna(subset=columns), columns)
             name = "_".join(columns) + "_unique"

@@ -192,4 +192,5 @@ def number_within(
     hot = indexed.join(F.broadcast(first), group).withColumn(
         name, F.col("_position") - F.col("_first") + 1
     )
-    return usual.unionByName(hot.select(*frame.columns, name))
+    columns = [*frame.columns, name]
+    return usual.select(*columns).unionByName(hot.select(*columns))

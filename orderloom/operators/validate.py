@@ -5,13 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.parsing import PARSERS, typed_columns
 from orderloom.operators.model import Warehouse
 from orderloom.schema import FOREIGN_KEYS, PRIMARY_KEYS, RAW_COLUMNS, RawDataError
+from orderloom.sources.raw_csv import contract_errors
 
 # Natural key -> attributes that every row of the key must agree on.
 RELATIONSHIPS = {
@@ -158,12 +158,8 @@ def validate_source(raw: DataFrame) -> DataFrame:
 
 def require_valid(raw: DataFrame) -> DataFrame:
     """Return the lines, or raise for the first broken rule."""
-    try:
+    with contract_errors():
         rows = validate_source(raw).collect()
-    except PySparkException as error:
-        if "MALFORMED" in str(error):
-            raise RawDataError("unable to read raw sales data: malformed record") from error
-        raise
     failed = [row for row in sorted(rows, key=lambda row: row.check_no) if row.violation_count]
     if failed:
         raise RawDataError(_explain(raw, failed[0].check_name))

@@ -10,7 +10,7 @@ from orderloom.operators.model import Warehouse, build_warehouse
 from orderloom.operators.validate import require_valid
 from orderloom.schema import Limits
 from orderloom.sources import warehouse_store
-from orderloom.sources.raw_csv import read_raw_sales
+from orderloom.sources.raw_csv import contract_errors, read_raw_sales
 from orderloom.sources.staging import stage
 
 
@@ -22,7 +22,9 @@ def load_raw(
     The lines are landed as Parquet first: every check and every dimension then reads only its
     own columns instead of parsing the text again.
     """
-    landed = require_valid(stage(raw, "landed"))
+    with contract_errors():
+        landed = stage(raw, "landed")
+    require_valid(landed)
     # Null and unresolved keys are among the checks that run before a version is published.
     return warehouse_store.publish(build_warehouse(landed), root, rebuild=rebuild, limits=limits)
 

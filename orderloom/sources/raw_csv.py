@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,17 @@ NULL_TEXTS = [
 ]
 
 
+@contextmanager
+def contract_errors() -> Iterator[None]:
+    """Report a record that Spark cannot split into the contract columns as a contract error."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as error:
+        if "MALFORMED" not in str(error):
+            raise
+        raise RawDataError("unable to read raw sales data: malformed record") from error
+
+
 def require_columns(frame: DataFrame) -> DataFrame:
     """Check names, drop extra columns and restore the contract order."""
     missing = sorted(set(RAW_COLUMNS) - set(frame.columns))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,7 +85,8 @@ def _read(spark: SparkSession, version: Version) -> Warehouse:
         schema = TABLES[name]
         if name == "fact_sales":
             schema = T.StructType([*schema.fields, T.StructField(PARTITION_COLUMN, T.IntegerType())])
-        tables[name] = spark.read.schema(schema).parquet(*paths)
+        loads = [spark.read.schema(schema).parquet(path) for path in paths]
+        tables[name] = reduce(DataFrame.unionByName, loads)
     return Warehouse(**tables)
 
 
@@ -158,10 +160,7 @@ def row_counts(warehouse: Warehouse) -> DataFrame:
         table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         for name, table in warehouse.tables().items()
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def without_partition_column(warehouse: Warehouse) -> Warehouse:
