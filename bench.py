@@ -1,8 +1,9 @@
 """Time the headline queries on local cores; prints one JSON line.
 
-`warehouse_load` covers everything from the source tables to a published warehouse: contract rows,
-validation, star schema, constraint checks, publish. The other queries read that warehouse, as
-they would on a cluster. Every query is collected in full.
+`order_lines` brings the source tables into the raw contract; `warehouse_load` validates the lines,
+builds the star schema, checks it and publishes it. Both run once, in a cold session. The other
+queries read the published warehouse, are collected in full and run twice: `queries` has the second
+run, `first_run` the one that still compiles its code. `value` adds both loads and the second runs.
 """
 
 from __future__ import annotations
@@ -65,8 +66,11 @@ def main() -> None:
     timed("order_lines", lambda: lake.raw)
     timed("warehouse_load", lambda: lake.root)
     queries = registry.queries()
+    first: dict[str, float] = {}
     for name in HEADLINE:
         timed(name, lambda: queries[name](spark, folder).collect())
+        first[name] = times[name]
+        timed(name, lambda: queries[name](spark, folder).collect())
     release(spark)
     print(
         json.dumps(
@@ -75,6 +79,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "first_run": first,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.operators import keys
 from orderloom.operators.model import Warehouse
-from orderloom.operators.validate import repeated_keys, unresolved_keys
 from orderloom.schema import (
     FOREIGN_KEYS,
     NATURAL_KEYS,
@@ -72,14 +72,6 @@ def _declared_rules(table: str) -> dict[str, str]:
     return rules
 
 
-def _row(frame: DataFrame, table: str, name: str, count: Column) -> DataFrame:
-    return frame.agg(
-        F.lit(table).alias("table_name"),
-        F.lit(name).alias("constraint_name"),
-        F.coalesce(count, F.lit(0)).cast("bigint").alias("violations"),
-    )
-
-
 def row_constraints(table: str, frame: DataFrame, limits: Limits) -> DataFrame:
     """All single-row constraints of a table in one pass."""
     rules = {**_declared_rules(table), **_value_rules(limits)[table]}
@@ -96,14 +88,22 @@ def constraint_report(warehouse: Warehouse, limits: Limits = Limits()) -> DataFr
 
     Unique constraints count repeated keys, references count rows with a known but missing key.
     """
-    parts = []
-    for table, frame in warehouse.tables().items():
-        parts.append(row_constraints(table, frame, limits))
-        for columns in ([PRIMARY_KEYS[table]], NATURAL_KEYS[table]):
-            repeated = repeated_keys(frame.dropna(subset=columns), columns)
-            name = "_".join(columns) + "_unique"
-            parts.append(_row(repeated, table, name, F.count(F.lit(1))))
-    for table, key, owner in FOREIGN_KEYS:
-        missing = unresolved_keys(warehouse, table, key, owner).where(F.col(key).isNotNull())
-        parts.append(_row(missing, table, f"{key}_reference", F.sum("rows")))
-    return reduce(DataFrame.unionByName, parts)
+    tables = warehouse.tables()
+    rows = [row_constraints(table, frame, limits) for table, frame in tables.items()]
+    unique = {
+        f"{table}.{'_'.join(columns)}_unique": (table, columns)
+        for table in tables
+        for columns in ([PRIMARY_KEYS[table]], NATURAL_KEYS[table])
+    }
+    references = {
+        f"{table}.{key}_reference": (table, key, owner) for table, key, owner in FOREIGN_KEYS
+    }
+    keyed = keys.repeated_key_counts(tables, unique, ignore_null=True).unionByName(
+        keys.unresolved_row_counts(tables, references, ignore_null=True)
+    )
+    named = keyed.select(
+        F.substring_index("rule", ".", 1).alias("table_name"),
+        F.substring_index("rule", ".", -1).alias("constraint_name"),
+        "violations",
+    )
+    return reduce(DataFrame.unionByName, [*rows, named])

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import money
+from orderloom.operators import keys
 from orderloom.operators.model import Warehouse
-from orderloom.operators.validate import repeated_keys, unresolved_keys
 from orderloom.schema import FACT_COLUMNS, FOREIGN_KEYS, NATURAL_KEYS
 
 # Report names of the checks on keys.
@@ -22,6 +22,8 @@ DUPLICATE_CHECKS = {
     "duplicate_sales_lines": "fact_sales",
 }
 
+ORPHAN_CHECKS = {f"orphan_{key}s": (table, key, owner) for table, key, owner in FOREIGN_KEYS}
+
 # Dimension columns covered by the null check.
 DIMENSION_NULL_COLUMNS = {
     "dim_date": ["full_date", "month", "year"],
@@ -32,25 +34,23 @@ DIMENSION_NULL_COLUMNS = {
 }
 
 
-def _result(name: str, frame: DataFrame, count: Column) -> DataFrame:
-    violations = F.coalesce(count, F.lit(0)).cast("bigint").alias("violation_count")
-    return frame.agg(F.lit(name).alias("check_name"), violations)
-
-
 def _null_in(columns: list[str]) -> Column:
     return reduce(or_, [F.col(name).isNull() for name in columns])
 
 
-def check_orphans(warehouse: Warehouse, table: str, key: str, owner: str) -> DataFrame:
-    rows = unresolved_keys(warehouse, table, key, owner)
-    return _result(f"orphan_{key}s", rows, F.sum("rows"))
+def _named(counts: DataFrame) -> DataFrame:
+    return counts.withColumnsRenamed({"rule": "check_name", "violations": "violation_count"})
+
 
+def check_orphans(warehouse: Warehouse) -> DataFrame:
+    """Rows whose key is null or unknown, per reference."""
+    return _named(keys.unresolved_row_counts(warehouse.tables(), ORPHAN_CHECKS))
 
-def check_duplicates(warehouse: Warehouse, name: str) -> DataFrame:
-    """Number of repeated keys, not of surplus rows."""
-    table = DUPLICATE_CHECKS[name]
-    groups = repeated_keys(warehouse.tables()[table], NATURAL_KEYS[table])
-    return _result(name, groups, F.count(F.lit(1)))
+
+def check_duplicates(warehouse: Warehouse) -> DataFrame:
+    """Number of repeated natural keys, not of surplus rows."""
+    rules = {name: (table, NATURAL_KEYS[table]) for name, table in DUPLICATE_CHECKS.items()}
+    return _named(keys.repeated_key_counts(warehouse.tables(), rules))
 
 
 def line_mismatch() -> Column:
@@ -80,16 +80,17 @@ def check_dimension_nulls(warehouse: Warehouse) -> DataFrame:
         warehouse.tables()[name].agg(F.count_if(_null_in(columns)).alias("n"))
         for name, columns in DIMENSION_NULL_COLUMNS.items()
     ]
-    return _result(
-        "unexpected_dimension_nulls", reduce(DataFrame.unionByName, parts), F.sum("n")
+    return reduce(DataFrame.unionByName, parts).agg(
+        F.lit("unexpected_dimension_nulls").alias("check_name"),
+        F.sum("n").alias("violation_count"),
     )
 
 
 def integrity_report(warehouse: Warehouse) -> DataFrame:
     """(check_name, violation_count) of all checks; each reads only the columns it needs."""
     checks = [
-        *[check_orphans(warehouse, *reference) for reference in FOREIGN_KEYS],
-        *[check_duplicates(warehouse, name) for name in DUPLICATE_CHECKS],
+        check_orphans(warehouse),
+        check_duplicates(warehouse),
         check_fact_rows(warehouse),
         check_dimension_nulls(warehouse),
     ]
@@ -97,16 +98,12 @@ def integrity_report(warehouse: Warehouse) -> DataFrame:
 
 
 def orphan_lines(warehouse: Warehouse) -> DataFrame:
-    """Rows behind the orphan checks: reference, key value, rows that use it."""
-    parts = [
-        unresolved_keys(warehouse, table, key, owner).select(
-            F.lit(f"orphan_{key}s").alias("check_name"),
-            F.col(key).cast("bigint").alias("key_value"),
-            F.col("rows").alias("line_count"),
-        )
-        for table, key, owner in FOREIGN_KEYS
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """What the orphan checks count: reference, key value and the rows that use it."""
+    return keys.unresolved_keys(warehouse.tables(), ORPHAN_CHECKS).select(
+        F.col("rule").alias("check_name"),
+        F.col("key").cast("bigint").alias("key_value"),
+        F.col("rows").alias("line_count"),
+    )
 
 
 def fact_row_count(warehouse: Warehouse) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.parsing import PARSERS, typed_columns
+from orderloom.operators import keys
 from orderloom.operators.model import Warehouse
 from orderloom.schema import FOREIGN_KEYS, PRIMARY_KEYS, RAW_COLUMNS, RawDataError
 from orderloom.sources.raw_csv import contract_errors
@@ -147,11 +148,11 @@ def unstable_keys(raw: DataFrame, key: str) -> DataFrame:
 def validate_source(raw: DataFrame) -> DataFrame:
     """All source checks: (check_no, check_name, violation_count)."""
     report = row_checks(raw)
-    keyed = {
+    grouped = {
         "duplicate_lines": duplicate_lines(raw),
         **{f"unstable_{key}": unstable_keys(raw, key) for key in RELATIONSHIPS},
     }
-    for name, rows in keyed.items():
+    for name, rows in grouped.items():
         report = report.unionByName(_as_rows(rows.agg(F.count(F.lit(1)).alias(name)), [name]))
     return report
 
@@ -197,33 +198,23 @@ def model_nulls(warehouse: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def unresolved_keys(warehouse: Warehouse, table: str, key: str, owner: str) -> DataFrame:
-    """Key values of `table` that `owner` does not have, with their row counts.
-
-    Counting per key first leaves one row per key for the join, however hot the key is.
-    """
-    tables = warehouse.tables()
-    used = tables[table].groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return used.join(tables[owner].select(key), key, "left_anti")
-
-
 def model_foreign_keys(warehouse: Warehouse) -> DataFrame:
     """Distinct unresolved keys and the rows that use them, per reference."""
-    parts = [
-        unresolved_keys(warehouse, table, key, owner).agg(
-            F.lit(table).alias("table_name"),
-            F.lit(key).alias("key_name"),
-            F.count(F.lit(1)).alias("unresolved_keys"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("unresolved_rows"),
-        )
-        for table, key, owner in FOREIGN_KEYS
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def repeated_keys(table: DataFrame, columns: list[str]) -> DataFrame:
-    return (
-        table.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    rules = {f"{table}.{key}": (table, key, owner) for table, key, owner in FOREIGN_KEYS}
+    zeros = keys.zero_counts(warehouse.spark, list(rules)).select(
+        "rule", F.lit(0).alias("keys"), F.col("violations").alias("rows")
+    )
+    found = keys.unresolved_keys(warehouse.tables(), rules).select(
+        "rule", F.lit(1).alias("keys"), "rows"
+    )
+    totals = found.unionByName(zeros).groupBy("rule").agg(
+        F.sum("keys").alias("unresolved_keys"), F.sum("rows").alias("unresolved_rows")
+    )
+    return totals.select(
+        F.substring_index("rule", ".", 1).alias("table_name"),
+        F.substring_index("rule", ".", -1).alias("key_name"),
+        "unresolved_keys",
+        "unresolved_rows",
     )
 
 
@@ -234,6 +225,6 @@ def require_valid_model(warehouse: Warehouse) -> Warehouse:
     for row in model_foreign_keys(warehouse).where("unresolved_keys > 0").collect():
         raise RawDataError(f"{row.table_name} contains unresolved {row.key_name} values")
     for name, table in warehouse.dimensions().items():
-        if not repeated_keys(table, [PRIMARY_KEYS[name]]).isEmpty():
+        if not keys.repeated_keys(table, [PRIMARY_KEYS[name]]).isEmpty():
             raise RawDataError(f"{name} repeats {PRIMARY_KEYS[name]} values")
     return warehouse

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.operators import constraints, filters, integrity, model, validate
+from orderloom.operators import constraints, filters, integrity, keys, model, validate
 from orderloom.operators.segments import segment_performance
 from orderloom.plans import insights, kpis, reconcile, reports, sqlkpis
 from orderloom.plans.load_job import load_raw
@@ -211,7 +211,7 @@ CHECKS: dict[str, Query] = {
     "integrity_clean": lambda lake: integrity.integrity_report(lake.warehouse),
     "integrity_dirty": lambda lake: integrity.integrity_report(lake.dirty),
     "orphan_lines": lambda lake: integrity.orphan_lines(lake.dirty),
-    "duplicate_lines": lambda lake: validate.repeated_keys(
+    "duplicate_lines": lambda lake: keys.repeated_keys(
         lake.dirty.fact_sales, ["transaction_id", "line_number"]
     ),
     "fact_row_count": lambda lake: integrity.fact_row_count(lake.warehouse),
