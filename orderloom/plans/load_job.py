@@ -19,21 +19,23 @@ def load_raw(
 ) -> Warehouse:
     """Validate raw lines, build the star schema and publish it.
 
-    The lines are landed as Parquet first: every check and every dimension then reads only its
-    own columns instead of parsing the text again.
+    Null and unresolved keys are among the checks that run before a version is published.
     """
-    with contract_errors():
-        landed = stage(raw, "landed")
-    require_valid(landed)
-    # Null and unresolved keys are among the checks that run before a version is published.
-    return warehouse_store.publish(build_warehouse(landed), root, rebuild=rebuild, limits=limits)
+    warehouse = build_warehouse(require_valid(raw))
+    return warehouse_store.publish(warehouse, root, rebuild=rebuild, limits=limits)
 
 
 def load_csv(
     spark: SparkSession, path: str, root: str, *, rebuild: bool = True, limits: Limits = Limits()
 ) -> DataFrame:
-    """Load a CSV file or folder; returns rows per table."""
-    published = load_raw(read_raw_sales(spark, path), root, rebuild=rebuild, limits=limits)
+    """Load a CSV file or folder; returns rows per table.
+
+    The lines are landed as Parquet first: every check and every dimension then reads only its
+    own columns instead of parsing the text again.
+    """
+    with contract_errors():
+        landed = stage(read_raw_sales(spark, path), "landed")
+    published = load_raw(landed, root, rebuild=rebuild, limits=limits)
     return warehouse_store.row_counts(published)
 
 

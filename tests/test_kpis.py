@@ -1,4 +1,4 @@
-from dataclasses import replace
+import re
 from datetime import date
 
 import pytest
@@ -167,7 +167,7 @@ def test_filters_combine(warehouse):
 def test_stored_fact_is_pruned_by_year(sample):
     plan = filter_warehouse(sample.warehouse, years=[1996]).fact_sales._jdf.queryExecution()
     text = plan.executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(sale_year" in text or "(sale_year" in text
+    assert re.search(r"PartitionFilters: \[[^]]*sale_year", text)
 
 
 def test_filter_options_come_from_dimensions(warehouse):
