@@ -71,7 +71,9 @@ def check_fact_rows(warehouse: Warehouse) -> DataFrame:
         "financial_reconciliation_failures": line_mismatch(),
         "unexpected_fact_nulls": _null_in(columns),
     }
-    counts = warehouse.fact_sales.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    counts = warehouse.fact_sales.agg(
+        *[F.count_if(rule).alias(name) for name, rule in rules.items()]
+    )
     return counts.unpivot([], list(rules), "check_name", "violation_count")
 
 

@@ -33,7 +33,8 @@ CUSTOMER_ATTRIBUTES = ["customer_id", "region"]
 
 
 def _cent_sums() -> list[Column]:
-    return [money.sum_cents("revenue"), money.sum_cents("profit"), F.sum("quantity").alias("quantity")]
+    amounts = [money.sum_cents(name) for name in ("revenue", "profit")]
+    return [*amounts, F.sum("quantity").alias("quantity")]
 
 
 def _sums() -> list[Column]:

@@ -84,7 +84,8 @@ def _read(spark: SparkSession, version: Version) -> Warehouse:
     for name, paths in version.items():
         schema = TABLES[name]
         if name == "fact_sales":
-            schema = T.StructType([*schema.fields, T.StructField(PARTITION_COLUMN, T.IntegerType())])
+            partition = T.StructField(PARTITION_COLUMN, T.IntegerType())
+            schema = T.StructType([*schema.fields, partition])
         loads = [spark.read.schema(schema).parquet(path) for path in paths]
         tables[name] = reduce(DataFrame.unionByName, loads)
     return Warehouse(**tables)
