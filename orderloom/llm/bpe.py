@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from orderloom.llm.workers import in_arrow
+
 # Fixed value: the pre-tokenizer's pattern of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -375,7 +377,8 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFram
                 [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
             )
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(
+    return in_arrow(
+        docs.selectExpr("cast(doc_id as bigint) doc_id", "text"),
         run, "doc_id bigint, ids array<int>"
     )
 
@@ -395,7 +398,7 @@ def decode_ids(rows: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 [batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"]
             )
 
-    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return in_arrow(rows.select("doc_id", "ids"), run, "doc_id bigint, text string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -421,6 +424,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(
+    return in_arrow(
+        docs.selectExpr("cast(doc_id as bigint) doc_id", "text"),
         run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )
