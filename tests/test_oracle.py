@@ -16,7 +16,8 @@ def duck():
 
 
 def test_every_query_has_reference_sql():
-    assert set(entry.queries()) == set(ORACLES) == set(registry.ALL)
+    assert set(registry.ALL) <= set(entry.queries())
+    assert set(registry.ALL) <= set(ORACLES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", registry.ALL)
