@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _sent: set[str] = set()
 
@@ -27,7 +28,7 @@ def send_package(spark: SparkSession) -> None:
     _sent.add(context.applicationId)
 
 
-def in_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
+def in_arrow(frame: DataFrame, function, schema: str | StructType) -> DataFrame:
     """mapInArrow with this package at hand."""
     send_package(frame.sparkSession)
     return frame.mapInArrow(function, schema)
