@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, fingerprints, lines, packing, secret_scan, sharding, simhash
+from orderloom.llm import (
+    bpe,
+    fingerprints,
+    lines,
+    packing,
+    secret_scan,
+    sharding,
+    simhash,
+    substrings,
+    vectors,
+)
 from orderloom.llm.columns import documents
 
 
@@ -42,10 +52,18 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_report(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(documents(spark, sf_dir))
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
@@ -61,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_bpe,
         op3_simhash,
         op4_packing,
+        op5_substrings,
         op7_line_dedup,
+        op8_vectors,
         op9_sharding,
         op10_secrets,
     )
@@ -97,4 +117,30 @@ SELECT d.doc_id, coalesce(k.n_lines, 0)::BIGINT AS n_lines,
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
-ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+# Every window's words as one text; covered words are those of a window that a smaller doc_id has.
+OP5_SQL = r"""
+WITH cut AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, at, array_to_string(words[at:at + 12], ' ') AS seq
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS at FROM cut)
+), least AS (
+    SELECT seq, min(doc_id) AS first_doc FROM windows GROUP BY seq HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(at, at + 12)) AS at
+    FROM windows JOIN least USING (seq) WHERE first_doc < doc_id
+), words AS (
+    SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS at FROM cut
+), kept AS (
+    SELECT w.doc_id, count(g.at) AS n_removed,
+           coalesce(string_agg(w.word, ' ' ORDER BY w.at) FILTER (g.at IS NULL), '') AS text
+    FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.at = g.at
+    GROUP BY w.doc_id
+)
+SELECT c.doc_id, len(c.words)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM cut c LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op5_substrings": OP5_SQL, "op7_line_dedup": OP7_SQL}

@@ -23,6 +23,7 @@ repeated label rows count once.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -188,12 +189,14 @@ def _support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: floa
     return w
 
 
-def _sigmoid(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the label's probability, by Newton steps on smoothed targets."""
+def _sigmoid(margins: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
+    """Slope and shift of the label's probability, by Newton steps on smoothed targets.
+
+    `share` of the labelled documents are toxic; the sample holds another proportion.
+    """
     positive, negative = labels.sum(), (1 - labels).sum()
     target = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
-    # Both labels weigh alike, as the sample holds them in another proportion than the corpus.
-    weight = np.where(labels == 1, 0.5 / positive, 0.5 / negative)
+    weight = np.where(labels == 1, share / positive, (1 - share) / negative)
     x = np.stack([margins.astype(np.float64), np.ones(len(margins))], axis=1)
     w = np.array([1.0, 0.0])
     for _ in range(50):
@@ -244,9 +247,24 @@ def _similarity(strings: list[str], one: str) -> np.ndarray:
     return found
 
 
-def fit(sentences: list[tuple[int, list[list[str]]]]) -> Model:
+def _without_copies(documents: list[tuple[int, list[str]]]) -> list[tuple[int, list[str]]]:
+    """Documents that share less than half of their eight smallest unit hashes with an earlier one."""
+    seen: dict[int, set[int]] = {}
+    kept = []
+    for n, (label, units) in enumerate(documents):
+        least = sorted({zlib.crc32(u.encode("utf-8", "surrogatepass")) for u in units})[:8]
+        shared = Counter(k for h in least for k in seen.get(h, ()))
+        if shared and max(shared.values()) * 2 >= len(least):
+            continue
+        for h in least:
+            seen.setdefault(h, set()).add(n)
+        kept.append((label, units))
+    return kept
+
+
+def fit(sentences: list[tuple[int, list[list[str]]]], share: float = 0.1) -> Model:
     """Train on documents given as (label, sentences), a sentence being its distinct units."""
-    documents = [(y, [u for s in ss for u in s]) for y, ss in sentences]
+    documents = _without_copies([(y, [u for s in ss for u in s]) for y, ss in sentences])
     toxic = [us for y, us in documents if y == 1 and us]
     clean = [us for y, us in documents if y == 0 and us]
     if not toxic or not clean:
@@ -261,21 +279,27 @@ def fit(sentences: list[tuple[int, list[list[str]]]]) -> Model:
     bags = [np.array([place[u] for u in us]) for us in toxic]
     clean_units = np.unique(np.concatenate([[place[u] for u in us] for us in clean]))
     score = np.array([odds[u] for u in every])
+    # Units that several toxic documents have and hardly a clean one are examples in any case.
+    bad, good = Counter(u for d in toxic for u in set(d)), Counter(u for d in clean for u in set(d))
+    strong = np.array([bad[u] > 2 and 30 * good[u] < bad[u] and len(u) >= ORDER for u in every])
+    telling = score > 1
+    witnesses = [bag[strong[bag]] for bag in bags]
     best_piece = owner_start.copy()
     rng = np.random.default_rng(6)
     w = np.zeros(features.shape[1] + 1)
     for turn in range(ROUNDS):
-        witness, uses = np.unique([bag[np.argmax(score[bag])] for bag in bags], return_counts=True)
+        highest = [bag[[np.argmax(score[bag])]] for bag in bags]
+        witness, uses = np.unique(np.concatenate(highest + witnesses), return_counts=True)
         # Toxic documents whose best unit is far off have no witness: their label is left aside.
-        believed = score[witness] > -1
-        if turn and believed.any():
+        believed = strong[witness] | (telling[witness] & ((score[witness] > -1) | (turn == 0)))
+        if believed.any():
             witness, uses = witness[believed], uses[believed]
         often = witness[np.argsort(-uses, kind="stable")][: 4 * LANDMARKS].tolist()
         altered = [_inserted(every[k], rng) for k in often if len(every[k]) > 3 for _ in range(2)]
         hardest = clean_units[np.argsort(-score[clean_units], kind="stable")[:4000]]
         others = rng.choice(clean_units, min(8000, len(clean_units)), replace=False)
         negative = np.union1d(hardest, others)
-        negative = np.setdiff1d(negative, witness[uses > 1])
+        negative = np.setdiff1d(negative, np.flatnonzero(strong))
         parts = [features[best_piece[witness]], features[best_piece[negative]]]
         labels = [np.ones(len(witness)), -np.ones(len(negative))]
         costs = [uses / uses.sum(), np.full(len(negative), 2.0 / max(1, len(negative)))]
@@ -291,7 +315,7 @@ def fit(sentences: list[tuple[int, list[list[str]]]]) -> Model:
         )
     tops = np.array([max(score[place[u]] for u in us) for us in toxic + clean])
     labels = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
-    slope, shift = _sigmoid(tops, labels)
+    slope, shift = _sigmoid(tops, labels, share)
     return Model(landmarks, w[:-1].astype(np.float32), float(w[-1]), slope, shift)
 
 
@@ -341,7 +365,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         "_id bigint, _toxic int, sentences array<array<string>>",
     ).collect()
     ordered = sorted(cut, key=lambda r: (r["_id"], r["sentences"]))
-    return fit([(r["_toxic"], r["sentences"]) for r in ordered])
+    sizes = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
+    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    return fit([(r["_toxic"], r["sentences"]) for r in ordered], share)
 
 
 class Scorer:
