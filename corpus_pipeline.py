@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import lines, packing, secret_scan, simhash
+from orderloom.llm import lines, packing, secret_scan, simhash, toxicity
 from orderloom.llm.columns import documents
 from orderloom.sources.staging import stage
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go; it learns from the labelled ones at hand."""
+    return toxicity.reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go, their first occurrence and all documents stay."""
     return lines.strip_documents(docs)
@@ -34,6 +39,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxic),
     ("line_dedup", line_dedup),
     ("simhash_near_dedup", near_dedup),
     ("secret_scan", secrets),

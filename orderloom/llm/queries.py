@@ -16,6 +16,7 @@ from orderloom.llm import (
     sharding,
     simhash,
     substrings,
+    toxicity,
     vectors,
 )
 from orderloom.llm.columns import documents
@@ -56,6 +57,10 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_report(documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(documents(spark, sf_dir))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_simhash,
         op4_packing,
         op5_substrings,
+        op6_toxicity,
         op7_line_dedup,
         op8_vectors,
         op9_sharding,

@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.workers import in_arrow
@@ -39,14 +39,15 @@ from orderloom.llm.workers import in_arrow
 ORDER = 3
 DECAY = 0.7
 LANDMARKS = 36
-PER_CLASS = 1_500
+PER_CLASS = 1_000
 ROUNDS = 4
+RIDGE = 0.003
 LIMIT = 0.3
 
 # Longer units are cut into pieces that overlap by half.
 LONGEST = 24
 _START = "\x02"
-_AT_ONCE = 384
+_AT_ONCE = 128
 _REMEMBERED = 1_000_000
 _SLICE_CHARS = 4_000_000
 _ROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
@@ -89,23 +90,23 @@ def _kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Subsequence kernel of strings given as codes, the last axis being units.
 
     left: (T, N). right: (..., L, N) or (..., L, 1). Equal codes match, other pads differ.
+
+    A common subsequence weighs DECAY to the length of its span in either string. Sums over all that
+    start earlier are kept as if every span began at the strings' starts, so that a start costs
+    DECAY to minus its places and an end DECAY to its places; between them only sums are left.
     """
     shape = np.broadcast_shapes(right.shape, (*right.shape[:-1], left.shape[1]))
-    levels = [np.ones(shape, np.float32)] + [np.zeros(shape, np.float32) for _ in range(ORDER - 1)]
+    chains = [np.zeros(shape, np.float32) for _ in range(ORDER - 1)]
     total = np.zeros((*shape[:-2], shape[-1]), np.float32)
-    decay, both = np.float32(DECAY), np.float32(DECAY * DECAY)
-    for codes in left:
-        match = (right == codes).astype(np.float32) * both
-        total += (match * levels[-1]).sum(axis=-2)
-        # levels[i][b]: subsequences of i characters in the left prefix and right[:b], decayed to here.
-        for i in range(ORDER - 1, 0, -1):
-            new = match * levels[i - 1]
-            level = levels[i]
-            level *= decay
-            ahead = np.zeros((*shape[:-2], shape[-1]), np.float32)
-            for b in range(shape[-2] - 1):
-                ahead = ahead * decay + new[..., b, :]
-                level[..., b + 1, :] += ahead
+    places = np.float32(DECAY) ** np.arange(shape[-2], dtype=np.float32)[:, None]
+    for a, codes in enumerate(left):
+        match = (right == codes).astype(np.float32)
+        decay = np.float32(DECAY) ** np.float32(a)
+        # chains[i][b]: weight of the subsequences of i + 1 characters before a and before b.
+        total += (match * chains[-1] * (places * (decay * DECAY * DECAY))).sum(axis=-2)
+        for i in range(ORDER - 2, -1, -1):
+            new = match * (chains[i - 1] if i else 1 / (places * decay))
+            chains[i][..., 1:, :] += np.cumsum(new[..., :-1, :], axis=-2)
     return total
 
 
@@ -174,7 +175,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins.astype(np.float64) + self.shift, -60, 60)))
 
 
-def _support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+def _support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Linear machine with squared hinge loss by Newton steps; the last weight is the offset."""
     x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
     w = np.zeros(x.shape[1])
@@ -208,31 +209,19 @@ def _sigmoid(margins: np.ndarray, labels: np.ndarray, share: float) -> tuple[flo
     return float(w[0]), float(w[1])
 
 
-def _choose_landmarks(toxic: list[list[str]], clean: list[list[str]]) -> tuple[Landmarks, dict[str, float]]:
-    """Landmarks unlike each other: units that tell the labels apart, and common clean ones."""
-    bad, good = Counter(u for d in toxic for u in set(d)), Counter(u for d in clean for u in set(d))
-    odds = {
-        u: math.log((bad[u] + 0.2) / (len(toxic) + 0.4)) - math.log((good[u] + 0.2) / (len(clean) + 0.4))
-        for u in bad.keys() | good.keys()
-    }
-    # Rare units tell little: the count tempers the odds.
-    telling = sorted(odds, key=lambda u: (-odds[u] * math.log1p(bad[u]), u))
-    telling = [u for u in telling if odds[u] > 0.5 and len(u) >= ORDER and bad[u] > 1][: 40 * LANDMARKS]
-    common = [u for u, _ in sorted(good.items(), key=lambda p: (-p[1], p[0])) if len(u) > ORDER][: 4 * LANDMARKS]
+def _unlike(units: list[str], many: int, alike: float) -> list[str]:
+    """The first `many` of the units, each less than `alike` to those before it."""
+    strings = [_START + u[:LONGEST] for u in units]
+    near = np.zeros(len(strings), np.float32)
     chosen: list[str] = []
-    for pool, many in ((telling, LANDMARKS * 3 // 4), (common, LANDMARKS // 4)):
-        if not pool:
-            continue
-        strings = [_pieces(u)[0] for u in pool]
-        near = np.zeros(len(strings), np.float32)
-        for _ in range(min(many, len(strings))):
-            far = np.flatnonzero(near < 0.5)
-            if not far.size:
-                break
-            pick = strings[far[0]]
-            chosen.append(pick)
-            near = np.maximum(near, _similarity(strings, pick))
-    return Landmarks(chosen or [_START + "none"]), odds
+    while len(chosen) < many:
+        far = np.flatnonzero(near < alike)
+        if not far.size:
+            break
+        chosen.append(strings[far[0]])
+        near = np.maximum(near, _similarity(strings, chosen[-1]))
+        near[far[0]] = 1
+    return chosen
 
 
 def _similarity(strings: list[str], one: str) -> np.ndarray:
@@ -262,6 +251,65 @@ def _without_copies(documents: list[tuple[int, list[str]]]) -> list[tuple[int, l
     return kept
 
 
+class _Sample:
+    """Training documents as bags of units, with what is known of each unit."""
+
+    def __init__(self, toxic: list[list[str]], clean: list[list[str]]):
+        self.units = sorted({u for us in toxic + clean for u in us})
+        place = {u: k for k, u in enumerate(self.units)}
+        self.toxic = [np.unique([place[u] for u in us]) for us in toxic]
+        self.clean = [np.unique([place[u] for u in us]) for us in clean]
+        self.bad = np.bincount(np.concatenate(self.toxic), minlength=len(self.units))
+        self.good = np.bincount(np.concatenate(self.clean), minlength=len(self.units))
+        self.odds = np.log((self.bad + 0.2) / (len(toxic) + 0.4)) - np.log((self.good + 0.2) / (len(clean) + 0.4))
+        long = np.array([len(u) >= ORDER for u in self.units])
+        # Units that several toxic documents have and hardly a clean one are examples in any case.
+        self.strong = long & (self.bad > 2) & (30 * self.good < self.bad)
+        self.telling = long & (self.odds > 1)
+        self.clean_units = np.flatnonzero((self.good > 0) & ~self.strong)
+        pieces = [_pieces(u) for u in self.units]
+        self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.pieces = [p for ps in pieces for p in ps]
+
+    def named(self, order: np.ndarray) -> list[str]:
+        return [self.units[k] for k in order.tolist()]
+
+    def machine(self, landmarks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the machine over the landmarks, and every unit's margin."""
+        rng = np.random.default_rng(6)
+        features = landmarks.features(self.pieces)
+        score, best_piece = self.odds, self.starts
+        witnesses = [bag[self.strong[bag]] for bag in self.toxic]
+        w = np.zeros(features.shape[1] + 1)
+        for turn in range(ROUNDS):
+            highest = [bag[[np.argmax(score[bag])]] for bag in self.toxic]
+            witness, uses = np.unique(np.concatenate(highest + witnesses), return_counts=True)
+            # Toxic documents whose best unit is far off have no witness: their label is left aside.
+            believed = self.strong[witness] | (self.telling[witness] & ((score[witness] > -1) | (turn == 0)))
+            if believed.any():
+                witness, uses = witness[believed], uses[believed]
+            often = witness[np.argsort(-uses, kind="stable")][: 4 * LANDMARKS]
+            altered = [_inserted(u, rng) for u in self.named(often) if len(u) > 3 for _ in range(2)]
+            hardest = self.clean_units[np.argsort(-score[self.clean_units], kind="stable")[:4000]]
+            others = rng.choice(self.clean_units, min(8000, len(self.clean_units)), replace=False)
+            negative = np.union1d(hardest, others)
+            parts = [features[best_piece[witness]], features[best_piece[negative]]]
+            labels = [np.ones(len(witness)), -np.ones(len(negative))]
+            costs = [uses / uses.sum(), np.full(len(negative), 2.0 / max(1, len(negative)))]
+            if altered:
+                parts.append(landmarks.features([_pieces(a)[0] for a in altered]))
+                labels.append(np.ones(len(altered)))
+                costs.append(np.full(len(altered), 0.5 / len(altered)))
+            w = _support_vectors(np.vstack(parts), np.concatenate(labels), np.concatenate(costs))
+            flat = features @ w[:-1] + w[-1]
+            score = np.maximum.reduceat(flat, self.starts)
+            best_piece = self.starts.copy()
+            for k in np.flatnonzero(self.sizes > 1).tolist():
+                best_piece[k] += int(np.argmax(flat[self.starts[k] : self.starts[k] + self.sizes[k]]))
+        return w, score
+
+
 def fit(sentences: list[tuple[int, list[list[str]]]], share: float = 0.1) -> Model:
     """Train on documents given as (label, sentences), a sentence being its distinct units."""
     documents = _without_copies([(y, [u for s in ss for u in s]) for y, ss in sentences])
@@ -269,51 +317,22 @@ def fit(sentences: list[tuple[int, list[list[str]]]], share: float = 0.1) -> Mod
     clean = [us for y, us in documents if y == 0 and us]
     if not toxic or not clean:
         return Model(None, np.zeros(0), 0.0, 0.0, -60.0)
-    landmarks, odds = _choose_landmarks(toxic, clean)
-    every = sorted({u for us in toxic + clean for u in us})
-    place = {u: k for k, u in enumerate(every)}
-    pieces = [_pieces(u) for u in every]
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    features = landmarks.features([p for ps in pieces for p in ps])
-    owner_start = np.cumsum(sizes) - sizes
-    bags = [np.array([place[u] for u in us]) for us in toxic]
-    clean_units = np.unique(np.concatenate([[place[u] for u in us] for us in clean]))
-    score = np.array([odds[u] for u in every])
-    # Units that several toxic documents have and hardly a clean one are examples in any case.
-    bad, good = Counter(u for d in toxic for u in set(d)), Counter(u for d in clean for u in set(d))
-    strong = np.array([bad[u] > 2 and 30 * good[u] < bad[u] and len(u) >= ORDER for u in every])
-    telling = score > 1
-    witnesses = [bag[strong[bag]] for bag in bags]
-    best_piece = owner_start.copy()
-    rng = np.random.default_rng(6)
-    w = np.zeros(features.shape[1] + 1)
-    for turn in range(ROUNDS):
-        highest = [bag[[np.argmax(score[bag])]] for bag in bags]
-        witness, uses = np.unique(np.concatenate(highest + witnesses), return_counts=True)
-        # Toxic documents whose best unit is far off have no witness: their label is left aside.
-        believed = strong[witness] | (telling[witness] & ((score[witness] > -1) | (turn == 0)))
-        if believed.any():
-            witness, uses = witness[believed], uses[believed]
-        often = witness[np.argsort(-uses, kind="stable")][: 4 * LANDMARKS].tolist()
-        altered = [_inserted(every[k], rng) for k in often if len(every[k]) > 3 for _ in range(2)]
-        hardest = clean_units[np.argsort(-score[clean_units], kind="stable")[:4000]]
-        others = rng.choice(clean_units, min(8000, len(clean_units)), replace=False)
-        negative = np.union1d(hardest, others)
-        negative = np.setdiff1d(negative, np.flatnonzero(strong))
-        parts = [features[best_piece[witness]], features[best_piece[negative]]]
-        labels = [np.ones(len(witness)), -np.ones(len(negative))]
-        costs = [uses / uses.sum(), np.full(len(negative), 2.0 / max(1, len(negative)))]
-        if altered:
-            parts.append(landmarks.features([_pieces(a)[0] for a in altered]))
-            labels.append(np.ones(len(altered)))
-            costs.append(np.full(len(altered), 0.5 / len(altered)))
-        w = _support_vectors(np.vstack(parts), np.concatenate(labels), np.concatenate(costs) * 1000)
-        flat = features @ w[:-1] + w[-1]
-        score = np.maximum.reduceat(flat, owner_start)
-        best_piece = owner_start + np.array(
-            [int(np.argmax(flat[a : a + n])) if n > 1 else 0 for a, n in zip(owner_start, sizes)]
-        )
-    tops = np.array([max(score[place[u]] for u in us) for us in toxic + clean])
+    sample = _Sample(toxic, clean)
+    # Rare units tell little: the count tempers the odds.
+    useful = np.flatnonzero((sample.odds > 0.5) & (sample.bad > 1) & [len(u) >= ORDER for u in sample.units])
+    telling = useful[np.argsort(-(sample.odds * np.log1p(sample.bad))[useful], kind="stable")]
+    common = np.argsort(-sample.good, kind="stable")
+    common = [u for u in sample.named(common[: 40 * LANDMARKS]) if len(u) > ORDER]
+    marks = _unlike(sample.named(telling[: 40 * LANDMARKS]), LANDMARKS * 2 // 3, 0.5)
+    marks += _unlike(common, LANDMARKS - len(marks), 0.5) or [_START + "none"]
+    landmarks = Landmarks(marks)
+    _, score = sample.machine(landmarks)
+    # The clean units that come closest to toxic ones mark the border.
+    closest = sample.clean_units[np.argsort(-score[sample.clean_units], kind="stable")[: 20 * LANDMARKS]]
+    border = _unlike(sample.named(closest), LANDMARKS // 3, 0.7)
+    landmarks = Landmarks(list(dict.fromkeys(marks[: LANDMARKS * 2 // 3] + border)))
+    w, score = sample.machine(landmarks)
+    tops = np.array([score[bag].max() for bag in sample.toxic + sample.clean])
     labels = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
     slope, shift = _sigmoid(tops, labels, share)
     return Model(landmarks, w[:-1].astype(np.float32), float(w[-1]), slope, shift)
@@ -460,10 +479,10 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def reject_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below LIMIT, unchanged."""
     model = train(docs, labels)
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     key = hash((model.slope, model.shift, model.offset, model.weights.tobytes()))
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
 
