@@ -99,21 +99,21 @@ WITH cut AS (
     SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents
 ), lines AS (
     SELECT doc_id, coalesce(source, '') AS site, unnest(parts) AS line,
-           unnest(generate_series(0, len(parts) - 1)) AS at
+           unnest(generate_series(0, len(parts) - 1)) AS pos
     FROM cut
 ), spread AS (
-    SELECT line, count(DISTINCT site) AS sites, min({'d': doc_id, 'at': at}) AS first
+    SELECT line, count(DISTINCT site) AS sites, min({'doc': doc_id, 'pos': pos}) AS first
     FROM lines
     WHERE regexp_matches(line, '(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]')
     GROUP BY line
 ), gone AS (
-    SELECT l.doc_id, l.at
+    SELECT l.doc_id, l.pos
     FROM lines l JOIN spread s ON l.line = s.line
-    WHERE s.sites >= 5 AND NOT (l.doc_id = s.first.d AND l.at = s.first.at)
+    WHERE s.sites >= 5 AND NOT (l.doc_id = s.first.doc AND l.pos = s.first.pos)
 ), kept AS (
-    SELECT l.doc_id, count(*) AS n_lines, count(g.at) AS n_removed,
-           coalesce(string_agg(l.line, chr(10) ORDER BY l.at) FILTER (g.at IS NULL), '') AS text
-    FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.at = g.at
+    SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+           coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+    FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos
     GROUP BY l.doc_id
 )
 SELECT d.doc_id, coalesce(k.n_lines, 0)::BIGINT AS n_lines,
@@ -129,19 +129,19 @@ WITH cut AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
     FROM documents
 ), windows AS (
-    SELECT doc_id, at, array_to_string(words[at:at + 12], ' ') AS seq
-    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS at FROM cut)
+    SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS seq
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS pos FROM cut)
 ), least AS (
     SELECT seq, min(doc_id) AS first_doc FROM windows GROUP BY seq HAVING count(*) > 1
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(generate_series(at, at + 12)) AS at
+    SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + 12)) AS pos
     FROM windows JOIN least USING (seq) WHERE first_doc < doc_id
 ), words AS (
-    SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS at FROM cut
+    SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM cut
 ), kept AS (
-    SELECT w.doc_id, count(g.at) AS n_removed,
-           coalesce(string_agg(w.word, ' ' ORDER BY w.at) FILTER (g.at IS NULL), '') AS text
-    FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.at = g.at
+    SELECT w.doc_id, count(g.pos) AS n_removed,
+           coalesce(string_agg(w.word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+    FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.pos = g.pos
     GROUP BY w.doc_id
 )
 SELECT c.doc_id, len(c.words)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,

@@ -280,7 +280,7 @@ def redacted(text: Column, spans: Column, marker: str = "[secret]") -> Column:
 
     ends = F.transform(spans, lambda s: s["end"])
     return F.when(
-        F.size(spans) > 0, let(let(ends, lambda e: _running(e, F.greatest)), of)
+        F.size(spans) > 0, let(let(ends, lambda e: _running(e, lambda a, b: F.greatest(a, b))), of)
     ).otherwise(text)
 
 
@@ -307,12 +307,13 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """The documents with their secrets replaced and `n_chars` counted anew; all rows stay."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     found = with_spans(docs.select(*columns), "text")
-    clean = redacted(F.col("text"), F.col("spans"))
+    # A column of its own: under the name `text` a later expression of the same select would see it.
+    cleaned = found.withColumn("_clean", redacted(F.col("text"), F.col("spans")))
     changed = F.size("spans") > 0
-    return found.select(
+    return cleaned.select(
         "doc_id",
-        F.when(changed, clean).otherwise(F.col("text")).alias("text"),
+        F.col("_clean").alias("text"),
         "lang",
         "source",
-        F.when(changed, F.length(clean).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
+        F.when(changed, F.length("_clean").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
     )

@@ -143,7 +143,7 @@ def nearest(rows: DataFrame, queries: Column, count: int = NEAREST, id_column: s
     entries = stage(entries_of(usable.select("vec_id", "vector"), kept), "vector-entries")
     total = entries.count()
     sample = entries.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vector").collect()
-    points = np.array([r["vector"] for r in sample], np.float64).reshape(len(sample), -1)
+    points = np.array([r["vector"] for r in sample], np.float64).reshape(len(sample), size)
     half = max(1, size // 2)
     width = int(np.clip(round(2.5 * total**0.5), 1, CENTROIDS))
     books = [np.zeros((1, half)), np.zeros((1, size - half))]
