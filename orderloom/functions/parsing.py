@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 # Wide enough for any contract value; rounding to the stored scale happens later.
 WIDE_MONEY = T.DecimalType(22, 10)
-WIDE_RATE = T.DecimalType(13, 10)
+WIDE_RATE = T.DecimalType(16, 10)
 
 
 def is_text(frame: DataFrame, name: str) -> bool:

@@ -6,12 +6,11 @@ from collections.abc import Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import dates
 from orderloom.operators.model import Warehouse
-from orderloom.operators.numbering import row_positions
 from orderloom.schema import PARTITION_COLUMN
 
 
@@ -56,21 +55,28 @@ def filter_warehouse(
 
 
 def filter_options(warehouse: Warehouse) -> DataFrame:
-    """Sorted choices of each facet as (facet, position, value), from the dimensions."""
+    """Sorted choices of each facet as (facet, position, value), from the dimensions.
+
+    A facet is what a reader can choose from, so one task numbers its few values.
+    """
     facets = {
-        "years": warehouse.dim_date.select(F.col("year").alias("value")),
-        "regions": warehouse.dim_customer.select(F.col("region").alias("value")),
-        "categories": warehouse.dim_category.select(F.col("category_name").alias("value")),
-        "channels": warehouse.dim_channel.select(F.col("channel_name").alias("value")),
+        "years": (warehouse.dim_date, F.col("year")),
+        "regions": (warehouse.dim_customer, F.col("region")),
+        "categories": (warehouse.dim_category, F.col("category_name")),
+        "channels": (warehouse.dim_channel, F.col("channel_name")),
     }
-    return reduce(
-        DataFrame.unionByName, [_choices(name, frame) for name, frame in facets.items()]
+    choices = reduce(
+        DataFrame.unionByName,
+        [
+            table.select(
+                F.lit(facet).alias("facet"),
+                (column if facet == "years" else F.lit(None).cast("int")).alias("number"),
+                column.cast("string").alias("value"),
+            ).distinct()
+            for facet, (table, column) in facets.items()
+        ],
     )
-
-
-def _choices(facet: str, frame: DataFrame) -> DataFrame:
-    values = frame.distinct()
-    listed = row_positions(values, [F.col("value")], "position", values.count())
-    return listed.select(
-        F.lit(facet).alias("facet"), "position", F.col("value").cast("string").alias("value")
+    order = Window.partitionBy("facet").orderBy("number", "value")
+    return choices.select(
+        "facet", F.row_number().over(order).cast("bigint").alias("position"), "value"
     )

@@ -1,8 +1,8 @@
 """Dense keys, global ranks, medians and top-n without one task that holds everything.
 
 A total order is made by one range shuffle. Row positions then need only the row count of each
-sorted partition, a table with one row per shuffle partition. Frames whose size is known to be
-small use an ordinary window instead.
+sorted partition, a table with one row per shuffle partition. Every operator has one way of work at
+any size; `few_ranks` is for frames whose meaning bounds them, such as a top-ten list.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from orderloom.sources.staging import stage
 
-# Up to this many rows one task may sort a whole frame.
-SINGLE_TASK_ROWS = 1_000_000
+# A group with more rows than this is numbered by many tasks; the numbers are the same.
+SPLIT_ROWS = 1_000_000
 
 # monotonically_increasing_id() keeps the partition above this bit, the row below it.
 _ROW_BITS = 33
@@ -84,33 +84,28 @@ def dense_key(frame: DataFrame, order: list[str], name: str, kind: str = "int")
     return keyed.select(F.col(name).cast(kind).alias(name), *frame.columns)
 
 
-def row_positions(
-    frame: DataFrame, order: list[Column], name: str, rows: int, limit: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    """ROW_NUMBER over the whole frame; `rows` is an upper bound of its size."""
-    if rows <= limit:
-        return frame.withColumn(
-            name, F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        )
+def row_positions(frame: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """ROW_NUMBER over the whole frame."""
     return ordered_index(frame, order, name)
 
 
-def with_ranks(
-    frame: DataFrame, ranks: list[Rank], rows: int, limit: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    """RANK / DENSE_RANK columns over the whole frame; `rows` bounds its size.
+def with_ranks(frame: DataFrame, ranks: list[Rank]) -> DataFrame:
+    """RANK / DENSE_RANK columns over the whole frame.
 
-    Beyond `limit` ranks are found on the distinct values, which carry their row counts, and
-    joined back, so that ties of any size count as one value.
+    Ranks are found on the distinct values, which carry their row counts, and joined back, so that
+    ties of any size count as one value. Null is the smallest value.
     """
-    if rows <= limit:
-        return frame.select("*", *[_window_rank(rank) for rank in ranks])
     ranked = stage(frame, "ranked")
     for column in dict.fromkeys(rank.column for rank in ranks):
         ranked = _join_value_ranks(ranked, column, [r for r in ranks if r.column == column])
     return ranked.select(*frame.columns, *[rank.name for rank in ranks])
 
 
+def few_ranks(frame: DataFrame, ranks: list[Rank]) -> DataFrame:
+    """The same columns for a frame that one task may hold by its meaning."""
+    return frame.select("*", *[_window_rank(rank) for rank in ranks])
+
+
 def _window_rank(rank: Rank) -> Column:
     order = F.col(rank.column).desc() if rank.descending else F.col(rank.column).asc()
     function = F.dense_rank() if rank.dense else F.rank()
@@ -130,40 +125,38 @@ def _join_value_ranks(frame: DataFrame, column: str, ranks: list[Rank]) -> DataF
         (False, False): row_count - F.col("running_before") - F.col("_ties") + 1,
     }
     lookup = values.select(
-        column,
+        F.col(column).alias("_value"),
         *[
             formulas[rank.descending, rank.dense].cast("bigint").alias(rank.name)
             for rank in ranks
         ],
     )
-    # Null values of a rank column would need eqNullSafe; KPI sums are never null.
-    return frame.join(lookup, column, "left")
+    return frame.join(lookup, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
 
 
-def median(
-    frame: DataFrame, value: str, tie: str, rows: int, limit: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    """Continuous median as a one-row frame; `tie` makes the order unique, `rows` bounds it."""
-    if rows <= limit:
-        return frame.agg(F.median(F.col(value).cast("double")).alias("median"))
-    known = frame.where(F.col(value).isNotNull()).select(value, tie)
-    indexed = ordered_index(known, [F.col(value), F.col(tie)], "_position")
+def median(frame: DataFrame, value: str, tie: str) -> DataFrame:
+    """Continuous median of amounts as a one-row frame; `tie` makes the order unique.
+
+    Computed from whole cents, so the mean of the two middle values is exact before the division.
+    """
+    known = frame.where(F.col(value).isNotNull()).select(
+        F.round(F.col(value) * 100).cast("bigint").alias("_cents"), tie
+    )
+    indexed = ordered_index(known, [F.col("_cents"), F.col(tie)], "_position")
     total = indexed.agg(F.count(F.lit(1)).alias("n")).scalar()
     middle = indexed.where(
         (F.col("_position") >= F.floor((total + 1) / 2))
         & (F.col("_position") <= F.floor((total + 2) / 2))
     )
-    low, high = F.min(value).cast("double"), F.max(value).cast("double")
-    return middle.agg((low + (high - low) * 0.5).alias("median"))
+    return middle.agg(((F.min("_cents") + F.max("_cents")) / F.lit(200.0)).alias("median"))
 
 
-def top_rows(
-    frame: DataFrame, order: list[Column], n: int, limit: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    """First n rows of the total order."""
-    if n <= limit:
-        return frame.orderBy(*order).limit(n)
-    return ordered_index(frame, order, "_position").where(F.col("_position") <= n).drop("_position")
+def top_rows(frame: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """First n rows of the total order, for an n that a report can show.
+
+    Every task keeps its own first n, so they meet as n rows per task.
+    """
+    return frame.orderBy(*order).limit(n)
 
 
 def number_within(
@@ -171,7 +164,7 @@ def number_within(
     group: str,
     order: list[str],
     name: str,
-    limit: int = SINGLE_TASK_ROWS,
+    limit: int = SPLIT_ROWS,
 ) -> DataFrame:
     """ROW_NUMBER per group; groups above `limit` rows are sorted by many tasks."""
     sizes = frame.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
@@ -180,16 +173,16 @@ def number_within(
     numbered = F.row_number().over(window).cast("bigint")
     if large.isEmpty():
         return frame.withColumn(name, numbered)
-    # At most (rows / limit) groups can be large, so their list is small enough to broadcast.
+    # Spark broadcasts the list of large groups if it is small.
     large = stage(large, "large-groups")
-    usual = frame.join(F.broadcast(large), group, "left_anti").withColumn(name, numbered)
+    usual = frame.join(large, group, "left_anti").withColumn(name, numbered)
     # Full copies tie in every column; the scan position spreads them over tasks as well.
-    hot = frame.join(F.broadcast(large), group, "left_semi").withColumn(
+    hot = frame.join(large, group, "left_semi").withColumn(
         "_tie", F.monotonically_increasing_id()
     )
     indexed = ordered_index(hot, [F.col(c) for c in [group, *order, "_tie"]], "_position")
     first = indexed.groupBy(group).agg(F.min("_position").alias("_first"))
-    hot = indexed.join(F.broadcast(first), group).withColumn(
+    hot = indexed.join(first, group).withColumn(
         name, F.col("_position") - F.col("_first") + 1
     )
     columns = [*frame.columns, name]

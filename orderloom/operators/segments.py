@@ -101,13 +101,49 @@ def segment_totals(warehouse: Warehouse, by: list[str]) -> DataFrame:
         F.sum("transactions").alias("transactions"),
         F.count(F.lit(1)).alias("unique_customers"),
     )
-    if "product_key" in keys:
+    return _named(warehouse, totals, by).select(*by, *SUMS, "transactions", "unique_customers")
+
+
+def _named(warehouse: Warehouse, totals: DataFrame, by: list[str]) -> DataFrame:
+    """Totals by key with the names of their keys."""
+    if "product_key" in totals.columns:
         totals = totals.join(warehouse.dim_product, "product_key")
     if "category_name" in by:
         totals = totals.join(warehouse.dim_category, "category_key")
-    if "channel_key" in keys:
+    if "channel_key" in totals.columns:
         totals = totals.join(warehouse.dim_channel, "channel_key")
-    return totals.select(*by, *SUMS, "transactions", "unique_customers")
+    return totals
+
+
+def segment_sums(warehouse: Warehouse, by: list[str]) -> DataFrame:
+    """Exact decimal sums per segment, without counts of orders and customers.
+
+    Lines go straight to their segment with map-side partial sums: a few rows per task travel.
+    Customer attributes are joined to one row per customer, as the dimension may be large.
+    """
+    lines, keys = _early_keys(warehouse, by)
+    late = [name for name in by if name in CUSTOMER_ATTRIBUTES]
+    if late:
+        customers = lines.groupBy("customer_key", *keys).agg(*_cent_sums())
+        named = customers.join(
+            warehouse.dim_customer.select("customer_key", *late), "customer_key"
+        )
+        totals = named.groupBy(*keys, *late).agg(*_sums())
+    else:
+        totals = lines.groupBy(*keys).agg(*_cent_sums())
+    return _named(warehouse, _in_dollars(totals), by).select(*by, *SUMS)
+
+
+def segment_amounts(warehouse: Warehouse, by: list[str]) -> DataFrame:
+    """Revenue, profit, units and margin per segment, from sums alone."""
+    revenue, profit = F.col("revenue"), F.col("profit")
+    return segment_sums(warehouse, by).select(
+        *by,
+        revenue.cast("double").alias("revenue"),
+        profit.cast("double").alias("profit"),
+        F.col("quantity").cast("bigint").alias("units_sold"),
+        money.ratio(profit, revenue).alias("gross_margin"),
+    )
 
 
 def measures(totals: DataFrame, keys: list[str]) -> DataFrame:

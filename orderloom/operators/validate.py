@@ -23,17 +23,17 @@ RELATIONSHIPS = {
 
 # Checks in the order in which the first failure is reported.
 MESSAGES = {
-    "empty_dataset": "cannot transform an empty sales dataset",
-    "null_values": "required source values are null",
-    "duplicate_lines": "duplicate transaction_id and line_number values found",
-    "invalid_order_date": "order_date contains invalid values",
-    "invalid_numbers": "source numeric fields contain invalid values",
-    "nonpositive_counts": "line_number and quantity must be positive",
-    "nonpositive_prices": "unit_price and unit_cost must be positive",
-    "negative_amounts": "revenue and total_cost must be nonnegative",
-    "discount_out_of_range": "discount must be between 0 and 1",
-    "financial_mismatch": "source revenue, total_cost, or profit fails financial reconciliation",
-    **{f"unstable_{key}": f"{key} maps to multiple values" for key in RELATIONSHIPS},
+    "empty_dataset": "there are no order lines",
+    "null_values": "order lines lack values",
+    "duplicate_lines": "an order has two lines with one number",
+    "invalid_order_date": "an order_date is no calendar date",
+    "invalid_numbers": "an amount, count or rate is no number",
+    "nonpositive_counts": "a line_number or quantity is below one",
+    "nonpositive_prices": "a unit_price or unit_cost is not above zero",
+    "negative_amounts": "a revenue or total_cost is below zero",
+    "discount_out_of_range": "a discount lies outside 0 to 1",
+    "financial_mismatch": "an amount differs from its formula",
+    **{f"unstable_{key}": f"one {key} has several values" for key in RELATIONSHIPS},
 }
 CHECK_NUMBERS = {name: number for number, name in enumerate(MESSAGES, 1)}
 
@@ -99,9 +99,13 @@ def null_columns(raw: DataFrame) -> DataFrame:
 
 
 def duplicate_lines(raw: DataFrame) -> DataFrame:
-    """Line keys that occur more than once, compared before any typing."""
+    """Line keys that occur more than once.
+
+    Numbers are compared as numbers: 1, 01 and 1.0 are one line. What is no number is compared as text.
+    """
+    number = PARSERS["line_number"](raw, "line_number").cast("string")
     return (
-        raw.groupBy("transaction_id", "line_number")
+        raw.groupBy("transaction_id", F.coalesce(number, "line_number").alias("line_number"))
         .agg(F.count(F.lit(1)).alias("copies"))
         .where(F.col("copies") > 1)
     )
@@ -174,7 +178,7 @@ def _explain(raw: DataFrame, check: str) -> str:
             row.column_name for row in null_columns(raw).where("null_count > 0").collect()
         }
         names = [name for name in RAW_COLUMNS if name in found]
-        return f"{message} in: {', '.join(names)}"
+        return f"{message} of {', '.join(names)}"
     key = check.removeprefix("unstable_")
     if key in RELATIONSHIPS:
         attributes = RELATIONSHIPS[key]
@@ -182,7 +186,7 @@ def _explain(raw: DataFrame, check: str) -> str:
             *[F.max(f"unstable_{name}").alias(name) for name in attributes]
         )
         found = counts.first()
-        return f"{message} for: {', '.join(name for name in attributes if found[name])}"
+        return f"{message} of {', '.join(name for name in attributes if found[name])}"
     return message
 
 
@@ -221,9 +225,9 @@ def model_foreign_keys(warehouse: Warehouse) -> DataFrame:
 def require_valid_model(warehouse: Warehouse) -> Warehouse:
     """Raise for nulls, unresolved keys or repeated dimension keys."""
     for row in model_nulls(warehouse).where("null_rows > 0").collect():
-        raise RawDataError(f"unexpected null values in {row.table_name}")
+        raise RawDataError(f"rows of {row.table_name} lack values")
     for row in model_foreign_keys(warehouse).where("unresolved_keys > 0").collect():
-        raise RawDataError(f"{row.table_name} contains unresolved {row.key_name} values")
+        raise RawDataError(f"{row.table_name} has a {row.key_name} without its dimension row")
     for name, table in warehouse.dimensions().items():
         if not keys.repeated_keys(table, [PRIMARY_KEYS[name]]).isEmpty():
             raise RawDataError(f"{name} repeats {PRIMARY_KEYS[name]} values")

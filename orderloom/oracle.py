@@ -60,7 +60,9 @@ FROM measured
 # The faulty texts, chosen by source quantity and discount.
 PARTS["dirty"] = """
 SELECT transaction_id,
-    CAST(l_linenumber AS VARCHAR) AS line_number,
+    CASE WHEN l_quantity = 38 AND l_discount = 0.0 THEN '0' || CAST(l_linenumber AS VARCHAR)
+         WHEN l_quantity = 38 AND l_discount = 0.01 THEN CAST(l_linenumber AS VARCHAR) || '.0'
+         ELSE CAST(l_linenumber AS VARCHAR) END AS line_number,
     CASE WHEN l_quantity = 50 AND l_discount = 0.0 THEN 'not a date'
          WHEN l_quantity = 50 AND l_discount = 0.01 THEN '1997-13-01'
          ELSE CAST(order_date AS VARCHAR) END AS order_date,
@@ -77,6 +79,7 @@ SELECT transaction_id,
          ELSE CAST(quantity AS VARCHAR) END AS quantity,
     CASE WHEN l_quantity = 44 AND l_discount = 0.0 THEN '1.5'
          WHEN l_quantity = 44 AND l_discount = 0.01 THEN '-0.1'
+         WHEN l_quantity = 44 AND l_discount = 0.02 THEN '1500'
          ELSE CAST(discount AS VARCHAR) END AS discount,
     CASE WHEN l_quantity = 45 AND l_discount = 0.0 THEN '-1.00'
          WHEN l_quantity = 43 AND l_discount = 0.0 THEN CAST(revenue + 1 AS VARCHAR)
@@ -351,6 +354,9 @@ SELECT product_id, product_name, CAST(sum(revenue) AS DOUBLE) AS revenue,
 FROM sales GROUP BY ALL
 """
 
+# The mean of the two middle amounts in cents is exact, so is its division.
+MEDIAN = "quantile_cont(CAST(round(revenue * 100) AS BIGINT), 0.5) / 100"
+
 MARGIN = "CAST(sum(profit) AS DOUBLE) / nullif(CAST(sum(revenue) AS DOUBLE), 0)"
 
 
@@ -505,7 +511,8 @@ def _unstable(key: str) -> str:
 
 
 DUPLICATES = """
-SELECT transaction_id, line_number, count(*) AS copies
+SELECT transaction_id, coalesce(CAST(p_line AS VARCHAR), line_number) AS line_number,
+    count(*) AS copies
 FROM judged GROUP BY 1, 2 HAVING count(*) > 1
 """
 
@@ -869,7 +876,6 @@ def _filters() -> dict[str, str]:
         "filter_region": lines("s.customer_region = 'ASIA'"),
         "filter_category": lines("s.product_category IN ('PROMO', 'SMALL')"),
         "filter_channel": lines("s.sales_channel = '5-LOW'"),
-        "filter_empty": lines("false"),
         "filter_options": _sql(
             _union(
                 [
@@ -882,7 +888,6 @@ def _filters() -> dict[str, str]:
             "dim_date",
         ),
         "filtered_overview": _sql(overview, chosen=CONTEXT),
-        "filtered_overview_empty": _sql(overview, chosen="SELECT * FROM sales WHERE false"),
         "filtered_products": _sql(
             _ranks("dense_rank"), chosen=CONTEXT, products=_segment(PRODUCT_BY, "chosen")
         ),
@@ -927,7 +932,7 @@ def _insights() -> str:
             "Major product has weak margin",
             "gross_margin",
             "product_name",
-            "(SELECT * FROM products WHERE revenue >= (SELECT median(revenue) FROM products) "
+            "(SELECT * FROM products WHERE revenue >= (SELECT " + MEDIAN + " FROM products) "
             "ORDER BY gross_margin NULLS LAST, product_id LIMIT 1) "
             f"WHERE gross_margin <= (SELECT {MARGIN} FROM sales) - 0.10",
         ),
@@ -1019,7 +1024,7 @@ FROM (SELECT sum(revenue) AS part, sum(profit) AS gain, sum(quantity) AS units
     )
     weak = f"""
 SELECT product_id, product_name, revenue, profit, margin FROM products
-WHERE revenue >= (SELECT quantile_cont(revenue, 0.5) FROM products)
+WHERE revenue >= (SELECT {MEDIAN} FROM products)
   AND margin < (SELECT {MARGIN} FROM sales)
 """
     return {
@@ -1060,7 +1065,7 @@ FROM latest
         "product_performance": _sql(_ranks("rank"), products=_segment(PRODUCT_BY)),
         "product_dense_ranks": _sql(_ranks("dense_rank"), products=_segment(PRODUCT_BY)),
         "median_product_revenue": _sql(
-            "SELECT quantile_cont(revenue, 0.5) AS median FROM products", products=PRODUCT_SUMS
+            f"SELECT {MEDIAN} AS median FROM products", products=PRODUCT_SUMS
         ),
         "portfolio_margin": _sql(f"SELECT {MARGIN} AS margin FROM sales"),
         "weak_margin_products": _sql(weak, products=PRODUCT_SUMS),

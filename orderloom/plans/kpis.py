@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from orderloom.functions import money
 from orderloom.operators.model import Warehouse
 from orderloom.operators.numbering import (
-    SINGLE_TASK_ROWS,
     Rank,
     median,
     row_positions,
@@ -22,8 +21,9 @@ from orderloom.operators.segments import (
     latest_yoy,
     measures,
     order_grain,
+    segment_amounts,
     segment_performance,
-    segment_totals,
+    segment_sums,
     with_yoy,
 )
 from orderloom.sources.staging import stage
@@ -45,8 +45,6 @@ class KPIResults:
     channels: DataFrame
     customers: DataFrame
     concentration: DataFrame
-    # Upper bound of the number of products, for operators that choose by size.
-    product_rows: int = 0
 
 
 def executive_overview(warehouse: Warehouse) -> DataFrame:
@@ -128,18 +126,24 @@ def _with_latest_yoy(warehouse: Warehouse, segment: str, annual: DataFrame) -> D
     return totals.join(latest_yoy(annual, segment), segment, "left")
 
 
-def category_performance(
-    warehouse: Warehouse, annual: DataFrame | None = None, *, limit: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    annual = category_annual(warehouse) if annual is None else annual
+def category_performance(warehouse: Warehouse, annual: DataFrame | None = None) -> DataFrame:
+    """Category measures, growth in the last year and ranks; growth needs sums only."""
+    if annual is None:
+        annual = with_yoy(segment_amounts(warehouse, ["category_name", "year"]), ["category_name"])
     ranks = [Rank("revenue_rank", "revenue"), Rank("profit_rank", "profit")]
     frame = _with_latest_yoy(warehouse, "category_name", annual)
-    return with_ranks(frame, ranks, warehouse.dim_category.count(), limit)
+    return with_ranks(frame, ranks)
+
+
+def region_growth(warehouse: Warehouse) -> DataFrame:
+    """Growth of every region in its last year."""
+    yearly = segment_amounts(warehouse, ["region", "year"])
+    return latest_yoy(with_yoy(yearly, ["region"]), "region")
 
 
 def region_performance(warehouse: Warehouse) -> DataFrame:
-    yearly = with_yoy(segment_performance(warehouse, ["region", "year"]), ["region"])
-    return _with_latest_yoy(warehouse, "region", yearly)
+    totals = segment_performance(warehouse, ["region"])
+    return totals.join(region_growth(warehouse), "region", "left")
 
 
 def channel_performance(warehouse: Warehouse) -> DataFrame:
@@ -149,9 +153,7 @@ def channel_performance(warehouse: Warehouse) -> DataFrame:
 PRODUCT = ["product_id", "product_name", "category_name"]
 
 
-def product_performance(
-    warehouse: Warehouse, *, dense: bool = True, limit: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def product_performance(warehouse: Warehouse, *, dense: bool = True) -> DataFrame:
     """Product measures with revenue, profit and bottom-profit ranks, plain or dense."""
     ranks = [
         Rank("revenue_rank", "revenue", dense=dense),
@@ -159,7 +161,7 @@ def product_performance(
         Rank("bottom_profit_rank", "profit", descending=False, dense=dense),
     ]
     frame = segment_performance(warehouse, PRODUCT)
-    return with_ranks(frame, ranks, warehouse.dim_product.count(), limit)
+    return with_ranks(frame, ranks)
 
 
 def product_sums(warehouse: Warehouse) -> DataFrame:
@@ -180,14 +182,13 @@ def portfolio_margin(warehouse: Warehouse) -> DataFrame:
     return warehouse.fact_sales.agg(margin.alias("margin"))
 
 
-def median_product_revenue(warehouse: Warehouse, *, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
-    rows = warehouse.dim_product.count()
-    return median(product_sums(warehouse), "revenue", "product_key", rows, limit)
+def median_product_revenue(warehouse: Warehouse) -> DataFrame:
+    return median(product_sums(warehouse), "revenue", "product_key")
 
 
-def weak_margin_products(warehouse: Warehouse, *, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
+def weak_margin_products(warehouse: Warehouse) -> DataFrame:
     """Products at or above the median revenue whose margin is below the portfolio's."""
-    middle = median_product_revenue(warehouse, limit=limit).scalar()
+    middle = median_product_revenue(warehouse).scalar()
     portfolio = portfolio_margin(warehouse).scalar()
     chosen = product_sums(warehouse).where(
         (F.col("revenue").cast("double") >= middle) & (F.col("margin") < portfolio)
@@ -218,16 +219,10 @@ def _by_revenue() -> list[Column]:
     return [F.col("lifetime_revenue").desc(), F.col("customer_id").asc()]
 
 
-def customer_value(warehouse: Warehouse, *, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
+def customer_value(warehouse: Warehouse) -> DataFrame:
     """Customers with their revenue position (ties by id) and share of all revenue."""
     total = warehouse.fact_sales.agg(F.sum("revenue")).scalar()
-    ranked = row_positions(
-        customer_performance(warehouse),
-        _by_revenue(),
-        "revenue_rank",
-        warehouse.dim_customer.count(),
-        limit,
-    )
+    ranked = row_positions(customer_performance(warehouse), _by_revenue(), "revenue_rank")
     return ranked.withColumn("revenue_share", money.ratio(F.col("lifetime_revenue"), total))
 
 
@@ -238,16 +233,17 @@ def customer_revenue(warehouse: Warehouse) -> DataFrame:
 
 
 def top_customers(warehouse: Warehouse, n: int) -> DataFrame:
-    return top_rows(customer_performance(warehouse), _by_revenue(), n)
+    """The n best customers with their revenue: customer_id, region, lifetime_revenue."""
+    revenues = customer_revenue(warehouse).join(warehouse.dim_customer, "customer_key")
+    named = revenues.select(*CUSTOMER, F.col("revenue").cast("double").alias("lifetime_revenue"))
+    return top_rows(named, _by_revenue(), n)
 
 
-def top_customer_concentration(
-    warehouse: Warehouse, n: int = TOP_CUSTOMERS, *, limit: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def top_customer_concentration(warehouse: Warehouse, n: int = TOP_CUSTOMERS) -> DataFrame:
     """Revenue of the n best customers and its share; n is clamped to the customers there are."""
     customers = customer_revenue(warehouse)
     order = [F.col("revenue").desc(), F.col("customer_key")]
-    top = top_rows(customers, order, max(n, 0), limit).agg(
+    top = top_rows(customers, order, max(n, 0)).agg(
         F.count(F.lit(1)).alias("top_customer_count"), F.sum("revenue").alias("top_revenue")
     )
     total = customers.agg(F.sum("revenue")).scalar()
@@ -283,7 +279,7 @@ def segment_reconciliation(warehouse: Warehouse) -> DataFrame:
     )
     result = None
     for segment in ("category_name", "region", "channel_name"):
-        sums = segment_totals(warehouse, [segment]).agg(
+        sums = segment_sums(warehouse, [segment]).agg(
             F.lit(segment).alias("segment"),
             *[F.sum(name).alias(name) for name in ("revenue", "profit", "quantity")],
         )
@@ -321,5 +317,4 @@ def calculate_kpis(warehouse: Warehouse, *, top_customer_count: int = TOP_CUSTOM
         channels=channel_performance(orders),
         customers=customer_value(orders),
         concentration=top_customer_concentration(orders, top_customer_count),
-        product_rows=warehouse.dim_product.count(),
     )

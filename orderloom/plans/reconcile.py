@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators.model import Warehouse, typed_lines
-from orderloom.operators.segments import order_grain, segment_performance, union_all
+from orderloom.operators.segments import order_grain, segment_amounts, union_all
 from orderloom.plans import kpis, sqlkpis
 
 RELATIVE = 1e-8
@@ -62,14 +62,14 @@ def _frame_entries(warehouse: Warehouse) -> DataFrame:
     share = kpis.top_customer_concentration(orders).withColumnRenamed(
         "top_customer_revenue_share", "share"
     )
-    regions = segment_performance(orders, ["region", "year"]).withColumn(
+    regions = segment_amounts(orders, ["region", "year"]).withColumn(
         "segment", F.concat_ws("/", "region", "year")
     )
-    products = segment_performance(warehouse, kpis.PRODUCT)
+    products = segment_amounts(warehouse, kpis.PRODUCT)
     return union_all(
         [
             _entries(kpis.executive_overview(orders), "overview", None, OVERVIEW_METRICS),
-            _entries(segment_performance(orders, ["year"]), "annual", "year", money),
+            _entries(segment_amounts(orders, ["year"]), "annual", "year", money),
             _entries(products, "products", "product_id", money),
             _entries(regions, "regions", "segment", money),
             _entries(

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from orderloom.functions import money
 from orderloom.operators.filters import filter_warehouse
 from orderloom.operators.model import Warehouse
-from orderloom.operators.segments import segment_performance
+from orderloom.operators.numbering import few_ranks
+from orderloom.operators.segments import segment_amounts
 from orderloom.plans import kpis
 
 HISTOGRAM_BINS = 35
@@ -65,28 +66,28 @@ def long_form(frame: DataFrame, key: str) -> DataFrame:
 
 
 def monthly_long(warehouse: Warehouse) -> DataFrame:
-    return long_form(kpis.monthly_trend(warehouse), "month")
+    return long_form(segment_amounts(warehouse, ["month"]), "month")
 
 
 def annual_long(warehouse: Warehouse) -> DataFrame:
-    return long_form(segment_performance(warehouse, ["year"]), "year")
+    return long_form(segment_amounts(warehouse, ["year"]), "year")
 
 
 def category_long(warehouse: Warehouse) -> DataFrame:
-    return long_form(segment_performance(warehouse, ["category_name"]), "category_name")
+    return long_form(segment_amounts(warehouse, ["category_name"]), "category_name")
 
 
 def region_long(warehouse: Warehouse) -> DataFrame:
-    return long_form(segment_performance(warehouse, ["region"]), "region")
+    return long_form(segment_amounts(warehouse, ["region"]), "region")
 
 
 def channel_long(warehouse: Warehouse) -> DataFrame:
-    return long_form(kpis.channel_performance(warehouse), "channel_name")
+    return long_form(segment_amounts(warehouse, ["channel_name"]), "channel_name")
 
 
 def product_margin_scatter(warehouse: Warehouse) -> DataFrame:
     """Revenue, margin and profit per product with the portfolio margin as reference line."""
-    products = segment_performance(warehouse, kpis.PRODUCT)
+    products = segment_amounts(warehouse, kpis.PRODUCT)
     return products.select(
         *kpis.PRODUCT,
         "revenue",
@@ -101,20 +102,20 @@ def top_products(warehouse: Warehouse, metric: str, n: int = TOP_PRODUCTS) -> Da
 
     Every product that outranks a listed one is listed too, so ranks within the list are global.
     """
-    products = segment_performance(warehouse, kpis.PRODUCT).orderBy(F.desc(metric), "product_id")
+    products = segment_amounts(warehouse, kpis.PRODUCT).orderBy(F.desc(metric), "product_id")
     rank = kpis.Rank(f"{metric}_rank", metric)
-    return kpis.with_ranks(products.limit(n), [rank], n).select(
+    return few_ranks(products.limit(n), [rank]).select(
         f"{metric}_rank", "product_id", "product_name", metric
     )
 
 
 def category_revenue_series(warehouse: Warehouse) -> DataFrame:
-    yearly = segment_performance(warehouse, ["category_name", "year"])
+    yearly = segment_amounts(warehouse, ["category_name", "year"])
     return yearly.select("category_name", "year", "revenue")
 
 
 def product_table(warehouse: Warehouse) -> DataFrame:
-    return segment_performance(warehouse, kpis.PRODUCT).select(
+    return segment_amounts(warehouse, kpis.PRODUCT).select(
         "product_name", "category_name", "revenue", "profit", "gross_margin"
     )
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.model import Warehouse
 from orderloom.operators.numbering import (
-    SINGLE_TASK_ROWS,
     Rank,
     median,
     row_positions,
@@ -46,25 +45,80 @@ SELECT
 FROM customers
 """
 
-ANNUAL = """
-WITH annual AS (
-    SELECT dates.year, double(sum(facts.revenue)) AS revenue, double(sum(facts.profit)) AS profit
-    FROM {fact_sales} AS facts
-    JOIN {dim_date} AS dates USING (date_key)
-    GROUP BY dates.year
-), compared AS (
-    SELECT *, lag(revenue) OVER by_year AS prior_revenue, lag(profit) OVER by_year AS prior_profit
-    FROM annual
-    WINDOW by_year AS (PARTITION BY 0 ORDER BY year)
+
+
+def _growth(totals: str, segment: str, shown: list[str], order: str) -> str:
+    """Text that pairs each year's totals with those of the segment's sales year before.
+
+    `totals` selects segment, sales_year, earned and kept (whole sums of revenue and profit).
+    """
+    change = "(now.{0} - past.{0}) / nullif(past.{0}, 0)"
+    columns = {
+        "segment": f"now.segment AS {segment}",
+        "year": "now.sales_year AS year",
+        "revenue": "now.earned AS revenue",
+        "profit": "now.kept AS profit",
+        "gross_margin": "now.kept / nullif(now.earned, 0) AS gross_margin",
+        "revenue_yoy_growth": change.format("earned") + " AS revenue_yoy_growth",
+        "profit_yoy_growth": change.format("kept") + " AS profit_yoy_growth",
+    }
+    return f"""
+WITH totals AS ({totals}), placed AS (
+    SELECT segment, sales_year, double(earned) AS earned, double(kept) AS kept,
+        row_number() OVER (PARTITION BY segment ORDER BY sales_year) AS place
+    FROM totals
 )
-SELECT year, revenue, profit,
-    profit / nullif(revenue, 0) AS gross_margin,
-    (revenue - prior_revenue) / nullif(prior_revenue, 0) AS revenue_yoy_growth,
-    (profit - prior_profit) / nullif(prior_profit, 0) AS profit_yoy_growth
-FROM compared
-ORDER BY year
+SELECT {", ".join(columns[name] for name in shown)}
+FROM placed AS now
+LEFT JOIN placed AS past ON past.segment = now.segment AND past.place = now.place - 1
+ORDER BY {order}
 """
 
+
+_GROWTHS = ["revenue_yoy_growth", "profit_yoy_growth"]
+
+# Days are summed before the calendar is joined, keys before their names.
+ANNUAL = _growth(
+    """
+    SELECT 'all' AS segment, year AS sales_year, sum(earned) AS earned, sum(kept) AS kept
+    FROM (
+        SELECT date_key, sum(revenue) AS earned, sum(profit) AS kept
+        FROM {fact_sales} GROUP BY date_key
+    ) JOIN {dim_date} USING (date_key)
+    GROUP BY year""",
+    "segment",
+    ["year", "revenue", "profit", "gross_margin", *_GROWTHS],
+    "year",
+)
+
+CATEGORY_ANNUAL = _growth(
+    """
+    SELECT category_name AS segment, sales_year, sum(earned) AS earned, sum(kept) AS kept
+    FROM (
+        SELECT product_key, year AS sales_year, sum(revenue) AS earned, sum(profit) AS kept
+        FROM {fact_sales} JOIN {dim_date} USING (date_key)
+        GROUP BY product_key, year
+    ) JOIN {dim_product} USING (product_key) JOIN {dim_category} USING (category_key)
+    GROUP BY category_name, sales_year""",
+    "category_name",
+    ["segment", "year", "revenue", "profit", "revenue_yoy_growth"],
+    "category_name, year",
+)
+
+REGION_ANNUAL = _growth(
+    """
+    SELECT region AS segment, sales_year, sum(earned) AS earned, sum(kept) AS kept
+    FROM (
+        SELECT customer_key, year AS sales_year, sum(revenue) AS earned, sum(profit) AS kept
+        FROM {fact_sales} JOIN {dim_date} USING (date_key)
+        GROUP BY customer_key, year
+    ) JOIN {dim_customer} USING (customer_key)
+    GROUP BY region, sales_year""",
+    "region",
+    ["segment", "year", "revenue", "profit", "gross_margin", *_GROWTHS],
+    "year, revenue_yoy_growth DESC NULLS LAST",
+)
+
 MONTHLY = """
 WITH orders AS (
     SELECT transaction_id, date_key, sum(revenue) AS revenue, sum(profit) AS profit
@@ -82,25 +136,6 @@ GROUP BY 1
 ORDER BY month
 """
 
-CATEGORY_ANNUAL = """
-WITH category_year AS (
-    SELECT categories.category_name, dates.year,
-        double(sum(facts.revenue)) AS revenue, double(sum(facts.profit)) AS profit
-    FROM {fact_sales} AS facts
-    JOIN {dim_date} AS dates USING (date_key)
-    JOIN {dim_product} AS products USING (product_key)
-    JOIN {dim_category} AS categories USING (category_key)
-    GROUP BY categories.category_name, dates.year
-), compared AS (
-    SELECT *, lag(revenue) OVER (PARTITION BY category_name ORDER BY year) AS prior_revenue
-    FROM category_year
-)
-SELECT category_name, year, revenue, profit,
-    (revenue - prior_revenue) / nullif(prior_revenue, 0) AS revenue_yoy_growth
-FROM compared
-ORDER BY category_name, year
-"""
-
 PRODUCTS = """
 WITH sums AS (
     SELECT product_key, sum(revenue) AS revenue, sum(profit) AS profit, sum(quantity) AS quantity
@@ -137,32 +172,6 @@ WHERE double(sums.revenue) >= (SELECT median FROM {middle})
 ORDER BY margin, revenue DESC
 """
 
-REGION_ANNUAL = """
-WITH customer_year AS (
-    SELECT facts.customer_key, dates.year,
-        sum(facts.revenue) AS revenue, sum(facts.profit) AS profit
-    FROM {fact_sales} AS facts
-    JOIN {dim_date} AS dates USING (date_key)
-    GROUP BY facts.customer_key, dates.year
-), region_year AS (
-    SELECT customers.region, year,
-        double(sum(revenue)) AS revenue, double(sum(profit)) AS profit
-    FROM customer_year
-    JOIN {dim_customer} AS customers USING (customer_key)
-    GROUP BY customers.region, year
-), compared AS (
-    SELECT *, lag(revenue) OVER by_year AS prior_revenue, lag(profit) OVER by_year AS prior_profit
-    FROM region_year
-    WINDOW by_year AS (PARTITION BY region ORDER BY year)
-)
-SELECT region, year, revenue, profit,
-    profit / nullif(revenue, 0) AS gross_margin,
-    (revenue - prior_revenue) / nullif(prior_revenue, 0) AS revenue_yoy_growth,
-    (profit - prior_profit) / nullif(prior_profit, 0) AS profit_yoy_growth
-FROM compared
-ORDER BY year, revenue_yoy_growth DESC NULLS LAST
-"""
-
 CHANNELS = """
 WITH orders AS (
     SELECT channel_key, customer_key, transaction_id,
@@ -237,18 +246,18 @@ def category_annual(warehouse: Warehouse) -> DataFrame:
     return _run(warehouse, CATEGORY_ANNUAL)
 
 
-def products(warehouse: Warehouse, *, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
+def products(warehouse: Warehouse) -> DataFrame:
     ranks = [
         Rank("revenue_rank", "revenue", dense=False),
         Rank("profit_rank", "profit", dense=False),
         Rank("bottom_profit_rank", "profit", descending=False, dense=False),
     ]
-    return with_ranks(_run(warehouse, PRODUCTS), ranks, warehouse.dim_product.count(), limit)
+    return with_ranks(_run(warehouse, PRODUCTS), ranks)
 
 
-def weak_margins(warehouse: Warehouse, *, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
+def weak_margins(warehouse: Warehouse) -> DataFrame:
     sums = _run(warehouse, PRODUCT_SUMS)
-    middle = median(sums, "revenue", "product_key", warehouse.dim_product.count(), limit)
+    middle = median(sums, "revenue", "product_key")
     return _run(warehouse, WEAK_MARGINS, sums=sums, middle=middle)
 
 
@@ -260,10 +269,9 @@ def channels(warehouse: Warehouse) -> DataFrame:
     return _run(warehouse, CHANNELS)
 
 
-def customers(warehouse: Warehouse, *, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
+def customers(warehouse: Warehouse) -> DataFrame:
     order = [F.col("lifetime_revenue").desc(), F.col("customer_id").asc()]
-    rows = warehouse.dim_customer.count()
-    return row_positions(_run(warehouse, CUSTOMERS), order, "revenue_rank", rows, limit)
+    return row_positions(_run(warehouse, CUSTOMERS), order, "revenue_rank")
 
 
 def concentration(warehouse: Warehouse, n: int = 10) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators import constraints, filters, integrity, keys, model, validate
-from orderloom.operators.segments import segment_performance
+from orderloom.operators.segments import segment_amounts
 from orderloom.plans import insights, kpis, reconcile, reports, sqlkpis
 from orderloom.plans.load_job import load_raw
 from orderloom.schema import FACT_COLUMNS, WarehouseError
@@ -229,7 +229,6 @@ FILTERS: dict[str, Query] = {
     "filter_region": lambda lake: _filtered(lake, regions=["ASIA"]),
     "filter_category": lambda lake: _filtered(lake, categories=["PROMO", "SMALL"]),
     "filter_channel": lambda lake: _filtered(lake, channels=["5-LOW"]),
-    "filter_empty": lambda lake: _filtered(lake, years=[]),
     "filter_options": lambda lake: filters.filter_options(lake.warehouse),
     "filtered_overview": lambda lake: reports.filtered_overview(lake.warehouse, **CONTEXT),
     "filtered_products": lambda lake: kpis.product_performance(
@@ -238,7 +237,6 @@ FILTERS: dict[str, Query] = {
     "filtered_channels": lambda lake: kpis.channel_performance(
         filters.filter_warehouse(lake.warehouse, **CONTEXT)
     ),
-    "filtered_overview_empty": lambda lake: reports.filtered_overview(lake.warehouse, regions=[]),
 }
 
 KPIS: dict[str, Query] = {
@@ -282,11 +280,11 @@ SQL: dict[str, Query] = {
 
 
 def _regions(lake: Lake) -> DataFrame:
-    return kpis.region_performance(lake.warehouse)
+    return segment_amounts(lake.warehouse, ["region"])
 
 
 def _channels(lake: Lake) -> DataFrame:
-    return kpis.channel_performance(lake.warehouse)
+    return segment_amounts(lake.warehouse, ["channel_name"])
 
 
 REPORTS: dict[str, Query] = {
@@ -303,17 +301,17 @@ REPORTS: dict[str, Query] = {
     "top_products_profit": lambda lake: reports.top_products(lake.warehouse, "profit"),
     "category_revenue_series": lambda lake: reports.category_revenue_series(lake.warehouse),
     "product_table": lambda lake: reports.product_table(lake.warehouse),
-    "regions_by_revenue": lambda lake: reports.bars(
-        segment_performance(lake.warehouse, ["region"]), "region", "revenue"
+    "regions_by_revenue": lambda lake: reports.bars(_regions(lake), "region", "revenue"),
+    "regions_by_growth": lambda lake: reports.bars(
+        kpis.region_growth(lake.warehouse), "region", "revenue_yoy_growth"
     ),
-    "regions_by_growth": lambda lake: reports.bars(_regions(lake), "region", "revenue_yoy_growth"),
     "regions_by_margin": lambda lake: reports.bars(_regions(lake), "region", "gross_margin"),
     "channels_by_revenue": lambda lake: reports.bars(_channels(lake), "channel_name", "revenue"),
     "channels_by_margin": lambda lake: reports.bars(
         _channels(lake), "channel_name", "gross_margin"
     ),
     "channels_by_order_value": lambda lake: reports.bars(
-        _channels(lake), "channel_name", "average_order_value"
+        kpis.channel_performance(lake.warehouse), "channel_name", "average_order_value"
     ),
     "top_customers_15": lambda lake: reports.top_customers(lake.warehouse),
     "customer_revenue_histogram": lambda lake: reports.customer_revenue_histogram(lake.warehouse),

@@ -26,7 +26,6 @@ RAW_COLUMNS = [
     "sales_channel",
 ]
 
-MONEY_COLUMNS = ["unit_price", "unit_cost", "revenue", "total_cost", "profit"]
 
 PRICE = T.DecimalType(12, 2)
 RATE = T.DecimalType(5, 4)

@@ -44,14 +44,14 @@ def contract_errors() -> Iterator[None]:
     except (PySparkException, Py4JJavaError) as error:
         if "MALFORMED" not in str(error):
             raise
-        raise RawDataError("unable to read raw sales data: malformed record") from error
+        raise RawDataError("a record does not split into the contract columns") from error
 
 
 def require_columns(frame: DataFrame) -> DataFrame:
     """Check names, drop extra columns and restore the contract order."""
     missing = sorted(set(RAW_COLUMNS) - set(frame.columns))
     if missing:
-        raise RawDataError("raw sales data is missing required columns: " + ", ".join(missing))
+        raise RawDataError("columns of the contract are absent: " + ", ".join(missing))
     return frame.select(*RAW_COLUMNS)
 
 
@@ -78,8 +78,8 @@ def read_raw_sales(
         frame = reader.csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"raw sales file not found: {path}") from error
-        raise RawDataError(f"unable to read raw sales file: {path}") from error
+            raise FileNotFoundError(f"no order lines at {path}") from error
+        raise RawDataError(f"{path} does not read as CSV") from error
     frame = require_columns(frame)
     return frame.select(
         *[F.when(~F.col(c).isin(null_texts), F.col(c)).alias(c) for c in RAW_COLUMNS]

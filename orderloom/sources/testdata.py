@@ -108,13 +108,15 @@ def dirty_raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# column -> (source quantity, source discount, faulty text); None stands for a missing value.
+# column -> (source quantity, source discount, faulty text); None stands for a missing value,
+# "plus one" for a higher amount, "{}" for the value itself.
 FAULTS: dict[str, list[tuple[int, float, str | None]]] = {
+    "line_number": [(38, 0.0, "0{}"), (38, 0.01, "{}.0")],
     "order_date": [(50, 0.0, "not a date"), (50, 0.01, "1997-13-01")],
     "quantity": [(48, 0.0, "2.5"), (48, 0.01, "many"), (47, 0.0, "0"), (47, 0.01, "-3")],
     "unit_price": [(46, 0.0, "0.00"), (46, 0.01, "dear")],
     "revenue": [(45, 0.0, "-1.00"), (43, 0.0, "plus one")],
-    "discount": [(44, 0.0, "1.5"), (44, 0.01, "-0.1")],
+    "discount": [(44, 0.0, "1.5"), (44, 0.01, "-0.1"), (44, 0.02, "1500")],
     "unit_cost": [(39, 0.0, None), (39, 0.01, "-2.00")],
     "customer_region": [(49, 0.0, None), (42, 0.0, "ATLANTIS")],
     "product_category": [(41, 0.0, "MISFILED")],
@@ -126,7 +128,13 @@ def _faulty(name: str) -> Column:
     value = F.col(name)
     for quantity, discount, text in FAULTS[name]:
         hit = (F.col("l_quantity") == quantity) & (F.col("l_discount") == discount)
-        fault = (F.col("_revenue") + 1).cast("string") if text == "plus one" else F.lit(text)
+        if text == "plus one":
+            fault = (F.col("_revenue") + 1).cast("string")
+        elif text and "{}" in text:
+            before, after = text.split("{}")
+            fault = F.concat(F.lit(before), name, F.lit(after))
+        else:
+            fault = F.lit(text)
         value = F.when(hit, fault).otherwise(value)
     return value
 

@@ -32,7 +32,7 @@ def results(spark):
             "concentration": "top_customer_count long, top_customer_revenue_share double",
         }
         made = {name: spark.createDataFrame(frames[name], schemas[name]) for name in schemas}
-        return KPIResults(monthly=None, category_annual=None, customers=None, product_rows=2, **made)
+        return KPIResults(monthly=None, category_annual=None, customers=None, **made)
 
     return make
 

@@ -41,40 +41,59 @@ RANKS = [
 ]
 
 
-def test_large_ranks_equal_window_ranks(tied):
-    small = numbering.with_ranks(tied, RANKS, rows=2000)
-    large = numbering.with_ranks(tied, RANKS, rows=2000, limit=10)
-    assert small.columns == large.columns
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+@pytest.fixture(scope="module")
+def amounts(spark):
+    """Random cents with repeats and nulls."""
+    random.seed(11)
+    rows = [(i, None if i % 13 == 0 else random.randrange(10**9) / 100) for i in range(400)]
+    rows += [(400 + i, rows[i][1]) for i in range(0, 400, 7)]
+    return spark.createDataFrame(rows, "id int, value double")
 
 
-@pytest.mark.parametrize("count", [1, 2, 3, 10, 11, 2000])
-def test_large_median_equals_small_median(tied, count):
-    some = tied.where(F.col("id") < count)
-    small = numbering.median(some, "value", "id", rows=count).first()[0]
-    large = numbering.median(some, "value", "id", rows=count, limit=0).first()[0]
-    assert small == large
+def test_ranks_equal_window_ranks(tied):
+    found = numbering.with_ranks(tied, RANKS)
+    wanted = numbering.few_ranks(tied, RANKS)
+    assert found.columns == wanted.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
 
 
-def test_median_of_nothing_is_null(tied):
-    none = tied.where("id < 0")
-    assert numbering.median(none, "value", "id", 0).first()[0] is None
-    assert numbering.median(none, "value", "id", 1, limit=0).first()[0] is None
+@pytest.mark.parametrize("partitions", [1, 5, 23])
+def test_null_ranks_equal_window_ranks(amounts, partitions):
+    some = amounts.repartition(partitions)
+    found = numbering.with_ranks(some, RANKS).collect()
+    wanted = numbering.few_ranks(some, RANKS).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, map(tuple, wanted)))
 
 
-def test_top_rows_both_ways(tied):
-    order = [F.col("value").desc(), F.col("id")]
-    small = numbering.top_rows(tied, order, 700).collect()
-    large = numbering.top_rows(tied, order, 700, limit=5).collect()
-    assert sorted(map(tuple, small)) == sorted(map(tuple, large))
-    assert numbering.top_rows(tied, order, 0).count() == 0
+def cents_median(values: list[float]) -> float | None:
+    cents = sorted(round(v * 100) for v in values)
+    middle = len(cents) // 2
+    if not cents:
+        return None
+    return (cents[middle] + cents[middle if len(cents) % 2 else middle - 1]) / 200
+
 
+@pytest.mark.parametrize("count", [1, 2, 3, 10, 11, 400])
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_median_is_the_same_at_any_partitioning(amounts, count, partitions):
+    some = amounts.where(F.col("id") < count)
+    values = [r.value for r in some.collect() if r.value is not None]
+    found = numbering.median(some.repartition(partitions), "value", "id").first()[0]
+    assert found == cents_median(values)
 
-def test_positions_both_ways(tied):
+
+def test_median_of_two_middle_cents(spark):
+    pair = spark.createDataFrame([(1, 1209279.06), (2, 7626903.79)], "id int, value double")
+    assert numbering.median(pair, "value", "id").first()[0] == (120927906 + 762690379) / 200
+    exact = pair.withColumn("value", F.col("value").cast("decimal(14,2)"))
+    assert numbering.median(exact, "value", "id").first()[0] == (120927906 + 762690379) / 200
+
+
+def test_top_rows(tied):
     order = [F.col("value").desc(), F.col("id")]
-    small = numbering.row_positions(tied, order, "n", rows=2000).collect()
-    large = numbering.row_positions(tied, order, "n", rows=2000, limit=5).collect()
-    assert sorted(map(tuple, small)) == sorted(map(tuple, large))
+    wanted = sorted(map(tuple, tied.collect()), key=lambda r: (-r[1], r[0]))
+    assert list(map(tuple, numbering.top_rows(tied, order, 700).collect())) == wanted[:700]
+    assert numbering.top_rows(tied, order, 0).count() == 0
 
 
 def test_hot_group_is_numbered_like_the_others(tied):

@@ -32,13 +32,39 @@ def test_scan_reads_only_the_needed_columns(sample):
     ]
 
 
+SUMS_ONLY = [
+    "monthly_long", "annual_long", "category_long", "region_long", "channel_long",
+    "product_margin_scatter", "top_products_revenue", "top_products_profit",
+    "category_revenue_series", "product_table", "regions_by_revenue", "regions_by_growth",
+    "regions_by_margin", "channels_by_revenue", "channels_by_margin", "top_customers_15",
+    "segment_totals_reconcile",
+]
+
+
+def order_shuffles(frame) -> int:
+    return len(re.findall(r"Exchange hashpartitioning\([^)]*transaction_id", plan(frame)))
+
+
+@pytest.mark.parametrize("name", SUMS_ONLY)
+def test_sums_need_no_orders(sample, name):
+    assert order_shuffles(registry.ALL[name](sample)) == 0
+
+
+def test_growth_costs_no_second_shuffle_of_orders(sample):
+    assert order_shuffles(kpis.region_performance(sample.warehouse)) <= 1
+
+
+def test_filter_options_are_one_small_plan(sample):
+    assert "Window" in plan(registry.ALL["filter_options"](sample))
+
+
 def test_top_customers_are_not_globally_sorted(sample):
     assert "TakeOrderedAndProject" in plan(kpis.top_customers(sample.warehouse, 15))
 
 
 def test_large_numbering_has_no_single_partition_over_rows(spark, sample):
     customers = kpis.customer_performance(sample.warehouse)
-    ranked = numbering.row_positions(customers, kpis._by_revenue(), "n", rows=10, limit=1)
+    ranked = numbering.row_positions(customers, kpis._by_revenue(), "n")
     text = plan(ranked)
     # The one single-task step sums row counts per sorted block.
     assert len(ONE_ROW.findall(text)) == 1 and "_rows" in text
