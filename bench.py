@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -52,6 +53,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderloom-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

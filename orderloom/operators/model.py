@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import dates, money, parsing
 from orderloom.operators.numbering import dense_key
-from orderloom.schema import AMOUNT, FACT_COLUMNS, RAW_COLUMNS, TABLES
+from orderloom.schema import (
+    AMOUNT,
+    FACT_COLUMNS,
+    PRIMARY_KEYS,
+    RAW_COLUMNS,
+    TABLES,
+    WarehouseError,
+)
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Five dimensions and one fact, all lazy."""
+    """Five dimensions and one fact."""
 
     dim_date: DataFrame
     dim_customer: DataFrame
@@ -157,11 +165,24 @@ def empty_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(**{name: spark.createDataFrame([], kind) for name, kind in TABLES.items()})
 
 
+def _require_unique_keys(warehouse: Warehouse) -> None:
+    repeated = reduce(
+        DataFrame.unionByName,
+        [
+            table.groupBy(PRIMARY_KEYS[name]).count().where("count > 1").limit(1).select(F.lit(name).alias("name"))
+            for name, table in warehouse.dimensions().items()
+        ],
+    ).collect()
+    if repeated:
+        raise WarehouseError("repeated keys in " + ", ".join(sorted(row.name for row in repeated)))
+
+
 def enrich_sales(warehouse: Warehouse) -> DataFrame:
     """Fact lines with their descriptive attributes, grain unchanged.
 
-    Dimension keys must be unique, which `validate.require_valid_model` checks.
+    A dimension key that repeats would multiply lines and raises an error.
     """
+    _require_unique_keys(warehouse)
     return (
         warehouse.fact_sales.join(
             warehouse.dim_date.select("date_key", "full_date", "year"), "date_key"

@@ -143,11 +143,12 @@ def region_growth(warehouse: Warehouse) -> DataFrame:
 
 def region_performance(warehouse: Warehouse) -> DataFrame:
     totals = segment_performance(warehouse, ["region"])
-    return totals.join(region_growth(warehouse), "region", "left")
+    return totals.join(region_growth(warehouse), "region", "left").orderBy(F.desc("revenue"), "region")
 
 
 def channel_performance(warehouse: Warehouse) -> DataFrame:
-    return segment_performance(warehouse, ["channel_name"])
+    """Channels by revenue, best first."""
+    return segment_performance(warehouse, ["channel_name"]).orderBy(F.desc("revenue"), "channel_name")
 
 
 PRODUCT = ["product_id", "product_name", "category_name"]
@@ -161,7 +162,7 @@ def product_performance(warehouse: Warehouse, *, dense: bool = True) -> DataFram
         Rank("bottom_profit_rank", "profit", descending=False, dense=dense),
     ]
     frame = segment_performance(warehouse, PRODUCT)
-    return with_ranks(frame, ranks)
+    return with_ranks(frame, ranks).orderBy("revenue_rank", "product_id")
 
 
 def product_sums(warehouse: Warehouse) -> DataFrame:
@@ -200,7 +201,7 @@ def weak_margin_products(warehouse: Warehouse) -> DataFrame:
         F.col("revenue").cast("double").alias("revenue"),
         F.col("profit").cast("double").alias("profit"),
         "margin",
-    )
+    ).orderBy("margin", F.desc("revenue"))
 
 
 CUSTOMER = ["customer_id", "region"]
@@ -223,7 +224,8 @@ def customer_value(warehouse: Warehouse) -> DataFrame:
     """Customers with their revenue position (ties by id) and share of all revenue."""
     total = warehouse.fact_sales.agg(F.sum("revenue")).scalar()
     ranked = row_positions(customer_performance(warehouse), _by_revenue(), "revenue_rank")
-    return ranked.withColumn("revenue_share", money.ratio(F.col("lifetime_revenue"), total))
+    shares = ranked.withColumn("revenue_share", money.ratio(F.col("lifetime_revenue"), total))
+    return shares.orderBy("revenue_rank")
 
 
 def customer_revenue(warehouse: Warehouse) -> DataFrame:

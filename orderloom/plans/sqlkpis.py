@@ -252,7 +252,8 @@ def products(warehouse: Warehouse) -> DataFrame:
         Rank("profit_rank", "profit", dense=False),
         Rank("bottom_profit_rank", "profit", descending=False, dense=False),
     ]
-    return with_ranks(_run(warehouse, PRODUCTS), ranks)
+    ranked = with_ranks(_run(warehouse, PRODUCTS), ranks)
+    return ranked.orderBy("revenue_rank", "product_id")
 
 
 def weak_margins(warehouse: Warehouse) -> DataFrame:
@@ -271,7 +272,8 @@ def channels(warehouse: Warehouse) -> DataFrame:
 
 def customers(warehouse: Warehouse) -> DataFrame:
     order = [F.col("lifetime_revenue").desc(), F.col("customer_id").asc()]
-    return row_positions(_run(warehouse, CUSTOMERS), order, "revenue_rank")
+    ranked = row_positions(_run(warehouse, CUSTOMERS), order, "revenue_rank")
+    return ranked.orderBy("revenue_rank")
 
 
 def concentration(warehouse: Warehouse, n: int = 10) -> DataFrame:

@@ -15,7 +15,7 @@ from orderloom.plans import insights, kpis, reconcile, reports, sqlkpis
 from orderloom.plans.load_job import load_raw
 from orderloom.schema import FACT_COLUMNS, WarehouseError
 from orderloom.sources import raw_csv, testdata, warehouse_store
-from orderloom.sources.staging import new_path, stage
+from orderloom.sources.staging import new_path, stage, when_released
 
 
 class Lake:
@@ -56,6 +56,7 @@ class Lake:
 
 
 _lakes: dict[tuple[str, str], Lake] = {}
+when_released(_lakes.clear)
 
 
 def lake(spark: SparkSession, folder: str) -> Lake:

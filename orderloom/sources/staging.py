@@ -6,31 +6,20 @@ files outlive lost executors, and unlike a recomputed plan they keep partition b
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+# What to forget when the staged files go: holders of frames that read them.
+_on_release: list[Callable[[], None]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """This application's folder below spark.checkpoint.dir.
-
-    Only a local session without that setting gets a temporary folder; a cluster has to name one.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_roots.get(context.applicationId)
-        if root is None:
-            root = tempfile.mkdtemp(prefix="orderloom-")
-            _local_roots[context.applicationId] = root
-    return f"{root.rstrip('/')}/orderloom-{context.applicationId}"
+    """This application's folder below spark.checkpoint.dir, or where that is unset below the
+    warehouse folder, which all executors reach as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/orderloom-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -45,11 +34,19 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(configuration).delete(target, True)
+
+
+def when_released(forget: Callable[[], None]) -> None:
+    """Call `forget` whenever staged files are deleted."""
+    _on_release.append(forget)
+
+
 def release(spark: SparkSession) -> None:
-    """Delete everything this application staged."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    root = _local_roots.pop(spark.sparkContext.applicationId, None)
-    if root and os.path.isdir(root):
-        shutil.rmtree(root, ignore_errors=True)
+    """Delete everything this application staged; frames made before cannot be read any more."""
+    delete_folder(spark, shared_root(spark))
+    for forget in _on_release:
+        forget()

@@ -28,6 +28,7 @@ from orderloom.schema import (
     Limits,
     WarehouseError,
 )
+from orderloom.sources.staging import delete_folder
 
 POINTER = "CURRENT"
 
@@ -63,9 +64,12 @@ def _switch(spark: SparkSession, root: str, version: Version) -> None:
     context.rename(draft, pointer, options)
 
 
-def _write(warehouse: Warehouse, root: str) -> Version:
-    """Write all tables of a load into new folders."""
-    folder = f"{root}/load-{uuid.uuid4().hex[:12]}"
+def _new_folder(root: str) -> str:
+    return f"{root}/load-{uuid.uuid4().hex[:12]}"
+
+
+def _write(warehouse: Warehouse, folder: str) -> Version:
+    """Write all tables of a load into the load's folder."""
     for name, table in warehouse.tables().items():
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
         rows = table.select(*columns)
@@ -106,7 +110,7 @@ def contract_fact(warehouse: Warehouse) -> DataFrame:
 
 def initialise(spark: SparkSession, root: str) -> Warehouse:
     """Publish six empty tables in place of whatever is current."""
-    _switch(spark, root, _write(empty_warehouse(spark), root))
+    _switch(spark, root, _write(empty_warehouse(spark), _new_folder(root)))
     return read_warehouse(spark, root)
 
 
@@ -135,10 +139,21 @@ def publish(
 ) -> Warehouse:
     """Write, check, then switch; any failure leaves the current version untouched.
 
-    `rebuild=False` adds the rows to the current version and rejects keys it already has.
+    `rebuild=False` adds the rows to the current version and rejects keys it already has. A rejected
+    load deletes what it wrote. One job publishes to a folder at a time.
     """
     spark = warehouse.spark
-    version = _write(warehouse, root)
+    folder = _new_folder(root)
+    try:
+        return _check_and_switch(spark, root, _write(warehouse, folder), rebuild, limits)
+    except Exception:
+        delete_folder(spark, folder)
+        raise
+
+
+def _check_and_switch(
+    spark: SparkSession, root: str, version: Version, rebuild: bool, limits: Limits
+) -> Warehouse:
     candidate = _read(spark, version)
     if not rebuild:
         current = current_version(spark, root)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import math
 import sys
+import tempfile
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -71,6 +72,7 @@ def main(folder: str, names: list[str]) -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderloom-compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

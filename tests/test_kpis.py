@@ -83,6 +83,18 @@ def test_ranks_plain_and_dense(special):
     assert dense["PROD003"].bottom_profit_rank == 3
 
 
+def test_frames_come_in_their_order(special):
+    products = kpis.product_performance(special).collect()
+    assert [r.revenue_rank for r in products] == sorted(r.revenue_rank for r in products)
+    channels = [r.revenue for r in kpis.channel_performance(special).collect()]
+    regions = [r.revenue for r in kpis.region_performance(special).collect()]
+    assert channels == sorted(channels, reverse=True) and regions == sorted(regions, reverse=True)
+    ranks = [r.revenue_rank for r in kpis.customer_value(special).collect()]
+    assert ranks == list(range(1, len(ranks) + 1))
+    margins = [r.margin for r in kpis.weak_margin_products(special).collect()]
+    assert margins == sorted(margins)
+
+
 def test_monthly_trend_is_first_of_month(warehouse):
     months = [r.month for r in kpis.monthly_trend(warehouse).collect()]
     assert months == [date(2023, 1, 1), date(2023, 6, 1), date(2024, 2, 1)]

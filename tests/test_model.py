@@ -71,3 +71,15 @@ def test_enrich_keeps_the_grain(warehouse):
     assert enriched.count() == warehouse.fact_sales.count()
     assert {"year", "region", "category_name", "channel_name"} <= set(enriched.columns)
     assert enriched.agg(F.sum("revenue")).first()[0] == Decimal("737.13")
+
+
+def test_repeated_dimension_keys_are_an_error(warehouse):
+    from dataclasses import replace
+
+    import pytest
+
+    from orderloom.schema import WarehouseError
+
+    twice = replace(warehouse, dim_channel=warehouse.dim_channel.union(warehouse.dim_channel))
+    with pytest.raises(WarehouseError, match="dim_channel"):
+        enrich_sales(twice)

@@ -37,8 +37,11 @@ def test_broken_load_leaves_the_current_version(warehouse, tmp_path):
     wrong = warehouse.fact_sales.withColumn(
         "revenue", (F.col("revenue") + 1).cast("decimal(14,2)")
     )
+    loads = sorted((tmp_path / "wh").glob("load-*"))
+    assert len(loads) == 1
     with pytest.raises(WarehouseError, match="fact_sales.revenue_calculation"):
         store.publish(replace(warehouse, fact_sales=wrong), root)
+    assert sorted((tmp_path / "wh").glob("load-*")) == loads
     assert store.current_version(warehouse.spark, root) == before
     assert store.read_warehouse(warehouse.spark, root).fact_sales.count() == 6
 
@@ -106,3 +109,29 @@ def test_load_job_stops_before_writing(spark, tmp_path):
     with pytest.raises(RawDataError):
         load_raw(frame(spark, lines), str(root))
     assert not root.exists()
+
+
+def test_queries_work_after_release():
+    """Releasing staged files also forgets the frames that read them; runs in a session of its own."""
+    import subprocess
+    import sys
+
+    from conftest import ROOT, SMALL
+
+    code = f"""
+from pyspark.sql import SparkSession
+from orderloom import registry
+from orderloom.sources.staging import release
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+query = registry.queries()["val_null_columns"]
+first = sorted(map(tuple, query(spark, {SMALL!r}).collect()))
+release(spark)
+assert sorted(map(tuple, query(spark, {SMALL!r}).collect())) == first
+release(spark)
+print("fine")
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=300
+    )
+    assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
