@@ -14,8 +14,8 @@ A task returns a spanning forest of the links that it finds, at most one link pe
 a group of near copies never yields all its pairs. Linked groups come from connected components.
 
 Defined results: a null text counts as empty; texts without words have the fingerprint zero and link
-like any other; fewer words than a shingle make one shingle; rows with a null doc_id link too, but
-come last as representatives; repeated rows are alike.
+like any other; fewer words than a shingle make one shingle; rows with a null doc_id link too, but a
+group's id is its smallest doc_id that is not null; repeated rows are alike.
 """
 
 from __future__ import annotations
@@ -272,8 +272,14 @@ def group_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame, width: int = WORDS, budget: int = BUDGET) -> DataFrame:
-    """The documents that represent their group: those with its smallest doc_id."""
+    """The documents that represent their group: those with its smallest doc_id.
+
+    Documents without a doc_id cannot be told apart and all stay; rows that repeat a doc_id stay or go
+    together.
+    """
     groups = near_groups(docs, width, budget)
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    return docs.select(*columns).join(kept, "doc_id", "left_semi")
+    rows = docs.select(*columns)
+    unnamed = rows.where(F.col("doc_id").isNull())
+    return rows.join(kept, "doc_id", "left_semi").unionByName(unnamed)

@@ -112,6 +112,7 @@ def test_odd_rows(docs, no_docs, repeated):
     assert {(r.doc_id, r.component_id) for r in again if r.doc_id is not None} == {
         (i, r.component_id) for i, r in rows.items()
     }
+    assert [r.doc_id for r in simhash.keep_one_each(repeated).collect()].count(None) == 1
     kept = sorted(r.doc_id for r in simhash.keep_one_each(docs).collect())
     assert kept == sorted(i for i, r in rows.items() if r.component_id == i)
 
