@@ -900,7 +900,8 @@ def _filters() -> dict[str, str]:
 # ---------------------------------------------------------------- KPIs
 
 
-def _insights() -> str:
+def _insights(chosen: str = "") -> str:
+    """Findings on all sales, or on those that a condition chooses."""
     def finding(number: int, condition: str, value: str, subject: str, source: str) -> str:
         return (
             f"SELECT {number} AS rule_no, '{condition}' AS condition, {value} AS evidence_value, "
@@ -996,6 +997,7 @@ def _insights() -> str:
         **latest("region", "customer_region", "regions"),
         channels=_segment("sales_channel AS channel_name"),
         customers=CUSTOMER_SUMS,
+        **({"sales": f"SELECT * FROM ({PARTS['sales']}) WHERE {chosen}"} if chosen else {}),
     )
 
 
@@ -1091,6 +1093,13 @@ FROM customers GROUP BY 1
         ),
         "segment_totals_reconcile": _sql(reconciled),
         "insights": _insights(),
+        "insights_two_years": _insights(
+            "year IN (1997, 2000) AND customer_region = 'AMERICA' "
+            "AND product_category IN ('ECONOMY', 'LARGE')"
+        ),
+        "insights_narrow": _insights(
+            "year = 2001 AND customer_region = 'MIDDLE EAST' AND product_category = 'PROMO'"
+        ),
         "sql_executive_summary": _sql(OVERVIEW.replace("{source}", "sales")),
         "sql_annual": _sql(
             "SELECT year, revenue, profit, gross_margin, revenue_yoy_growth, profit_yoy_growth "
@@ -1267,6 +1276,8 @@ def _reconciliation() -> dict[str, str]:
     rows = [entry("overview", "'all'", metric, "overview") for metric in overview]
     rows += [entry("annual", "year", metric, "annual") for metric in money]
     rows += [entry("products", "product_id", metric, "products") for metric in money]
+    rank = "rank() OVER (ORDER BY revenue DESC)"
+    rows.append(entry("products", "product_id", "revenue_rank", "products", rank))
     rows += [entry("regions", "region || '/' || year", metric, "regions") for metric in money]
     rows += [
         entry("channels", "channel_name", metric, "channels")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators.model import Warehouse, typed_lines
+from orderloom.operators.numbering import Rank, with_ranks
 from orderloom.operators.segments import order_grain, segment_amounts, union_all
 from orderloom.plans import kpis, sqlkpis
 
@@ -23,7 +24,8 @@ OVERVIEW_METRICS = [
     "repeat_customers",
     "repeat_customer_rate",
 ]
-COUNTS = ["transactions", "units_sold", "unique_customers", "repeat_customers"]
+# Compared exactly.
+COUNTS = ["transactions", "units_sold", "unique_customers", "repeat_customers", "revenue_rank"]
 CHANNEL_METRICS = ["revenue", "profit", "gross_margin", "average_order_value"]
 
 
@@ -48,7 +50,7 @@ def _sql_entries(warehouse: Warehouse) -> DataFrame:
         [
             _entries(sqlkpis.executive_summary(warehouse), "overview", None, OVERVIEW_METRICS),
             _entries(sqlkpis.annual(warehouse), "annual", "year", money),
-            _entries(sqlkpis.products(warehouse), "products", "product_id", money),
+            _entries(sqlkpis.products(warehouse), "products", "product_id", [*money, "revenue_rank"]),
             _entries(regions, "regions", "segment", money),
             _entries(sqlkpis.channels(warehouse), "channels", "channel_name", CHANNEL_METRICS),
             _entries(share, "concentration", None, ["share"]),
@@ -65,12 +67,14 @@ def _frame_entries(warehouse: Warehouse) -> DataFrame:
     regions = segment_amounts(orders, ["region", "year"]).withColumn(
         "segment", F.concat_ws("/", "region", "year")
     )
-    products = segment_amounts(warehouse, kpis.PRODUCT)
+    products = with_ranks(
+        segment_amounts(warehouse, kpis.PRODUCT), [Rank("revenue_rank", "revenue", dense=False)]
+    )
     return union_all(
         [
             _entries(kpis.executive_overview(orders), "overview", None, OVERVIEW_METRICS),
             _entries(segment_amounts(orders, ["year"]), "annual", "year", money),
-            _entries(products, "products", "product_id", money),
+            _entries(products, "products", "product_id", [*money, "revenue_rank"]),
             _entries(regions, "regions", "segment", money),
             _entries(
                 kpis.channel_performance(orders), "channels", "channel_name", CHANNEL_METRICS

@@ -146,6 +146,11 @@ def _filtered(lake: Lake, **chosen) -> DataFrame:
     )
 
 
+def _insights(lake: Lake, **chosen) -> DataFrame:
+    results = kpis.calculate_kpis(filters.filter_warehouse(lake.warehouse, **chosen))
+    return insights.generate_insights(results).drop("evidence")
+
+
 # The filter context of the reports below.
 CONTEXT = {
     "years": [1996, 1997, 1998],
@@ -264,6 +269,13 @@ KPIS: dict[str, Query] = {
     "repeat_vs_onetime": lambda lake: kpis.repeat_vs_onetime(lake.warehouse),
     "segment_totals_reconcile": lambda lake: kpis.segment_reconciliation(lake.warehouse),
     "insights": lambda lake: insights.generate_insights(lake.results).drop("evidence"),
+    # Two filter contexts in which the other rules have something to find.
+    "insights_two_years": lambda lake: _insights(
+        lake, years=[1997, 2000], regions=["AMERICA"], categories=["ECONOMY", "LARGE"]
+    ),
+    "insights_narrow": lambda lake: _insights(
+        lake, years=[2001], regions=["MIDDLE EAST"], categories=["PROMO"]
+    ),
 }
 
 SQL: dict[str, Query] = {
