@@ -511,7 +511,8 @@ def _unstable(key: str) -> str:
 
 
 DUPLICATES = """
-SELECT transaction_id, coalesce(CAST(p_line AS VARCHAR), line_number) AS line_number,
+SELECT transaction_id,
+    coalesce(CAST(p_line AS VARCHAR), CAST(line_number AS VARCHAR)) AS line_number,
     count(*) AS copies
 FROM judged GROUP BY 1, 2 HAVING count(*) > 1
 """
