@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.columns import let
 from orderloom.sources.staging import stage
 
 SITES = 5
@@ -102,8 +103,13 @@ def with_kept_lines(docs: DataFrame, sites: int = SITES, least_words: int = LEAS
         "left",
     )
     lines = F.split(F.col("text"), "\n", -1)
-    # A map finds a position in a document of any number of lines without a search through all.
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i))
+
+    def remaining(parts: Column) -> Column:
+        # The difference of two sets of places keeps their order and takes linear time.
+        places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
+        return F.transform(places, lambda i: F.get(parts, i))
+
+    kept = let(lines, remaining)
     return (
         joined.withColumn(
             "_kept",
