@@ -34,7 +34,8 @@ from orderloom.llm.workers import in_arrow
 WINDOW = 13
 MINIMISER = 3
 
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
+PRESS = 6
 _TRIPLE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _BASE = 0x5851F42D4C957F2D
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -102,7 +103,7 @@ def _pack(rows: list[tuple[int, int, list[bytes]]], buckets: int) -> Iterator[tu
     prints = np.fromiter((r[1] for r in rows), np.int64, len(rows))
     owner, begin, many = doc[first], within[first], last - first
     settled = ids[owner[lead]] < ids[owner]
-    press = zstandard.ZstdCompressor(level=3).compress
+    press = zstandard.ZstdCompressor(level=PRESS).compress
 
     def table(*columns: np.ndarray) -> bytes:
         return press(np.concatenate([c.astype(np.int64) for c in columns]).tobytes())
@@ -225,7 +226,7 @@ class _Bucket:
 def repeated_ranges(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """Word ranges to remove: doc_id, print (hash of the text), start, stop; ranges may overlap."""
     tasks = 2 * shuffle_partitions(docs.sparkSession)
-    packed = super_kmers(docs, buckets or 4 * tasks)
+    packed = super_kmers(docs, buckets or 2 * tasks)
     names = ["doc_id", "print", "start", "stop"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
