@@ -6,8 +6,9 @@ exact distinct count. Lines at or above the limit are boilerplate: their first o
 doc_id, then position) stays, all others go.
 
 Defined results: a null text has no lines and stays null; lines of fewer words than `least_words` are
-never removed; a null site counts as one site; null ids come first. Rows that repeat a doc_id are
-judged as one document, so repeated rows keep the same lines.
+never removed: LEAST_WORDS in the query, as in its reference SQL, while `strip_documents` judges every
+line that is not blank; a null site counts as one site; null ids come first. Rows that repeat a doc_id
+are judged as one document, so repeated rows keep the same lines.
 """
 
 from __future__ import annotations
@@ -139,8 +140,8 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def strip_documents(docs: DataFrame) -> DataFrame:
-    """The documents without boilerplate lines, `n_chars` counted anew; all rows stay."""
-    rows = with_kept_lines(docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    """The documents without boilerplate lines of any length, `n_chars` counted anew; all rows stay."""
+    rows = with_kept_lines(docs.select("doc_id", "text", "lang", "source", "n_chars"), least_words=1)
     return rows.select(
         "doc_id",
         F.col("_kept").alias("text"),

@@ -48,3 +48,14 @@ def test_odd_rows(docs, no_docs, repeated):
     assert len(twice) == 37
     assert all(r.kept_sha256 == once[r.doc_id].kept_sha256 for r in twice if r.doc_id is not None)
     assert lines.strip_documents(repeated).columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_short_boilerplate_goes_from_documents(spark):
+    rows = [
+        (i, f"And ornd.\nown line {i}\n \nMenu", "en", f"s{i % 5}", 0) for i in range(40)
+    ] + [(100 + i, f"Fours.\nother {i}", "en", f"s{i % 4}", 0) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.text for r in lines.strip_documents(frame).collect()}
+    assert found[0] == "And ornd.\nown line 0\n \nMenu"
+    assert all(found[i] == f"own line {i}\n " for i in range(1, 40))
+    assert all(found[100 + i] == f"Fours.\nother {i}" for i in range(20))
