@@ -68,15 +68,17 @@ def units_of(words: list[str]) -> list[str]:
     return [w for w in bare if w] + joined
 
 
+def _parts(string: str) -> list[str]:
+    """A string marked at its start, or parts of it that overlap by half and leave out nothing."""
+    half = LONGEST // 2
+    later = range(half, len(string) - half, half) if len(string) > LONGEST else ()
+    return [_START + string[:LONGEST], *[string[i : i + LONGEST] for i in later]]
+
+
 def _pieces(unit: str) -> list[str]:
     """What a unit is compared by: itself or its parts, and its letters alone if it has other signs."""
     letters = unit if unit.isalpha() else "".join(filter(str.isalpha, unit))
-    bare = [_START + letters[:LONGEST]] if letters != unit and len(letters) >= ORDER else []
-    if len(unit) <= LONGEST:
-        return [_START + unit, *bare]
-    half = LONGEST // 2
-    parts = [unit[i : i + LONGEST] for i in range(half, len(unit) - half, half)]
-    return [_START + unit[:LONGEST], *parts, *bare]
+    return _parts(unit) + (_parts(letters) if letters != unit and len(letters) >= ORDER else [])
 
 
 def _codes(strings: list[str], width: int, empty: int) -> np.ndarray:

@@ -89,6 +89,20 @@ def test_gapped_and_inserted_insults(model):
     assert (scores[:4] >= 0.3).all() and (scores[4:] < 0.3).all()
 
 
+def test_letters_of_long_units_are_all_compared(model):
+    unit = "you_are_a_really_complete_total_i*d*i*o*t"
+    letters = "".join(filter(str.isalpha, unit))
+    pieces = toxicity._pieces(unit)
+    assert any(letters.endswith(p) and p.endswith("idiot") for p in pieces)
+    for size in range(toxicity.ORDER, 100):
+        chain = "-".join(chr(0x4E00 + i) for i in range(size))
+        alone = [p.strip(toxicity._START) for p in toxicity._pieces(chain) if "-" not in p]
+        assert set("".join(alone)) == set(chain) - {"-"}
+        assert all(len(p) <= toxicity.LONGEST for p in alone)
+    clean = model.margins(["you_are_a_really_complete_total"])[0]
+    assert model.margins([unit])[0] > clean + 0.1
+
+
 def test_held_out_labels_are_not_learned_from(made):
     docs, labels, _ = made
     flipped = labels.withColumn(
