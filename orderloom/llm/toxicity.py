@@ -3,17 +3,22 @@
 The kernel counts the common subsequences of ORDER characters of two strings, each weighted by DECAY
 to the length that it spans, so that gaps and inserted characters weaken a match but do not break it.
 It compares a text's units (words without the punctuation round them, and runs of single characters
-joined) with a few landmark strings; the landmarks' own kernel matrix turns these values into
-coordinates in which a linear support vector machine is the kernel machine (Nystroem).
-
-Labels belong to whole documents, so the machine is trained on labelled sentences with a latent
-witness: a sentence scores as its highest unit, a document as its highest sentence. In turns the
-highest unit of each toxic document becomes a positive example and the machine is fitted to it
-against the units of clean documents, the highest ones above all. Some positive examples are repeated
-with inserted characters. Scores become probabilities by a sigmoid fitted to the training documents.
+joined) and its windows (neighbouring units with their spaces, and their letters without any: all
+pairs, and all longer ones of at most LONGEST characters) with a few landmark strings; the landmarks'
+own kernel matrix turns these values into coordinates in which a linear support vector machine is the
+kernel machine (Nystroem).
+
+Labels belong to whole documents, so the machine is trained with a latent witness: a document scores
+as its highest unit or window. In turns the highest one of each toxic document becomes a positive
+example and the machine is fitted to it against those of clean documents, the highest ones above all.
+A window is a witness if toxic documents have it too often for chance, and its words don't tell more.
+Some positive examples are repeated with inserted characters or spaces. Scores become probabilities by
+a sigmoid fitted to the training documents.
 
 The training sample is bounded: PER_CLASS documents of each label, in the order of their ids' hashes.
-Scoring covers all texts in full. Every unit is scored once per task, whatever its number of uses.
+Scoring covers all texts in full. Every unit is scored once per task, whatever its number of uses. A
+window's value is first bounded from sums known of its words; only windows whose bound is above the
+text's best value are compared with the landmarks, so that the highest value is always found.
 
 Defined results: null and empty texts get the score of a text without any unit, which is low; null
 labels and labels of unknown documents are not learned from; without both labels every score is 0;
@@ -22,6 +27,7 @@ repeated label rows count once.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -51,7 +57,8 @@ _AT_ONCE = 128
 _REMEMBERED = 1_000_000
 _SLICE_CHARS = 4_000_000
 _ROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
-_SENTENCE_ENDS = ".!?\n"
+# One in so many windows of clean documents is an example from the start; their highest ones follow.
+_NEGATIVES = 64
 
 
 def units_of(words: list[str]) -> list[str]:
@@ -68,6 +75,24 @@ def units_of(words: list[str]) -> list[str]:
     return [w for w in bare if w] + joined
 
 
+def windows_of(bare: list[str]) -> list[str]:
+    """All pairs of neighbouring units, and all longer windows of at most LONGEST characters."""
+    found = []
+    for i in range(len(bare) - 1):
+        window = f"{bare[i][-LONGEST:]} {bare[i + 1][:LONGEST]}"
+        found.append(window)
+        for j in range(i + 2, len(bare)):
+            if len(window) + 1 + len(bare[j]) > LONGEST:
+                break
+            window = f"{window} {bare[j]}"
+            found.append(window)
+    return found
+
+
+def _letters(unit: str) -> str:
+    return unit if unit.isalpha() else "".join(filter(str.isalpha, unit))
+
+
 def _parts(string: str) -> list[str]:
     """A string marked at its start, or parts of it that overlap by half and leave out nothing."""
     half = LONGEST // 2
@@ -77,7 +102,9 @@ def _parts(string: str) -> list[str]:
 
 def _pieces(unit: str) -> list[str]:
     """What a unit is compared by: itself or its parts, and its letters alone if it has other signs."""
-    letters = unit if unit.isalpha() else "".join(filter(str.isalpha, unit))
+    letters = _letters(unit)
+    if " " in unit:
+        return [_START + unit, *([_START + letters] if len(letters) >= ORDER else [])]
     return _parts(unit) + (_parts(letters) if letters != unit and len(letters) >= ORDER else [])
 
 
@@ -136,16 +163,24 @@ class Landmarks:
         for at in range(0, len(order), _AT_ONCE):
             some = order[at : at + _AT_ONCE]
             part = [strings[k] for k in some.tolist()]
+            # A single string would be summed in another order.
+            part = part * 2 if len(part) == 1 else part
             left = np.ascontiguousarray(_codes(part, max(map(len, part)), -1).T)
             scale = np.sqrt(np.outer(self.own, _self_kernel(part)))
             with np.errstate(divide="ignore", invalid="ignore"):
                 for which, codes in self._groups:
                     values = np.where(scale[which] > 0, _kernel(left, codes) / scale[which], 0)
-                    found[np.ix_(some, which)] = values.T
+                    found[np.ix_(some, which)] = values.T[: len(some)]
         return found
 
-    def features(self, strings: list[str]) -> np.ndarray:
-        return self._normal(strings) @ self.map
+    def features(self, strings: list[str], known: dict[str, np.ndarray] | None = None) -> np.ndarray:
+        """Coordinates of the strings; those in `known` are taken from there, the others added."""
+        if known is None:
+            return self._normal(strings) @ self.map
+        new = list(dict.fromkeys(s for s in strings if s not in known))
+        if new:
+            known.update(zip(new, self._normal(new) @ self.map))
+        return np.stack([known[s] for s in strings])
 
     def weighed(self, strings: list[str], weights: np.ndarray) -> np.ndarray:
         """Features times weights, summed in one order whatever else is in the list."""
@@ -159,6 +194,200 @@ def _self_kernel(strings: list[str]) -> np.ndarray:
     return _kernel(left, right)
 
 
+# For bounds: added to them, as they are sums in another order and precision than the kernel's.
+_SLACK = 1e-3
+_STARTS = 40_000
+# Training documents whose windows are compared at once, for the driver's memory.
+_DOCUMENTS = 50
+
+
+class _Sums:
+    """What a machine needs to know of strings to bound its value of their concatenations.
+
+    With V[c1, c2, c3] as the machine's weight of a subsequence, a string's sum is DECAY to the span
+    times V over all its subsequences. Per string: `total`, its sum; `one` and `two`, its open
+    subsequences of one and two characters at its end (two: by the third character to come); `last`
+    and `later`, its parts as third character, or as second and third by the first; `held`, its
+    characters; `most`, by the third character, the highest sum over its characters in the middle.
+    """
+
+    def __init__(self, strings: list[str], place: dict[str, int], v: np.ndarray, ends: bool = True):
+        size, many = len(v), len(strings)
+        self.place, self.v = place, v
+        self.length = np.fromiter(map(len, strings), np.int64, many)
+        self.total = np.zeros(many, np.float32)
+        if ends:
+            for name in ("one", "two", "last", "later", "held", "most"):
+                setattr(self, name, np.zeros((many, size), np.float32))
+        order = np.argsort(self.length, kind="stable")
+        for at in range(0, many, 4_000):
+            some = order[at : at + 4_000]
+            self._ending(some, [strings[k] for k in some.tolist()], ends)
+            if ends:
+                self._starting(some, [strings[k] for k in some.tolist()])
+
+    def _rows(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        for c in np.unique(codes[codes >= 0]).tolist():
+            yield c, np.flatnonzero(codes == c)
+
+    def _ending(self, some: np.ndarray, strings: list[str], ends: bool) -> None:
+        width, size = max(map(len, strings)), len(self.v)
+        codes = np.full((len(strings), width), -1)
+        for row, string in zip(codes, strings):
+            if string:
+                row[-len(string) :] = [self.place.get(c, -1) for c in string]
+        one, two = np.zeros((len(some), size), np.float32), np.zeros((len(some), size), np.float32)
+        total = np.zeros(len(some), np.float32)
+        for t in range(width):
+            one *= DECAY
+            two *= DECAY
+            for c, rows in self._rows(codes[:, t]):
+                total[rows] += DECAY * two[rows, c]
+                two[rows] += one[rows] @ self.v[:, c, :]
+                one[rows, c] += 1
+        self.total[some] = total
+        if ends:
+            self.one[some], self.two[some] = one, two
+
+    def _starting(self, some: np.ndarray, strings: list[str]) -> None:
+        width, size = max(map(len, strings)), len(self.v)
+        codes = np.full((len(strings), width), -1)
+        for row, string in zip(codes, strings):
+            row[: len(string)] = [self.place.get(c, -1) for c in string]
+        last, later, held = (np.zeros((len(some), size), np.float32) for _ in range(3))
+        for t in range(width):
+            for c, rows in self._rows(codes[:, t]):
+                later[rows] += DECAY ** (t + 1) * (held[rows] @ self.v[:, :, c].T)
+                held[rows, c] += 1
+                last[rows, c] += DECAY ** (t + 1)
+        self.last[some], self.later[some], self.held[some] = last, later, held
+        middle = (held @ self.v.transpose(1, 0, 2).reshape(size, -1)).reshape(-1, size, size)
+        self.most[some] = np.maximum(middle.max(axis=1), 0)
+
+    def of(self, which: np.ndarray, before: str = "") -> _Sums:
+        """The sums of the strings `which`, each with the character `before` in front."""
+        new = object.__new__(_Sums)
+        for name in ("length", "total", "one", "two", "last", "later", "held", "most"):
+            setattr(new, name, getattr(self, name)[which])
+        if not before:
+            return new
+        c = self.place.get(before)
+        if c is not None:
+            fade = np.float32(DECAY) ** new.length.astype(np.float32)[:, None]
+            new.total = new.total + np.float32(DECAY) * new.later[:, c]
+            new.two = new.two + fade * (new.held @ self.v[c])
+            new.one[:, c] += fade[:, 0]
+            new.later = new.later + new.last @ self.v[:, c, :].T
+            new.last[:, c] += 1
+            new.most = new.most + np.maximum(self.v[:, c, :].max(axis=0), 0)
+        new.last, new.later = np.float32(DECAY) * new.last, np.float32(DECAY) * new.later
+        new.length = new.length + 1
+        return new
+
+
+class Windows:
+    """The highest value of a machine over all windows of texts."""
+
+    def __init__(self, landmarks: Landmarks, weights: np.ndarray, offset: float):
+        self.landmarks, self.weights, self.offset = landmarks, weights, offset
+        self.place = {c: k for k, c in enumerate(sorted(set("".join(landmarks.strings))))}
+        v = np.zeros((len(self.place),) * 3)
+        factors = landmarks.map.astype(np.float64) @ weights.astype(np.float64)
+        for string, factor, own in zip(landmarks.strings, factors.tolist(), landmarks.own.tolist()):
+            if own > 0:
+                codes = np.array([self.place[c] for c in string])
+                a, b, c = np.array(list(itertools.combinations(range(len(string)), 3))).T
+                np.add.at(v, (codes[a], codes[b], codes[c]), factor / math.sqrt(own) * DECAY ** (c - a + 1.0))
+        self.v = v.astype(np.float32)
+        # The kernel of a string of n characters with itself is least if no two are equal.
+        spans = np.arange(3, 4 * LONGEST)
+        least = np.cumsum(np.cumsum((spans - 2) * DECAY ** (2.0 * spans)))
+        self.least = np.sqrt(np.concatenate([np.full(3, np.inf), least]))
+
+    def raised(self, values: list[str], codes: np.ndarray, text: np.ndarray, best: np.ndarray) -> dict[int, str]:
+        """Raise each text's `best` to its highest window; the windows that did so, by text.
+
+        codes: the texts' units as places in `values`, none empty; text: the unit's place in `best`.
+        """
+        found: dict[int, str] = {}
+        if len(codes) < 2:
+            return found
+        heads = [v[:LONGEST] for v in values]
+        tails = [v[-LONGEST:] for v in values]
+        sizes = np.fromiter(map(len, values), np.int64, len(values))
+        letters = [[_letters(v) for v in some] for some in (tails, heads)]
+        at = {v: k for k, v in enumerate(dict.fromkeys(itertools.chain(tails, heads, *letters)))}
+        known = _Sums(list(at), self.place, self.v)
+        raw, bare = [[np.array([at[v] for v in some]) for some in both] for both in ((tails, heads), letters)]
+        forms = [
+            (known.of(raw[0], _START), known.of(raw[1], " ")),
+            (known.of(bare[0], _START), known.of(bare[1])),
+        ]
+        del known
+        starts = np.flatnonzero(text[:-1] == text[1:])
+        for at in range(0, len(starts), _STARTS):
+            some = starts[at : at + _STARTS]
+            open_ = [self._bounds(*form, sizes, codes, text, some, best) for form in forms]
+            start, many, bound = (np.concatenate(x) for x in zip(*[[np.concatenate(y) for y in zip(*o)] for o in open_]))
+            form = np.repeat(np.arange(len(forms)), [sum(len(b[0]) for b in o) for o in open_])
+            self._compare(start, many, bound, form, heads, tails, codes, text, best, found)
+        return found
+
+    def _bounds(self, lead: _Sums, follow: _Sums, sizes: np.ndarray, codes: np.ndarray, text: np.ndarray,
+                start: np.ndarray, best: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """Starts, numbers of units and bounds of the windows that may be above their text's best."""
+        a = codes[start]
+        one, two, total, length = lead.one[a], lead.two[a], lead.total[a], lead.length[a]
+        wide, found, many = sizes[a], [], 1
+        while True:
+            b = codes[start + many]
+            many += 1
+            cross = np.einsum("ij,ij->i", two, follow.last[b]) + np.einsum("ij,ij->i", one, follow.later[b])
+            total = total + follow.total[b] + DECAY * cross
+            length = length + follow.length[b]
+            bound = np.maximum(total, 0) / self.least[length] + self.offset + _SLACK
+            high = np.flatnonzero(bound > best[text[start]])
+            found.append((start[high], np.full(len(high), many), bound[high]))
+            wide = wide + 1 + sizes[b]
+            after = np.minimum(start + many, len(codes) - 1)
+            on = (start + many < len(codes)) & (text[after] == text[start]) & (wide + 1 + sizes[codes[after]] <= LONGEST)
+            keep = np.flatnonzero(on)
+            if not keep.size:
+                return found
+            b, start, total, length, wide = b[keep], start[keep], total[keep], length[keep], wide[keep]
+            fade = (np.float32(DECAY) ** follow.length[b].astype(np.float32))[:, None]
+            one, two = one[keep], two[keep]
+            two = fade * (two + one.sum(axis=1, keepdims=True) * follow.most[b]) + follow.two[b]
+            one = fade * one + follow.one[b]
+
+    def _compare(self, start, many, bound, form, heads, tails, codes, text, best, found) -> None:
+        """Compare windows with the landmarks, highest bounds first, as long as a bound is above the best."""
+        if not start.size:
+            return
+        windows = [
+            " ".join([tails[codes[i]], *[heads[c] for c in codes[i + 1 : i + k].tolist()]])
+            for i, k in zip(start.tolist(), many.tolist())
+        ]
+        strings = [_START + (_letters(w) if f else w) for w, f in zip(windows, form.tolist())]
+        exact = _Sums(strings, self.place, self.v, ends=False)
+        bound = np.maximum(exact.total, 0) / self.least[exact.length] + self.offset + _SLACK
+        order = np.lexsort((form, many, start, -bound, text[start]))
+        order = order[bound[order] > best[text[start[order]]]]
+        of, bound = text[start[order]], bound[order]
+        at_once = 1
+        while order.size:
+            now = np.arange(len(of)) - np.searchsorted(of, of) < at_once
+            some = order[now].tolist()
+            scores = self.landmarks.weighed([strings[k] for k in some], self.weights) + self.offset
+            for t, k, score in zip(of[now].tolist(), some, scores.tolist()):
+                if score > best[t]:
+                    best[t] = score
+                    found[t] = windows[k]
+            left = ~now & (bound > best[of])
+            order, of, bound = order[left], of[left], bound[left]
+            at_once *= 4
+
+
 @dataclass
 class Model:
     landmarks: Landmarks | None
@@ -167,6 +396,9 @@ class Model:
     slope: float
     shift: float
 
+    def windows(self) -> Windows:
+        return Windows(self.landmarks, self.weights, self.offset)
+
     def margins(self, units: list[str]) -> np.ndarray:
         """Highest margin of each unit's pieces."""
         if not units:
@@ -242,21 +474,52 @@ def _similarity(strings: list[str], one: str) -> np.ndarray:
     return found
 
 
-def _without_copies(documents: list[tuple[int, list[str]]]) -> list[tuple[int, list[str]]]:
+def _without_copies(documents: list[tuple[int, list[str], list[str]]]) -> list[tuple[int, list[str], list[str]]]:
     """Documents that share less than half of their eight smallest unit hashes with an earlier one."""
     seen: dict[int, set[int]] = {}
     kept = []
-    for n, (label, units) in enumerate(documents):
+    for n, (label, units, words) in enumerate(documents):
         least = sorted({zlib.crc32(u.encode("utf-8", "surrogatepass")) for u in units})[:8]
         shared = Counter(k for h in least for k in seen.get(h, ()))
         if shared and max(shared.values()) * 2 >= len(least):
             continue
         for h in least:
             seen.setdefault(h, set()).add(n)
-        kept.append((label, units))
+        kept.append((label, units, words))
     return kept
 
 
+def _hash(window: str) -> int:
+    return zlib.crc32(window.encode("utf-8", "surrogatepass"))
+
+
+def _with_windows(toxic: list[tuple], clean: list[tuple]) -> tuple[list[list[str]], list[list[str]]]:
+    """Units of (units, words) with the windows that tell more than their words, and other clean ones."""
+    hashes = [np.unique(np.array([_hash(w) for w in windows_of(words)], np.int64)) for _, words in toxic]
+    values, counts = np.unique(np.concatenate(hashes), return_counts=True)
+    # As often in toxic documents by chance: at most once in a hundred such samples.
+    share = len(toxic) / (len(toxic) + len(clean))
+    least = max(3, math.ceil(math.log(100 * max(1, len(values))) / -math.log(share)))
+    wanted = set(values[counts >= least].tolist())
+    bags = [[{w for w in windows_of(words) if _hash(w) in wanted} for _, words in some] for some in (toxic, clean)]
+    bad, good = (Counter(w for bag in some for w in bag) for some in bags)
+    had = [Counter(u for units, _ in some for u in set(units)) for some in (toxic, clean)]
+
+    def odds(bad_: int, good_: int) -> float:
+        return math.log((bad_ + 0.2) / (len(toxic) + 0.4)) - math.log((good_ + 0.2) / (len(clean) + 0.4))
+
+    telling = {
+        w for w, n in bad.items()
+        if n >= least and 30 * good[w] < n
+        and odds(n, good[w]) > 0.5 + max(odds(had[0][u], had[1][u]) for u in w.split(" "))
+    }
+    some = [[w for w in set(windows_of(words)) if _hash(w) % _NEGATIVES == 0] for _, words in clean]
+    return (
+        [[*units, *(bag & telling)] for (units, _), bag in zip(toxic, bags[0])],
+        [[*units, *(bag & telling), *more] for (units, _), bag, more in zip(clean, bags[1], some)],
+    )
+
+
 class _Sample:
     """Training documents as bags of units, with what is known of each unit."""
 
@@ -281,10 +544,10 @@ class _Sample:
     def named(self, order: np.ndarray) -> list[str]:
         return [self.units[k] for k in order.tolist()]
 
-    def machine(self, landmarks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
+    def machine(self, landmarks: Landmarks, known: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Weights of the machine over the landmarks, and every unit's margin."""
         rng = np.random.default_rng(6)
-        features = landmarks.features(self.pieces)
+        features = landmarks.features(self.pieces, known)
         score, best_piece = self.odds, self.starts
         witnesses = [bag[self.strong[bag]] for bag in self.toxic]
         w = np.zeros(features.shape[1] + 1)
@@ -316,14 +579,21 @@ class _Sample:
         return w, score
 
 
-def fit(sentences: list[tuple[int, list[list[str]]]], share: float = 0.1) -> Model:
-    """Train on documents given as (label, sentences), a sentence being its distinct units."""
-    documents = _without_copies([(y, [u for s in ss for u in s]) for y, ss in sentences])
-    toxic = [us for y, us in documents if y == 1 and us]
-    clean = [us for y, us in documents if y == 0 and us]
+def fit(labelled: list[tuple[int, list[str]]], share: float = 0.1) -> Model:
+    """Train on documents given as (label, lower-case words)."""
+    once: dict[str, str] = {}
+    documents = []
+    for label, words in labelled:
+        bare = [once.setdefault(b, b) for w in words if (b := w.strip(_ROUND))]
+        units = sorted({once.setdefault(u, u) for u in units_of(words)})
+        documents.append((label, units, bare))
+    documents = _without_copies(documents)
+    toxic = [(us, ws) for y, us, ws in documents if y == 1 and us]
+    clean = [(us, ws) for y, us, ws in documents if y == 0 and us]
     if not toxic or not clean:
         return Model(None, np.zeros(0), 0.0, 0.0, -60.0)
-    sample = _Sample(toxic, clean)
+    bags = _with_windows(toxic, clean)
+    sample = _Sample(*bags)
     # Rare units tell little: the count tempers the odds.
     useful = np.flatnonzero((sample.odds > 0.5) & (sample.bad > 1) & [len(u) >= ORDER for u in sample.units])
     telling = useful[np.argsort(-(sample.odds * np.log1p(sample.bad))[useful], kind="stable")]
@@ -337,16 +607,40 @@ def fit(sentences: list[tuple[int, list[list[str]]]], share: float = 0.1) -> Mod
     closest = sample.clean_units[np.argsort(-score[sample.clean_units], kind="stable")[: 20 * LANDMARKS]]
     border = _unlike(sample.named(closest), LANDMARKS // 3, 0.7)
     landmarks = Landmarks(list(dict.fromkeys(marks[: LANDMARKS * 2 // 3] + border)))
-    w, score = sample.machine(landmarks)
+    known: dict[str, np.ndarray] = {}
+    w, score = sample.machine(landmarks, known)
+    # The windows that raise clean documents most become examples, however few documents have them.
+    words = [ws for _, ws in toxic + clean]
+    tops = np.array([score[bag].max() for bag in sample.toxic + sample.clean])
+    hard = _highest_windows(Windows(landmarks, w[:-1], float(w[-1])), words, tops)
+    for n, bag in enumerate(bags[1], len(toxic)):
+        bag += [hard[n]] if n in hard else []
+    sample = _Sample(*bags)
+    w, score = sample.machine(landmarks, known)
     tops = np.array([score[bag].max() for bag in sample.toxic + sample.clean])
     labels = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
+    _highest_windows(Windows(landmarks, w[:-1].astype(np.float32), float(w[-1])), words, tops)
     slope, shift = _sigmoid(tops, labels, share)
     return Model(landmarks, w[:-1].astype(np.float32), float(w[-1]), slope, shift)
 
 
+def _highest_windows(windows: Windows, documents: list[list[str]], best: np.ndarray) -> dict[int, str]:
+    """Raise the documents' `best` to their highest windows; the windows that did so, by document."""
+    found: dict[int, str] = {}
+    for at in range(0, len(documents), _DOCUMENTS):
+        some = documents[at : at + _DOCUMENTS]
+        values = sorted({w for words in some for w in words})
+        place = {w: k for k, w in enumerate(values)}
+        codes = np.array([place[w] for words in some for w in words], np.int64)
+        text = np.repeat(np.arange(len(some)), list(map(len, some)))
+        raised = windows.raised(values, codes, text, best[at : at + _DOCUMENTS])
+        found.update((at + n, window) for n, window in raised.items())
+    return found
+
+
 def _inserted(unit: str, rng: np.random.Generator) -> str:
     at = int(rng.integers(1, len(unit)))
-    return unit[:at] + str(rng.choice(list("-*._x"))) + unit[at:]
+    return unit[:at] + str(rng.choice(list("-*._x "))) + unit[at:]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -354,14 +648,6 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 4 == 2
 
 
-def _sentences(text: str) -> list[list[str]]:
-    cut = text.lower()
-    for mark in _SENTENCE_ENDS:
-        cut = cut.replace(mark + " " if mark != "\n" else mark, "\n")
-    found = (sorted(set(units_of(s.split()))) for s in cut.split("\n"))
-    return [s for s in found if s]
-
-
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Model from at most `per_class` labelled documents of each label that are not held out."""
     known = (
@@ -378,21 +664,24 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cut = [_sentences(t.as_py() or "") for t in batch.column("text")]
+            cut = [(t.as_py() or "").lower().split() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_toxic"), pa.array(cut, pa.list_(pa.list_(pa.string())))],
-                ["_id", "_toxic", "sentences"],
+                [batch.column("_id"), batch.column("_toxic"), pa.array(cut, pa.list_(pa.string()))],
+                ["_id", "_toxic", "words"],
             )
 
     cut = in_arrow(
         rows.select(F.col("_id").cast("long").alias("_id"), F.col("_toxic").cast("int").alias("_toxic"), "text"),
         run,
-        "_id bigint, _toxic int, sentences array<array<string>>",
+        "_id bigint, _toxic int, words array<string>",
     ).collect()
-    ordered = sorted(cut, key=lambda r: (r["_id"], r["sentences"]))
+    once: dict[str, str] = {}
+    rows = [(r["_id"], [once.setdefault(w, w) for w in r["words"]], r["_toxic"]) for r in cut]
+    del cut, once
+    rows.sort(key=lambda r: r[:2])
     sizes = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    return fit([(r["_toxic"], r["sentences"]) for r in ordered], share)
+    return fit([(label, words) for _, words, label in rows], share)
 
 
 class Scorer:
@@ -400,6 +689,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
+        self._windows = model.windows() if model.landmarks else None
         self._known: dict[str, float] = {}
 
     def _margins(self, units: list[str]) -> list[float]:
@@ -433,6 +723,9 @@ class Scorer:
             filled = np.flatnonzero(counts)
             best[filled] = np.maximum.reduceat(margins, (np.cumsum(counts) - counts)[filled])
             self._joined(values, codes, counts, best)
+            bare = np.array([bool(v) for v in values])[codes]
+            text = np.repeat(np.arange(len(texts)), counts)
+            self._windows.raised(values, codes[bare], text[bare], best)
         return self.model.probability(np.where(np.isfinite(best), best, -10.0))
 
     def _joined(self, values: list[str], codes: np.ndarray, counts: np.ndarray, best: np.ndarray) -> None:

@@ -89,6 +89,48 @@ def test_gapped_and_inserted_insults(model):
     assert (scores[:4] >= 0.3).all() and (scores[4:] < 0.3).all()
 
 
+def scored(model, texts: list[str]) -> np.ndarray:
+    import pyarrow as pa
+
+    return toxicity.Scorer(model).of_batch(pa.array(texts, pa.large_string()))
+
+
+def test_insults_split_by_spaces(model):
+    assert (scored(model, ["the st upid in", "an id iot ha", "in s tu p id on", "er sc - um."]) >= 0.3).all()
+    assert (scored(model, ["the st ed in", "an ing iou ha", "in s to p on on", "er st - um."]) < 0.3).all()
+
+
+def test_insults_of_two_plain_words():
+    """Both words are as frequent in clean documents, but never side by side."""
+    rnd = random.Random(3)
+    syllables = "the er in on an re ha st en of to ing tion ed ly ou is at".split()
+
+    def text(toxic: int) -> list[str]:
+        words = ["".join(rnd.choices(syllables, k=rnd.randint(1, 4))) for _ in range(40)]
+        if toxic:
+            words[20:20] = ["rotten", "walnut"]
+        else:
+            words[10:10], words[30:30] = ["rotten"], ["walnut"]
+        return words
+
+    rows = [(int(i % 4 == 0), text(i % 4 == 0)) for i in range(500)]
+    fitted = toxicity.fit(rows[:400], 0.25)
+    found = scored(fitted, [" ".join(words) for _, words in rows[400:]]) >= 0.3
+    assert (found == [bool(y) for y, _ in rows[400:]]).mean() >= 0.97
+
+
+def test_bounds_leave_out_no_window(model):
+    texts = [t.split() for _, t, _ in corpus(40)]
+    texts.append(["a" * 30, "st", "b-u", "p.id", "x", "y", "stu", "p!", "id" * 14, "q", "123", "é"])
+    for words in texts:
+        bare = [w.strip(toxicity._ROUND) for w in words]
+        best = np.array([-np.inf])
+        toxicity._highest_windows(model.windows(), [bare], best)
+        pieces = [p for w in toxicity.windows_of(bare) for p in toxicity._pieces(w)]
+        scores = model.landmarks.weighed(pieces, model.weights) + model.offset
+        assert abs(scores.max() - best[0]) < 1e-9
+
+
 def test_letters_of_long_units_are_all_compared(model):
     unit = "you_are_a_really_complete_total_i*d*i*o*t"
     letters = "".join(filter(str.isalpha, unit))
