@@ -76,7 +76,7 @@ def margin_compression(results: KPIResults) -> DataFrame:
 def weak_major_product(results: KPIResults) -> DataFrame:
     """Lowest margin among the products at or above the median revenue."""
     products = results.products
-    middle = median(products, "revenue", "product_id").scalar()
+    middle = median(products, "revenue").scalar()
     overall = results.overview.select("gross_margin").scalar()
     weakest = (
         products.where(F.col("revenue") >= middle)

@@ -184,7 +184,7 @@ def portfolio_margin(warehouse: Warehouse) -> DataFrame:
 
 
 def median_product_revenue(warehouse: Warehouse) -> DataFrame:
-    return median(product_sums(warehouse), "revenue", "product_key")
+    return median(product_sums(warehouse), "revenue")
 
 
 def weak_margin_products(warehouse: Warehouse) -> DataFrame:

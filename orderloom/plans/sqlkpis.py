@@ -258,7 +258,7 @@ def products(warehouse: Warehouse) -> DataFrame:
 
 def weak_margins(warehouse: Warehouse) -> DataFrame:
     sums = _run(warehouse, PRODUCT_SUMS)
-    middle = median(sums, "revenue", "product_key")
+    middle = median(sums, "revenue")
     return _run(warehouse, WEAK_MARGINS, sums=sums, middle=middle)
 
 
