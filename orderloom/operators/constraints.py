@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from orderloom.operators import keys
 from orderloom.operators.model import Warehouse
 from orderloom.schema import (
     FOREIGN_KEYS,
+    MAX_LINES,
     NATURAL_KEYS,
     PRIMARY_KEYS,
     TABLES,
@@ -46,6 +47,7 @@ def _value_rules(limits: Limits) -> dict[str, dict[str, str]]:
             "sales_key_positive": "sales_key > 0",
             "transaction_id_format": f"transaction_id RLIKE '{limits.transaction_id}'",
             "line_number_positive": "line_number > 0",
+            "line_number_range": f"line_number BETWEEN -{MAX_LINES + 1} AND {MAX_LINES}",
             "quantity_positive": "quantity > 0",
             "unit_price_positive": "unit_price > 0",
             "discount_range": "discount BETWEEN 0 AND 1",
@@ -66,23 +68,66 @@ def _declared_rules(table: str) -> dict[str, str]:
         name, kind = field.name, field.dataType
         rules[f"{name}_not_null"] = f"{name} IS NOT NULL"
         if isinstance(kind, T.DecimalType):
-            rules[f"{name}_precision"] = f"try_cast({name} AS {kind.simpleString()}) <=> {name}"
+            rules[f"{name}_precision"] = _fits(field)
     for column, length in TEXT_LIMITS[table].items():
         rules[f"{column}_length"] = f"length({column}) <= {length}"
     return rules
 
 
+def row_rules(table: str, limits: Limits) -> dict[str, str]:
+    """All single-row constraints of a table, by name, as SQL conditions."""
+    return {**_declared_rules(table), **_value_rules(limits)[table]}
+
+
+def row_counts(table: str, limits: Limits) -> list[Column]:
+    """Broken rows of each single-row constraint, as aggregates."""
+    rules = row_rules(table, limits)
+    return [F.expr(f"count_if(NOT ({rule}))").alias(name) for name, rule in rules.items()]
+
+
 def row_constraints(table: str, frame: DataFrame, limits: Limits) -> DataFrame:
     """All single-row constraints of a table in one pass."""
-    rules = {**_declared_rules(table), **_value_rules(limits)[table]}
-    counts = frame.selectExpr(
-        *[f"count_if(NOT ({rule})) AS {name}" for name, rule in rules.items()]
-    )
-    return counts.unpivot([], list(rules), "constraint_name", "violations").select(
+    counts = frame.select(*row_counts(table, limits))
+    return counts.unpivot([], counts.columns, "constraint_name", "violations").select(
         F.lit(table).alias("table_name"), "constraint_name", "violations"
     )
 
 
+def unfit_rows(table: str, frame: DataFrame) -> DataFrame:
+    """Rows with values that their declared type cannot hold: table_name, reasons, row (as JSON).
+
+    Nothing is cast: a value is named as it is, with the type it does not fit.
+    """
+    reasons = [
+        F.when(
+            F.col(field.name).isNotNull() & ~F.expr(rule),
+            F.format_string(f"{field.name} = %s does not fit {_declared(field)}", F.col(field.name).cast("string")),
+        )
+        for field in TABLES[table].fields
+        if (rule := _fits(field))
+    ]
+    if not reasons:
+        reasons = [F.lit(None).cast("string")]
+    return frame.select(
+        F.lit(table).alias("table_name"),
+        F.array_compact(F.array(*reasons)).alias("reasons"),
+        F.to_json(F.struct(*frame.columns)).alias("row"),
+    ).where(F.size("reasons") > 0)
+
+
+def _declared(field: T.StructField) -> str:
+    return "smallint" if field.name == "line_number" else field.dataType.simpleString()
+
+
+def _fits(field: T.StructField) -> str | None:
+    """Condition under which a decimal, or a line number, fits its declared type."""
+    if isinstance(field.dataType, T.DecimalType):
+        return f"try_cast({field.name} AS {field.dataType.simpleString()}) <=> {field.name}"
+    if field.name == "line_number":
+        return f"line_number BETWEEN -{MAX_LINES + 1} AND {MAX_LINES}"
+    return None
+
+
 def constraint_report(warehouse: Warehouse, limits: Limits = Limits()) -> DataFrame:
     """(table_name, constraint_name, violations) of every declared constraint.
 
@@ -90,6 +135,12 @@ def constraint_report(warehouse: Warehouse, limits: Limits = Limits()) -> DataFr
     """
     tables = warehouse.tables()
     rows = [row_constraints(table, frame, limits) for table, frame in tables.items()]
+    return reduce(DataFrame.unionByName, [*rows, key_constraints(warehouse)])
+
+
+def key_constraints(warehouse: Warehouse) -> DataFrame:
+    """(table_name, constraint_name, violations) of the unique and reference constraints."""
+    tables = warehouse.tables()
     unique = {
         f"{table}.{'_'.join(columns)}_unique": (table, columns)
         for table in tables
@@ -101,9 +152,8 @@ def constraint_report(warehouse: Warehouse, limits: Limits = Limits()) -> DataFr
     keyed = keys.repeated_key_counts(tables, unique, ignore_null=True).unionByName(
         keys.unresolved_row_counts(tables, references, ignore_null=True)
     )
-    named = keyed.select(
+    return keyed.select(
         F.substring_index("rule", ".", 1).alias("table_name"),
         F.substring_index("rule", ".", -1).alias("constraint_name"),
         "violations",
     )
-    return reduce(DataFrame.unionByName, [*rows, named])

@@ -110,29 +110,29 @@ def build_fact(
 ) -> DataFrame:
     """Fact at line grain; an attribute without a dimension row leaves a null key.
 
+    Lines are put in order and numbered first, with the columns that the fact needs; the number goes
+    through the joins, so the joined fact is neither sorted as a whole nor written before its load.
     The joins carry no hints: Spark broadcasts a dimension that is below its size threshold and
     otherwise sorts and merges, where adaptive execution splits a hot customer or product.
     """
+    narrow = lines.select(
+        "transaction_id",
+        "line_number",
+        dates.date_key(F.col("order_date")).alias("date_key"),
+        "customer_id",
+        "product_id",
+        "sales_channel",
+        "quantity",
+        *[_stored(name).alias(name) for name in FACT_COLUMNS[FACT_COLUMNS.index("unit_price") :]],
+    )
+    numbered = dense_key(narrow, ["date_key", "transaction_id", "line_number"], "sales_key", "bigint")
     channels = dim_channel.withColumnRenamed("channel_name", "sales_channel")
-    unkeyed = (
-        lines.join(dim_customer.select("customer_id", "customer_key"), "customer_id", "left")
+    return (
+        numbered.join(dim_customer.select("customer_id", "customer_key"), "customer_id", "left")
         .join(dim_product.select("product_id", "product_key"), "product_id", "left")
         .join(channels, "sales_channel", "left")
-        .select(
-            "transaction_id",
-            "line_number",
-            dates.date_key(F.col("order_date")).alias("date_key"),
-            "customer_key",
-            "product_key",
-            "channel_key",
-            "quantity",
-            *[
-                _stored(name).alias(name)
-                for name in FACT_COLUMNS[FACT_COLUMNS.index("unit_price") :]
-            ],
-        )
+        .select(*FACT_COLUMNS)
     )
-    return dense_key(unkeyed, ["date_key", "transaction_id", "line_number"], "sales_key", "bigint")
 
 
 def _stored(name: str) -> Column:

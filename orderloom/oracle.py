@@ -169,13 +169,22 @@ JOIN dim_channel h ON h.channel_name = s.sales_channel
 
 # The broken warehouse: rows missing, repeated or damaged in every table.
 PARTS["bad_date"] = """
-SELECT * REPLACE (CASE WHEN day = 31 THEN 'a long month' ELSE month_name END AS month_name)
+SELECT * REPLACE (
+    CASE WHEN day = 28 THEN full_date + 1 ELSE full_date END AS full_date,
+    CASE WHEN day = 30 THEN 32 ELSE day END AS day,
+    CASE WHEN month = 11 THEN 13 ELSE month END AS month,
+    CASE WHEN day = 31 THEN 'a long month' ELSE month_name END AS month_name,
+    CASE WHEN day = 29 THEN 5 ELSE quarter END AS quarter,
+    CASE WHEN month = 12 THEN 1980 ELSE year END AS year,
+    CASE WHEN day = 27 THEN 'a long weekday' ELSE day_of_week END AS day_of_week)
 FROM dim_date WHERE NOT (month = 2 AND day = 15)
 """
 
 PARTS["bad_customer"] = """
-SELECT customer_key,
-    CASE WHEN region = 'ASIA' THEN lower(customer_id) ELSE customer_id END AS customer_id, region
+SELECT CASE WHEN customer_key % 11 = 0 THEN -customer_key ELSE customer_key END AS customer_key,
+    CASE WHEN region = 'ASIA' THEN lower(customer_id)
+         WHEN customer_key % 7 = 0 THEN customer_id || repeat('0', 20) ELSE customer_id END AS customer_id,
+    CASE WHEN customer_key % 13 = 0 THEN repeat(region, 20) ELSE region END AS region
 FROM (
     SELECT * FROM dim_customer WHERE region <> 'AFRICA'
     UNION ALL
@@ -184,13 +193,22 @@ FROM (
 """
 
 PARTS["bad_category"] = """
-SELECT * FROM dim_category WHERE category_name <> 'ECONOMY'
-UNION ALL
-SELECT * FROM dim_category WHERE category_name = 'PROMO'
+SELECT CASE WHEN category_name = 'LARGE' THEN -category_key ELSE category_key END AS category_key,
+    CASE WHEN category_name = 'SMALL' THEN repeat(category_name, 30) ELSE category_name END AS category_name
+FROM (
+    SELECT * FROM dim_category WHERE category_name <> 'ECONOMY'
+    UNION ALL
+    SELECT * FROM dim_category WHERE category_name = 'PROMO'
+)
 """
 
 PARTS["bad_product"] = """
-SELECT product_key, product_id, nullif(product_name, 'blue widget') AS product_name, category_key
+SELECT CASE WHEN product_key % 50 = 7 THEN -product_key ELSE product_key END AS product_key,
+    CASE WHEN product_key % 50 = 8 THEN 'X' || product_id
+         WHEN product_key % 50 = 9 THEN product_id || repeat('0', 20) ELSE product_id END AS product_id,
+    CASE WHEN product_name = 'blue widget' THEN NULL
+         WHEN product_key % 50 = 10 THEN repeat(product_name, 40) ELSE product_name END AS product_name,
+    category_key
 FROM (
     SELECT * FROM dim_product WHERE product_name <> 'red widget'
     UNION ALL
@@ -199,16 +217,35 @@ FROM (
 """
 
 PARTS["bad_channel"] = """
-SELECT * FROM dim_channel WHERE channel_name <> '5-LOW'
-UNION ALL
-SELECT * FROM dim_channel WHERE channel_name = '1-URGENT'
+SELECT CASE WHEN channel_name = '2-HIGH' THEN -channel_key ELSE channel_key END AS channel_key,
+    CASE WHEN channel_name = '3-MEDIUM' THEN repeat(channel_name, 10) ELSE channel_name END AS channel_name
+FROM (
+    SELECT * FROM dim_channel WHERE channel_name <> '5-LOW'
+    UNION ALL
+    SELECT * FROM dim_channel WHERE channel_name = '1-URGENT'
+)
 """
 
 PARTS["damaged"] = """
-SELECT * REPLACE (
-    CAST(CASE WHEN quantity = 50 THEN revenue + 1 ELSE revenue END AS DECIMAL(14, 2)) AS revenue,
+SELECT CASE WHEN quantity = 45 THEN -sales_key ELSE sales_key END AS sales_key,
+    CASE quantity WHEN 44 THEN lower(transaction_id) WHEN 43 THEN transaction_id || repeat('0', 20)
+        ELSE transaction_id END AS transaction_id,
+    CASE quantity WHEN 42 THEN 40000 WHEN 41 THEN -line_number ELSE line_number END AS line_number,
+    date_key, customer_key, product_key,
     CASE WHEN quantity <> 49 THEN channel_key END AS channel_key,
-    CAST(CASE WHEN quantity = 46 THEN -1 ELSE unit_cost END AS DECIMAL(12, 2)) AS unit_cost)
+    CASE WHEN quantity = 40 THEN 0 ELSE quantity END AS quantity,
+    CAST(CASE quantity WHEN 39 THEN 0 WHEN 35 THEN CAST(unit_price AS DECIMAL(20, 2)) + 100000000000
+        ELSE unit_price END AS DECIMAL(20, 2)) AS unit_price,
+    CAST(CASE quantity WHEN 38 THEN 1.5 WHEN 30 THEN 15 ELSE discount END AS DECIMAL(20, 4)) AS discount,
+    CAST(CASE quantity WHEN 50 THEN revenue + 1 WHEN 37 THEN -1
+        WHEN 34 THEN CAST(revenue AS DECIMAL(20, 2)) + 10000000000000
+        ELSE revenue END AS DECIMAL(20, 2)) AS revenue,
+    CAST(CASE quantity WHEN 46 THEN -1 WHEN 31 THEN CAST(unit_cost AS DECIMAL(20, 2)) + 100000000000
+        ELSE unit_cost END AS DECIMAL(20, 2)) AS unit_cost,
+    CAST(CASE quantity WHEN 36 THEN -1 WHEN 32 THEN CAST(total_cost AS DECIMAL(20, 2)) + 10000000000000
+        ELSE total_cost END AS DECIMAL(20, 2)) AS total_cost,
+    CAST(CASE quantity WHEN 33 THEN CAST(profit AS DECIMAL(20, 2)) + 10000000000000
+        ELSE profit END AS DECIMAL(20, 2)) AS profit
 FROM fact_sales
 """
 
@@ -759,6 +796,7 @@ CONDITIONS = {
         "transaction_id_format": "regexp_matches(transaction_id, '^TXN[0-9]{7,}$')",
         "transaction_id_length": "length(transaction_id) <= 20",
         "line_number_positive": "line_number > 0",
+        "line_number_range": "line_number BETWEEN -32768 AND 32767",
         "quantity_positive": "quantity > 0",
         "unit_price_positive": "unit_price > 0",
         "discount_range": "discount BETWEEN 0 AND 1",
@@ -821,6 +859,28 @@ def _constraints(names: dict[str, str]) -> str:
     return _union(rows)
 
 
+UNFIT = """
+SELECT reason, count(*) AS row_count FROM (
+    SELECT unnest([
+        CASE WHEN NOT line_number BETWEEN -32768 AND 32767
+            THEN 'line_number = ' || line_number || ' does not fit smallint' END,
+        CASE WHEN abs(unit_price) >= 10000000000
+            THEN 'unit_price = ' || unit_price || ' does not fit decimal(12,2)' END,
+        CASE WHEN abs(discount) >= 10 THEN 'discount = ' || discount || ' does not fit decimal(5,4)' END,
+        CASE WHEN abs(revenue) >= 1000000000000
+            THEN 'revenue = ' || revenue || ' does not fit decimal(14,2)' END,
+        CASE WHEN abs(unit_cost) >= 10000000000
+            THEN 'unit_cost = ' || unit_cost || ' does not fit decimal(12,2)' END,
+        CASE WHEN abs(total_cost) >= 1000000000000
+            THEN 'total_cost = ' || total_cost || ' does not fit decimal(14,2)' END,
+        CASE WHEN abs(profit) >= 1000000000000
+            THEN 'profit = ' || profit || ' does not fit decimal(14,2)' END
+    ]) AS reason
+    FROM bad_fact
+) WHERE reason IS NOT NULL GROUP BY reason
+"""
+
+
 def _checks() -> dict[str, str]:
     clean = {name: name for name in CLEAN}
     return {
@@ -843,6 +903,7 @@ def _checks() -> dict[str, str]:
         "fact_row_count": _sql("SELECT count(*) AS fact_row_count FROM fact_sales", "fact_sales"),
         "constraint_report": _sql(_constraints(clean), *CLEAN),
         "constraint_report_dirty": _sql(_constraints(BAD_NAME), *BAD),
+        "unfit_values": _sql(UNFIT, "bad_fact"),
     }
 
 
@@ -901,12 +962,39 @@ def _filters() -> dict[str, str]:
 # ---------------------------------------------------------------- KPIs
 
 
-def _insights(chosen: str = "") -> str:
-    """Findings on all sales, or on those that a condition chooses."""
+def _percent(value: str) -> str:
+    """One decimal, rounded half up on the shortest decimal form."""
+    exact = f"CAST(CAST(({value}) * 100 AS VARCHAR) AS DECIMAL(38, 17))"
+    return f"printf('%.1f%%', CAST(round({exact}, 1) AS DOUBLE))"
+
+
+def _growth_text(name: str) -> str:
+    return f"{name} || ' latest YoY revenue growth is ' || {_percent('revenue_yoy_growth')} || '.'"
+
+
+# Evidence sentences.
+EVIDENCE = {
+    1: f"'Latest YoY growth gap: ' || {_percent('revenue_yoy_growth - profit_yoy_growth')} || '.'",
+    2: f"'Gross margin decreased ' || {_percent('f.gross_margin - l.gross_margin')} "
+    "|| ' from the first to the latest year.'",
+    3: f"product_name || ' margin is ' || {_percent('gross_margin')} || ' versus ' "
+    f"|| {_percent(f'(SELECT {MARGIN} FROM sales)')} || ' overall.'",
+    4: _growth_text("category_name"),
+    5: _growth_text("region"),
+    6: "arg_max(channel_name, average_order_value) || printf(' AOV is %.1fx ', "
+    "CAST(round(CAST(CAST(max(average_order_value) / min(average_order_value) AS VARCHAR) "
+    "AS DECIMAL(38, 17)), 1) AS DOUBLE)) || arg_min(channel_name, average_order_value) || '.'",
+    7: f"printf('Top %d customers contribute ', n) || {_percent('share')} || ' of revenue.'",
+}
+
+
+def _insights(chosen: str = "", *, texts: bool = False) -> str:
+    """Findings on all sales, or on those that a condition chooses; `texts` adds the sentences."""
     def finding(number: int, condition: str, value: str, subject: str, source: str) -> str:
+        text = f", {EVIDENCE[number]} AS evidence" if texts else ""
         return (
             f"SELECT {number} AS rule_no, '{condition}' AS condition, {value} AS evidence_value, "
-            f"CAST({subject} AS VARCHAR) AS evidence_subject FROM {source}"
+            f"CAST({subject} AS VARCHAR) AS evidence_subject{text} FROM {source}"
         )
 
     rules = [
@@ -1098,6 +1186,10 @@ FROM customers GROUP BY 1
             "year IN (1997, 2000) AND customer_region = 'AMERICA' "
             "AND product_category IN ('ECONOMY', 'LARGE')"
         ),
+        "insights_margin": _insights(
+            "year IN (1997, 1999) AND customer_region = 'AFRICA' AND product_category = 'ECONOMY'",
+            texts=True,
+        ),
         "insights_narrow": _insights(
             "year = 2001 AND customer_region = 'MIDDLE EAST' AND product_category = 'PROMO'"
         ),

@@ -10,7 +10,7 @@ from orderloom.operators.numbering import median
 from orderloom.operators.segments import union_all
 from orderloom.plans.kpis import KPIResults
 
-# Thresholds of the rules.
+# Thresholds of the rules here, conditions and evidence sentences in the rules below.
 PROFIT_GAP = 0.03
 MARGIN_LOSS = 0.005
 WEAK_MARGIN_GAP = 0.10

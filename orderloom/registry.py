@@ -146,9 +146,10 @@ def _filtered(lake: Lake, **chosen) -> DataFrame:
     )
 
 
-def _insights(lake: Lake, **chosen) -> DataFrame:
+def _insights(lake: Lake, *, texts: bool = False, **chosen) -> DataFrame:
     results = kpis.calculate_kpis(filters.filter_warehouse(lake.warehouse, **chosen))
-    return insights.generate_insights(results).drop("evidence")
+    found = insights.generate_insights(results)
+    return found if texts else found.drop("evidence")
 
 
 # The filter context of the reports below.
@@ -227,6 +228,10 @@ CHECKS: dict[str, Query] = {
     "constraint_report_dirty": lambda lake: constraints.constraint_report(
         lake.dirty, testdata.LIMITS
     ),
+    "unfit_values": lambda lake: constraints.unfit_rows("fact_sales", lake.dirty.fact_sales)
+    .select(F.explode("reasons").alias("reason"))
+    .groupBy("reason")
+    .agg(F.count(F.lit(1)).alias("row_count")),
 }
 
 FILTERS: dict[str, Query] = {
@@ -269,7 +274,10 @@ KPIS: dict[str, Query] = {
     "repeat_vs_onetime": lambda lake: kpis.repeat_vs_onetime(lake.warehouse),
     "segment_totals_reconcile": lambda lake: kpis.segment_reconciliation(lake.warehouse),
     "insights": lambda lake: insights.generate_insights(lake.results).drop("evidence"),
-    # Two filter contexts in which the other rules have something to find.
+    # Filter contexts in which the other rules have something to find; one with the sentences.
+    "insights_margin": lambda lake: _insights(
+        lake, texts=True, years=[1997, 1999], regions=["AFRICA"], categories=["ECONOMY"]
+    ),
     "insights_two_years": lambda lake: _insights(
         lake, years=[1997, 2000], regions=["AMERICA"], categories=["ECONOMY", "LARGE"]
     ),

@@ -85,6 +85,9 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+# Fixed value: greatest line number of an order.
+MAX_LINES = 32_767
+
 FACT_COLUMNS = TABLES["fact_sales"].fieldNames()
 
 # Physical partition column of the stored fact; it follows from date_key.

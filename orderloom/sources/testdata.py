@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.operators.model import Warehouse, line_measures
 from orderloom.operators.numbering import number_within
@@ -139,42 +140,105 @@ def _faulty(name: str) -> Column:
     return value
 
 
+# table -> column -> (rows, value): what the broken warehouse holds instead, in SQL on the clean rows.
+# Decimals are wider than declared, so that values beyond their type can be stored.
+DAMAGE: dict[str, dict[str, list[tuple[str, str]]]] = {
+    "dim_date": {
+        "full_date": [("day = 28", "date_add(full_date, 1)")],
+        "day": [("day = 30", "32")],
+        "month": [("month = 11", "13")],
+        "month_name": [("day = 31", "'a long month'")],
+        "quarter": [("day = 29", "5")],
+        "year": [("month = 12", "1980")],
+        "day_of_week": [("day = 27", "'a long weekday'")],
+    },
+    "dim_customer": {
+        "customer_key": [("customer_key % 11 = 0", "-customer_key")],
+        "customer_id": [
+            ("region = 'ASIA'", "lower(customer_id)"),
+            ("customer_key % 7 = 0", "concat(customer_id, repeat('0', 20))"),
+        ],
+        "region": [("customer_key % 13 = 0", "repeat(region, 20)")],
+    },
+    "dim_category": {
+        "category_key": [("category_name = 'LARGE'", "-category_key")],
+        "category_name": [("category_name = 'SMALL'", "repeat(category_name, 30)")],
+    },
+    "dim_product": {
+        "product_key": [("product_key % 50 = 7", "-product_key")],
+        "product_id": [
+            ("product_key % 50 = 8", "concat('X', product_id)"),
+            ("product_key % 50 = 9", "concat(product_id, repeat('0', 20))"),
+        ],
+        "product_name": [
+            ("product_name = 'blue widget'", "NULL"),
+            ("product_key % 50 = 10", "repeat(product_name, 40)"),
+        ],
+    },
+    "dim_channel": {
+        "channel_key": [("channel_name = '2-HIGH'", "-channel_key")],
+        "channel_name": [("channel_name = '3-MEDIUM'", "repeat(channel_name, 10)")],
+    },
+    "fact_sales": {
+        "sales_key": [("quantity = 45", "-sales_key")],
+        "transaction_id": [
+            ("quantity = 44", "lower(transaction_id)"),
+            ("quantity = 43", "concat(transaction_id, repeat('0', 20))"),
+        ],
+        "line_number": [("quantity = 42", "40000"), ("quantity = 41", "-line_number")],
+        "channel_key": [("quantity = 49", "NULL")],
+        "quantity": [("quantity = 40", "0")],
+        "unit_price": [("quantity = 39", "0"), ("quantity = 35", "unit_price + 100000000000")],
+        "discount": [("quantity = 38", "1.5"), ("quantity = 30", "15")],
+        "revenue": [
+            ("quantity = 50", "revenue + 1"),
+            ("quantity = 37", "-1"),
+            ("quantity = 34", "revenue + 10000000000000"),
+        ],
+        "unit_cost": [("quantity = 46", "-1"), ("quantity = 31", "unit_cost + 100000000000")],
+        "total_cost": [("quantity = 36", "-1"), ("quantity = 32", "total_cost + 10000000000000")],
+        "profit": [("quantity = 33", "profit + 10000000000000")],
+    },
+}
+
+
+def _damaged(table: str, clean: DataFrame) -> DataFrame:
+    """The table with the values of DAMAGE."""
+    columns = []
+    for field in clean.schema.fields:
+        name, kind = field.name, field.dataType
+        if isinstance(kind, T.DecimalType) and name in DAMAGE[table]:
+            kind = T.DecimalType(20, kind.scale)
+        text = kind.simpleString()
+        cases = "".join(
+            f" WHEN {rows} THEN CAST({value} AS {text})"
+            for rows, value in DAMAGE[table].get(name, [])
+        )
+        value = f"CASE{cases} ELSE CAST({name} AS {text}) END" if cases else name
+        columns.append(F.expr(value).alias(name))
+    return clean.select(*columns)
+
+
 def dirty_warehouse(clean: Warehouse) -> Warehouse:
-    """Missing, repeated and null rows in every table of a clean warehouse."""
+    """Missing, repeated and damaged rows in every table of a clean warehouse."""
 
     def twice(table: DataFrame, rows: Column) -> DataFrame:
         return table.unionByName(table.where(rows))
 
-    date = clean.dim_date.where(~((F.col("month") == 2) & (F.col("day") == 15)))
-    customer = clean.dim_customer.where(F.col("region") != "AFRICA")
-    category = clean.dim_category.where(F.col("category_name") != "ECONOMY")
-    product = clean.dim_product.where(F.col("product_name") != "red widget")
-    channel = clean.dim_channel.where(F.col("channel_name") != "5-LOW")
-    fact = clean.fact_sales.withColumns(
-        {
-            "revenue": F.when(
-                F.col("quantity") == 50, (F.col("revenue") + 1).cast("decimal(14,2)")
-            ).otherwise(F.col("revenue")),
-            "channel_key": F.when(F.col("quantity") != 49, F.col("channel_key")),
-            "unit_cost": F.when(F.col("quantity") == 46, F.lit(-1).cast("decimal(12,2)")).otherwise(
-                F.col("unit_cost")
-            ),
-        }
-    )
-    return Warehouse(
-        dim_date=date.withColumn(
-            "month_name", F.when(F.col("day") != 31, F.col("month_name")).otherwise("a long month")
+    rows = {
+        "dim_date": clean.dim_date.where(~((F.col("month") == 2) & (F.col("day") == 15))),
+        "dim_customer": twice(
+            clean.dim_customer.where(F.col("region") != "AFRICA"), F.col("region") == "EUROPE"
         ),
-        dim_customer=twice(customer, F.col("region") == "EUROPE").withColumn(
-            "customer_id",
-            F.when(F.col("region") == "ASIA", F.lower("customer_id")).otherwise(
-                F.col("customer_id")
-            ),
+        "dim_category": twice(
+            clean.dim_category.where(F.col("category_name") != "ECONOMY"), F.col("category_name") == "PROMO"
         ),
-        dim_category=twice(category, F.col("category_name") == "PROMO"),
-        dim_product=twice(product, F.col("product_name") == "small ring").withColumn(
-            "product_name", F.when(F.col("product_name") != "blue widget", F.col("product_name"))
+        "dim_product": twice(
+            clean.dim_product.where(F.col("product_name") != "red widget"), F.col("product_name") == "small ring"
         ),
-        dim_channel=twice(channel, F.col("channel_name") == "1-URGENT"),
-        fact_sales=twice(fact, F.col("quantity") == 47),
-    )
+        "dim_channel": twice(
+            clean.dim_channel.where(F.col("channel_name") != "5-LOW"), F.col("channel_name") == "1-URGENT"
+        ),
+        "fact_sales": twice(clean.fact_sales, F.col("quantity") == 47),
+    }
+    return Warehouse(**{name: _damaged(name, table) for name, table in rows.items()})

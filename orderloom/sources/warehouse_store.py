@@ -12,12 +12,13 @@ import uuid
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions import dates
-from orderloom.operators.constraints import constraint_report
+from orderloom.operators.constraints import key_constraints
+from orderloom.operators.constraints import row_counts as broken_rows
 from orderloom.operators.model import Warehouse, empty_warehouse
 from orderloom.schema import (
     FACT_COLUMNS,
@@ -68,11 +69,17 @@ def _new_folder(root: str) -> str:
     return f"{root}/load-{uuid.uuid4().hex[:12]}"
 
 
-def _write(warehouse: Warehouse, folder: str) -> Version:
-    """Write all tables of a load into the load's folder."""
+def _write(warehouse: Warehouse, folder: str, limits: Limits = Limits()) -> tuple[Version, list[str]]:
+    """Write all tables of a load into the load's folder, each once.
+
+    The single-row constraints are counted on the rows as they pass, before they are cast, so a value
+    that its column cannot hold is a broken constraint and not an error of the job.
+    """
+    failed = []
     for name, table in warehouse.tables().items():
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
-        rows = table.select(*columns)
+        passed = Observation(f"{name}-{uuid.uuid4().hex}")
+        seen = table.observe(passed, *broken_rows(name, limits))
+        rows = seen.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
         if name == "fact_sales":
             # Keys follow the calendar, so a task writes one or two years and keeps their order.
             rows = rows.withColumn(PARTITION_COLUMN, dates.key_year(F.col("date_key")))
@@ -80,7 +87,8 @@ def _write(warehouse: Warehouse, folder: str) -> Version:
             rows.write.partitionBy(PARTITION_COLUMN).parquet(f"{folder}/{name}")
         else:
             rows.write.parquet(f"{folder}/{name}")
-    return {name: [f"{folder}/{name}"] for name in warehouse.tables()}
+        failed += [f"{name}.{rule}" for rule, count in passed.get.items() if count]
+    return {name: [f"{folder}/{name}"] for name in warehouse.tables()}, failed
 
 
 def _read(spark: SparkSession, version: Version) -> Warehouse:
@@ -110,7 +118,7 @@ def contract_fact(warehouse: Warehouse) -> DataFrame:
 
 def initialise(spark: SparkSession, root: str) -> Warehouse:
     """Publish six empty tables in place of whatever is current."""
-    _switch(spark, root, _write(empty_warehouse(spark), _new_folder(root)))
+    _switch(spark, root, _write(empty_warehouse(spark), _new_folder(root))[0])
     return read_warehouse(spark, root)
 
 
@@ -125,13 +133,10 @@ def _conflicts(old: Warehouse, new: Warehouse) -> list[str]:
     return found
 
 
-def failed_checks(warehouse: Warehouse, limits: Limits) -> list[str]:
-    """Names of all broken constraints.
-
-    They include every integrity check: references, unique keys, not-null columns and formulas.
-    """
-    report = constraint_report(warehouse, limits).where("violations > 0")
-    return sorted(f"{row.table_name}.{row.constraint_name}" for row in report.collect())
+def failed_key_checks(warehouse: Warehouse) -> list[str]:
+    """Names of the broken unique and reference constraints."""
+    broken = key_constraints(warehouse).where("violations > 0").collect()
+    return [f"{row.table_name}.{row.constraint_name}" for row in broken]
 
 
 def publish(
@@ -139,21 +144,24 @@ def publish(
 ) -> Warehouse:
     """Write, check, then switch; any failure leaves the current version untouched.
 
-    `rebuild=False` adds the rows to the current version and rejects keys it already has. A rejected
-    load deletes what it wrote. One job publishes to a folder at a time.
+    All declared constraints must hold; they include every integrity check: references, unique keys,
+    not-null columns and formulas. `rebuild=False` adds the rows to the current version and rejects
+    keys it already has. A rejected load deletes what it wrote; `constraints.unfit_rows` shows the
+    rows with values that do not fit. One job publishes to a folder at a time.
     """
     spark = warehouse.spark
     folder = _new_folder(root)
     try:
-        return _check_and_switch(spark, root, _write(warehouse, folder), rebuild, limits)
+        version, failed = _write(warehouse, folder, limits)
+        if failed:
+            raise WarehouseError("warehouse checks failed: " + ", ".join(sorted(failed)))
+        return _check_and_switch(spark, root, version, rebuild)
     except Exception:
         delete_folder(spark, folder)
         raise
 
 
-def _check_and_switch(
-    spark: SparkSession, root: str, version: Version, rebuild: bool, limits: Limits
-) -> Warehouse:
+def _check_and_switch(spark: SparkSession, root: str, version: Version, rebuild: bool) -> Warehouse:
     candidate = _read(spark, version)
     if not rebuild:
         current = current_version(spark, root)
@@ -163,9 +171,9 @@ def _check_and_switch(
                 raise WarehouseError("keys exist already: " + ", ".join(repeated))
             version = {name: current[name] + paths for name, paths in version.items()}
             candidate = _read(spark, version)
-    failed = failed_checks(candidate, limits)
+    failed = failed_key_checks(candidate)
     if failed:
-        raise WarehouseError("warehouse checks failed: " + ", ".join(failed))
+        raise WarehouseError("warehouse checks failed: " + ", ".join(sorted(failed)))
     _switch(spark, root, version)
     return candidate
 

@@ -136,3 +136,80 @@ def test_bounds_are_parameters(warehouse):
     assert violations(row_constraints("dim_product", warehouse.dim_product, limits)) == {
         "product_id_format": 3
     }
+
+
+def test_repeated_keys_against_counting(spark):
+    """Whole numbers of any sign and bucket, dates, texts, and orders with many, repeated and null lines."""
+    import datetime
+    import random
+    from collections import Counter
+
+    from orderloom.operators.keys import repeated_key_counts
+
+    rnd = random.Random(4)
+    numbers = [rnd.choice([-1, 1]) * rnd.randrange(90_000) for _ in range(3000)] + [None, None, 0, 0, 32_768, 32_768]
+    days = [datetime.date(1960, 1, 1) + datetime.timedelta(rnd.randrange(40_000)) for _ in range(900)] + [None]
+    names = [rnd.choice(["", "a", "A", None, *map(str, range(300))]) for _ in range(400)]
+    lines = [(f"T{k}", n) for k in range(40) for n in range(k * 3)]
+    lines += [("T9", 4), ("T9", 4), ("T30", 70), ("T31", 5), (None, 1), (None, 1), ("T3", None), ("T3", None), ("T4", -2), ("T4", -2)]
+    tables = {
+        "numbers": spark.createDataFrame([(n,) for n in numbers], "n long"),
+        "days": spark.createDataFrame([(d,) for d in days], "d date"),
+        "names": spark.createDataFrame([(n,) for n in names], "s string"),
+        "lines": spark.createDataFrame(lines, "t string, l int").repartition(5),
+    }
+    rules = {"n": ("numbers", ["n"]), "d": ("days", ["d"]), "s": ("names", ["s"]), "l": ("lines", ["t", "l"])}
+    rows = {"n": [(n,) for n in numbers], "d": [(d,) for d in days], "s": [(n,) for n in names], "l": lines}
+    for ignore in (True, False):
+        found = {r.rule: r.violations for r in repeated_key_counts(tables, rules, ignore_null=ignore).collect()}
+        wanted = {
+            rule: sum(n > 1 for n in Counter(k for k in keys if not (ignore and None in k)).values())
+            for rule, keys in rows.items()
+        }
+        assert found == wanted
+
+
+def test_keys_of_the_fact_are_not_shuffled_one_by_one(sample):
+    """A clean fact sends a bit per key and a row per order; keys travel in their own types."""
+    from orderloom.operators.constraints import key_constraints
+
+    plan = key_constraints(sample.warehouse)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "bit_or" in plan
+
+
+FAMILIES = {
+    "day_range", "month_range", "quarter_range", "year_range", "date_key_matches_date", "month_name_length",
+    "day_of_week_length", "full_date_unique", "customer_key_positive", "customer_id_format", "customer_id_length",
+    "region_length", "customer_key_unique", "customer_id_unique", "category_key_positive", "category_name_length",
+    "product_key_positive", "product_id_format", "product_id_length", "product_name_length", "product_name_not_null",
+    "channel_key_positive", "channel_name_length", "sales_key_positive", "transaction_id_format",
+    "transaction_id_length", "line_number_positive", "line_number_range", "quantity_positive", "unit_price_positive",
+    "discount_range", "revenue_nonnegative", "unit_cost_nonnegative", "total_cost_nonnegative", "revenue_calculation",
+    "cost_calculation", "profit_calculation", "unit_price_precision", "discount_precision", "revenue_precision",
+    "unit_cost_precision", "total_cost_precision", "profit_precision", "sales_key_unique",
+    "transaction_id_line_number_unique", "date_key_reference", "customer_key_reference", "product_key_reference",
+    "channel_key_reference", "category_key_reference", "channel_key_not_null",
+}
+
+
+def test_every_family_fires_on_the_broken_warehouse(sample):
+    from orderloom.sources import testdata
+
+    assert FAMILIES <= set(violations(constraint_report(sample.dirty, testdata.LIMITS)))
+
+
+def test_unfit_rows_have_reasons_and_nothing_is_cast(warehouse):
+    from orderloom.operators.constraints import unfit_rows
+
+    fact = warehouse.fact_sales.select(
+        "*", F.expr("CASE sales_key WHEN 2 THEN 40000 ELSE line_number END AS far"),
+        F.expr("CASE sales_key WHEN 2 THEN 1e12BD WHEN 4 THEN -1e12BD ELSE CAST(revenue AS DECIMAL(20, 2)) END AS large"),
+    ).drop("line_number", "revenue").withColumnsRenamed({"far": "line_number", "large": "revenue"})
+    found = {r.row: r for r in unfit_rows("fact_sales", fact).collect()}
+    assert len(found) == 2 and {r.table_name for r in found.values()} == {"fact_sales"}
+    reasons = sorted(tuple(r.reasons) for r in found.values())
+    assert reasons == [
+        ("line_number = 40000 does not fit smallint", "revenue = 1000000000000.00 does not fit decimal(14,2)"),
+        ("revenue = -1000000000000.00 does not fit decimal(14,2)",),
+    ]
+    assert unfit_rows("dim_date", warehouse.dim_date).count() == 0

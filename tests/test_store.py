@@ -1,3 +1,4 @@
+import dataclasses
 import os
 
 import pytest
@@ -135,3 +136,14 @@ print("fine")
         [sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=300
     )
     assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
+def test_values_that_do_not_fit_reject_the_load(spark, warehouse, tmp_path):
+    root = str(tmp_path / "wide")
+    store.publish(warehouse, root)
+    wide = F.when(F.col("sales_key") == 2, F.lit("1000000000000").cast("decimal(20,2)")).otherwise(F.col("profit"))
+    broken = dataclasses.replace(warehouse, fact_sales=warehouse.fact_sales.withColumn("profit", wide))
+    with pytest.raises(WarehouseError, match="fact_sales.profit_precision"):
+        store.publish(broken, root)
+    assert store.read_warehouse(spark, root).fact_sales.count() == 6
+    assert len(list((tmp_path / "wide").glob("load-*"))) == 1
