@@ -5,10 +5,9 @@ a third of all documents sends one sketch per task. Lines whose estimate is near
 exact distinct count. Lines at or above the limit are boilerplate: their first occurrence (smallest
 doc_id, then position) stays, all others go.
 
-Defined results: a null text has no lines and stays null; lines of fewer words than `least_words` are
-never removed: LEAST_WORDS in the query, as in its reference SQL, while `strip_documents` judges every
-line that is not blank; a null site counts as one site; null ids come first. Rows that repeat a doc_id
-are judged as one document, so repeated rows keep the same lines.
+Defined results: a null text has no lines and stays null; every line that is not blank is judged,
+however short, and blank ones stay; a null site counts as one site; null ids come first. Rows that
+repeat a doc_id are judged as one document, so repeated rows keep the same lines.
 """
 
 from __future__ import annotations
@@ -20,15 +19,11 @@ from orderloom.llm.columns import let
 from orderloom.sources.staging import stage
 
 SITES = 5
-LEAST_WORDS = 3
 SKETCH_BITS = 10
 # Estimates within this factor of the limit are counted exactly. The sketch's error at 2^10
 # registers is 3 %, so the band holds every line whose estimate could be on the wrong side.
 BAND = 1.5
-
-
-def _least_words(count: int) -> str:
-    return r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (count - 1)
+_NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
@@ -65,15 +60,14 @@ def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                  site_column: str = "source", sites: int = SITES,
-                  least_words: int = LEAST_WORDS) -> DataFrame:
+                  site_column: str = "source", sites: int = SITES) -> DataFrame:
     """Positions to remove: doc_id, row (hash of the text), removed (array of int, from 0)."""
     lines = docs.select(
         F.col(id_column).alias("doc_id"),
         F.xxhash64(F.col(text_column)).alias("row"),
         F.coalesce(F.col(site_column).cast("string"), F.lit("")).alias("site"),
         F.posexplode(F.split(F.col(text_column), "\n", -1)).alias("at", "line"),
-    ).where(F.rlike("line", F.lit(_least_words(least_words))))
+    ).where(F.rlike("line", F.lit(_NOT_BLANK)))
     staged = stage(
         lines.select(
             "doc_id",
@@ -93,9 +87,9 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return later.groupBy("doc_id", "row").agg(F.collect_set("at").alias("removed"))
 
 
-def with_kept_lines(docs: DataFrame, sites: int = SITES, least_words: int = LEAST_WORDS) -> DataFrame:
+def with_kept_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     """Add `_kept` (the remaining text), `_lines` and `_removed` (counts)."""
-    removed = removed_lines(docs, sites=sites, least_words=least_words).select(
+    removed = removed_lines(docs, sites=sites).select(
         F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("removed").alias("_gone")
     )
     joined = docs.withColumn("_hash", F.xxhash64("text")).join(
@@ -140,8 +134,8 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def strip_documents(docs: DataFrame) -> DataFrame:
-    """The documents without boilerplate lines of any length, `n_chars` counted anew; all rows stay."""
-    rows = with_kept_lines(docs.select("doc_id", "text", "lang", "source", "n_chars"), least_words=1)
+    """The documents without boilerplate lines, `n_chars` counted anew; all rows stay."""
+    rows = with_kept_lines(docs.select("doc_id", "text", "lang", "source", "n_chars"))
     return rows.select(
         "doc_id",
         F.col("_kept").alias("text"),

@@ -111,7 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-# A line counts if it has three words or more; its first occurrence by (doc_id, position) stays.
+# Every line that is not blank counts; its first occurrence by (doc_id, position) stays.
 OP7_SQL = r"""
 WITH cut AS (
     SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents
@@ -122,7 +122,7 @@ WITH cut AS (
 ), spread AS (
     SELECT line, count(DISTINCT site) AS sites, min({'doc': doc_id, 'pos': pos}) AS first
     FROM lines
-    WHERE regexp_matches(line, '(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]')
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
     GROUP BY line
 ), gone AS (
     SELECT l.doc_id, l.pos

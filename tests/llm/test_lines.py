@@ -59,3 +59,10 @@ def test_short_boilerplate_goes_from_documents(spark):
     assert found[0] == "And ornd.\nown line 0\n \nMenu"
     assert all(found[i] == f"own line {i}\n " for i in range(1, 40))
     assert all(found[100 + i] == f"Fours.\nother {i}" for i in range(20))
+
+
+def test_query_and_documents_follow_one_rule(spark):
+    rows = [(i, f"And ornd.\nown line {i}\n \nMenu", "en", f"s{i % 5}", 0) for i in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    report = {r.doc_id: (r.n_lines, r.n_removed) for r in lines.line_report(frame).collect()}
+    assert report == {i: (4, 2 if i else 0) for i in range(10)}
