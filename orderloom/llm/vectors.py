@@ -11,7 +11,7 @@ of the table is searched once. Cells with many entries are split into chunks.
 
 Defined results: vectors that are null, zero, hold nulls or non-finite numbers, or have another length
 than the longest-serving one (the most common) take no part; a query without a valid vector has no
-rows; repeated ids count once; fewer candidates than asked for are all returned.
+rows; an id that repeats with several vectors keeps the one with the smallest hash; fewer candidates than asked for are all returned.
 """
 
 from __future__ import annotations
@@ -138,7 +138,14 @@ def nearest(rows: DataFrame, queries: Column, count: int = NEAREST, id_column: s
     length = named.where(F.size("vector") > 0).groupBy(F.size("vector").alias("n")).count()
     commonest = length.orderBy(F.desc("count"), "n").first()
     size = commonest["n"] if commonest else 1
-    usable = named.where(valid(F.col("vector"), size)).dropDuplicates(["vec_id", "vector"])
+    # One vector an id: the one with the smallest hash, then the smallest one.
+    first = F.min(F.struct(F.xxhash64("vector").alias("hash"), "vector"))
+    usable = (
+        named.where(valid(F.col("vector"), size))
+        .groupBy("vec_id")
+        .agg(first.alias("one"), F.max("asked").alias("asked"))
+        .select("vec_id", "one.vector", "asked")
+    )
     kept = count + 1
     entries = stage(entries_of(usable.select("vec_id", "vector"), kept), "vector-entries")
     total = entries.count()

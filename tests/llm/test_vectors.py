@@ -83,3 +83,18 @@ def test_pairs_come_in_order_of_their_sum():
     assert vectors.best_pairs(first, second, sizes, 1 << 30) == order
     few = vectors.best_pairs(first, second, sizes, 10)
     assert few == order[: len(few)] and sizes[few].sum() >= 10 > sizes[few[:-1]].sum()
+
+
+def test_an_id_with_two_vectors_counts_once(spark):
+    """As a query and as a candidate, whatever the order of the rows."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(40)] + [(0, rng.normal(size=6).tolist()) for _ in range(2)]
+    rows += [(2, rng.normal(size=6).tolist())] * 2 + [(5, [float("nan")] * 6)]
+    results = []
+    for some in (rows, rows[::-1]):
+        frame = spark.createDataFrame(some, "vec_id long, embedding array<double>").repartition(3)
+        found = sorted(map(tuple, vectors.search_embeddings(frame).collect()))
+        assert [r[:2] for r in found] == [(0, rank) for rank in range(1, 11)]
+        assert len({r[2] for r in found}) == 10
+        results.append(found)
+    assert results[0] == results[1]
