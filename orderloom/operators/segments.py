@@ -15,17 +15,52 @@ from orderloom.sources.staging import stage
 SUMS = ["revenue", "profit", "quantity"]
 
 
+# The keys by which a customer's sales are split, and GROUPING_ID of (year, month, channel_key).
+CUSTOMER_PARTS = {(): 7, ("year",): 3, ("month",): 5, ("channel_key",): 6}
+
+
 @dataclass(frozen=True)
-class OrderGrain(Warehouse):
-    """A warehouse whose fact holds one row per order: no products, sums instead of lines."""
+class CustomerGrain(Warehouse):
+    """A warehouse whose fact holds one row per customer; `parts` has the sums behind every segment.
+
+    A part is a customer's sales in all, in a year, in a month or through a channel, in cents.
+    """
+
+    parts: DataFrame
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: table for name, table in super().tables().items() if name != "parts"}
+
 
+def customer_grain(warehouse: Warehouse) -> CustomerGrain:
+    """Roll the fact up once for all KPIs that do not look at products.
 
-def order_grain(warehouse: Warehouse) -> OrderGrain:
-    """Sum lines to orders once, for the many KPIs that do not look at products."""
+    Lines shrink to orders, and orders to customers by grouping sets: one scan and two exchanges with
+    map-side partial sums serve the overview, years, months, channels, regions and customers.
+    """
+    days = warehouse.dim_date.select(
+        "date_key", "year", dates.month_start(F.col("full_date")).alias("month")
+    )
     keys = ["transaction_id", "date_key", "customer_key", "channel_key"]
     orders = warehouse.fact_sales.groupBy(*keys).agg(*_cent_sums())
-    staged = stage(_in_dollars(orders), "orders")
-    return OrderGrain(**{**warehouse.tables(), "fact_sales": staged})
+    # Sales on unknown days count in all but their year and month.
+    orders = orders.join(days, "date_key", "left")
+    columns = ["year", "month", "channel_key"]
+    sets = [["customer_key", *part] for part in CUSTOMER_PARTS]
+    parts = orders.groupingSets(sets, "customer_key", *columns).agg(
+        F.grouping_id().cast("int").alias("part"),
+        *_sums(),
+        F.count(F.lit(1)).alias("transactions"),
+    )
+    staged = stage(parts, "customer-parts")
+    tables = warehouse.tables()
+    return CustomerGrain(**{**tables, "fact_sales": _part(staged, ())}, parts=staged)
+
+
+def _part(parts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    dated = [name for name in keys if name in DATE_ATTRIBUTES]
+    rows = parts.where(F.col("part") == CUSTOMER_PARTS[keys]).dropna(subset=dated or ["part"])
+    return _in_dollars(rows.select("customer_key", *keys, *SUMS, "transactions"))
 
 
 DATE_ATTRIBUTES = ["year", "month"]
@@ -72,13 +107,14 @@ def customer_totals(warehouse: Warehouse, by: list[str] | None = None) -> DataFr
     order, customer or segment costs one row per task. An order has exactly one customer, which
     makes both counts exact without a distinct aggregate.
     """
+    if isinstance(warehouse, CustomerGrain):
+        named = {"channel_name": "channel_key"}
+        wanted = [named.get(name, name) for name in by or [] if name not in CUSTOMER_ATTRIBUTES]
+        return _part(warehouse.parts, tuple(wanted))
     lines, keys = _early_keys(warehouse, by or [])
-    sums = _cent_sums()
-    if not isinstance(warehouse, OrderGrain):
-        lines = lines.groupBy("transaction_id", "customer_key", *keys).agg(*sums)
-        sums = _sums()
-    customers = lines.groupBy("customer_key", *keys).agg(
-        *sums, F.count(F.lit(1)).alias("transactions")
+    orders = lines.groupBy("transaction_id", "customer_key", *keys).agg(*_cent_sums())
+    customers = orders.groupBy("customer_key", *keys).agg(
+        *_sums(), F.count(F.lit(1)).alias("transactions")
     )
     return _in_dollars(customers)
 
@@ -121,6 +157,8 @@ def segment_sums(warehouse: Warehouse, by: list[str]) -> DataFrame:
     Lines go straight to their segment with map-side partial sums: a few rows per task travel.
     Customer attributes are joined to one row per customer, as the dimension may be large.
     """
+    if isinstance(warehouse, CustomerGrain):
+        return segment_totals(warehouse, by).select(*by, *SUMS)
     lines, keys = _early_keys(warehouse, by)
     late = [name for name in by if name in CUSTOMER_ATTRIBUTES]
     if late:

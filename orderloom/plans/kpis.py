@@ -20,7 +20,7 @@ from orderloom.operators.segments import (
     customer_totals,
     latest_yoy,
     measures,
-    order_grain,
+    customer_grain,
     segment_amounts,
     segment_performance,
     segment_sums,
@@ -302,10 +302,10 @@ def segment_reconciliation(warehouse: Warehouse) -> DataFrame:
 def calculate_kpis(warehouse: Warehouse, *, top_customer_count: int = TOP_CUSTOMERS) -> KPIResults:
     """All KPI frames of a filter context.
 
-    Seven of the ten need no products, so they share one staged roll-up of the fact to orders.
+    Seven of the ten need no products, so they share one staged roll-up of the fact to customers.
     Frames that several reports and rules read are staged as well.
     """
-    orders = order_grain(warehouse)
+    orders = customer_grain(warehouse)
     by_category = stage(category_annual(warehouse), "category-annual")
     products = stage(product_performance(warehouse), "products")
     return KPIResults(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.model import Warehouse, typed_lines
 from orderloom.operators.numbering import Rank, with_ranks
-from orderloom.operators.segments import order_grain, segment_amounts, union_all
+from orderloom.operators.segments import customer_grain, segment_amounts, union_all
 from orderloom.plans import kpis, sqlkpis
 
 RELATIVE = 1e-8
@@ -60,7 +60,7 @@ def _sql_entries(warehouse: Warehouse) -> DataFrame:
 
 def _frame_entries(warehouse: Warehouse) -> DataFrame:
     money = ["revenue", "profit"]
-    orders = order_grain(warehouse)
+    orders = customer_grain(warehouse)
     share = kpis.top_customer_concentration(orders).withColumnRenamed(
         "top_customer_revenue_share", "share"
     )

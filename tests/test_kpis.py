@@ -129,15 +129,46 @@ def test_segments_add_up(warehouse, special):
         assert all(r.reconciled for r in kpis.segment_reconciliation(one).collect())
 
 
-def test_order_grain_changes_nothing(sample):
-    from orderloom.operators.segments import order_grain
-
-    orders = order_grain(sample.warehouse)
-    for make in (kpis.executive_overview, kpis.monthly_trend, kpis.channel_performance):
+def test_customer_grain_changes_nothing(sample):
+    from orderloom.operators.segments import customer_grain
+
+    orders = customer_grain(sample.warehouse)
+    for make in (
+        kpis.executive_overview, kpis.annual_performance, kpis.monthly_trend, kpis.channel_performance,
+        kpis.region_performance, kpis.region_annual, kpis.customer_value, kpis.top_customer_concentration,
+    ):
         lines = sorted(map(tuple, make(sample.warehouse).collect()), key=repr)
         assert lines == sorted(map(tuple, make(orders).collect()), key=repr), make.__name__
 
 
+def test_customer_grain_with_unknown_days(warehouse):
+    """Sales on days that the calendar lacks count in all but their year and month."""
+    from dataclasses import replace
+
+    from orderloom.operators.segments import customer_grain
+
+    broken = replace(warehouse, dim_date=warehouse.dim_date.where("date_key <> 20230105"))
+    orders = customer_grain(broken)
+    for make in (kpis.executive_overview, kpis.annual_performance, kpis.monthly_trend, kpis.region_annual):
+        lines = sorted(map(tuple, make(broken).collect()), key=repr)
+        assert lines == sorted(map(tuple, make(orders).collect()), key=repr), make.__name__
+
+
+def test_one_scan_of_the_fact_serves_the_customer_grain(sample, monkeypatch):
+    from orderloom.operators import segments
+
+    plans = []
+    real = segments.stage
+    monkeypatch.setattr(segments, "stage", lambda f, n: plans.append(f) or real(f, n))
+    orders = segments.customer_grain(sample.warehouse)
+    assert len(plans) == 1
+    text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Expand") == 1 and len(set(re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text))) == 2
+    for make in (kpis.annual_performance, kpis.channel_performance, kpis.region_performance, kpis.customer_value):
+        scans = make(orders)._jdf.queryExecution().executedPlan().toString()
+        assert "transaction_id" not in scans
+
+
 def test_sql_and_frames_agree(special):
     rows = reconcile_kpis(special).collect()
     assert len(rows) > 20
