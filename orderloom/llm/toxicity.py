@@ -54,6 +54,7 @@ LIMIT = 0.3
 LONGEST = 24
 _START = "\x02"
 _AT_ONCE = 128
+_TOGETHER = 1_024
 _REMEMBERED = 1_000_000
 _SLICE_CHARS = 4_000_000
 _ROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
@@ -108,10 +109,13 @@ def _pieces(unit: str) -> list[str]:
     return _parts(unit) + (_parts(letters) if letters != unit and len(letters) >= ORDER else [])
 
 
-def _codes(strings: list[str], width: int, empty: int) -> np.ndarray:
+def _codes(strings: list[str], width: int, empty: int, right: bool = False) -> np.ndarray:
+    """(strings, width): code points, `empty` behind each string or, if `right`, in front of it."""
     found = np.full((len(strings), width), empty, np.int32)
-    for row, string in zip(found, strings):
-        row[: len(string)] = np.frombuffer(string.encode("utf-32-le", "surrogatepass"), np.int32)
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))[:, None]
+    places = np.arange(width)
+    flat = "".join(strings).encode("utf-32-le", "surrogatepass")
+    found[places >= width - sizes if right else places < sizes] = np.frombuffer(flat, np.int32)
     return found
 
 
@@ -182,9 +186,12 @@ class Landmarks:
             known.update(zip(new, self._normal(new) @ self.map))
         return np.stack([known[s] for s in strings])
 
+    def tensor(self, weights: np.ndarray) -> _Tensor:
+        return _Tensor(self, weights)
+
     def weighed(self, strings: list[str], weights: np.ndarray) -> np.ndarray:
-        """Features times weights, summed in one order whatever else is in the list."""
-        return (self._normal(strings).astype(np.float64) * (self.map.astype(np.float64) @ weights)).sum(1)
+        """Features times weights, whatever else is in the list."""
+        return self.tensor(weights).values(strings)
 
 
 def _self_kernel(strings: list[str]) -> np.ndarray:
@@ -201,104 +208,129 @@ _STARTS = 40_000
 _DOCUMENTS = 50
 
 
-class _Sums:
-    """What a machine needs to know of strings to bound its value of their concatenations.
+class _Tensor:
+    """A machine's weight of every subsequence of three characters that its landmarks have.
 
-    With V[c1, c2, c3] as the machine's weight of a subsequence, a string's sum is DECAY to the span
-    times V over all its subsequences. Per string: `total`, its sum; `one` and `two`, its open
-    subsequences of one and two characters at its end (two: by the third character to come); `last`
-    and `later`, its parts as third character, or as second and third by the first; `held`, its
-    characters; `most`, by the third character, the highest sum over its characters in the middle.
+    A string's sum is DECAY to the span times this weight over all its subsequences. Divided by the
+    root of its kernel with itself it is the machine's value, without a comparison with each landmark.
     """
 
-    def __init__(self, strings: list[str], place: dict[str, int], v: np.ndarray, ends: bool = True):
-        size, many = len(v), len(strings)
-        self.place, self.v = place, v
-        self.length = np.fromiter(map(len, strings), np.int64, many)
-        self.total = np.zeros(many, np.float32)
-        if ends:
-            for name in ("one", "two", "last", "later", "held", "most"):
-                setattr(self, name, np.zeros((many, size), np.float32))
-        order = np.argsort(self.length, kind="stable")
-        for at in range(0, many, 4_000):
-            some = order[at : at + 4_000]
-            self._ending(some, [strings[k] for k in some.tolist()], ends)
-            if ends:
-                self._starting(some, [strings[k] for k in some.tolist()])
-
-    def _rows(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        for c in np.unique(codes[codes >= 0]).tolist():
-            yield c, np.flatnonzero(codes == c)
-
-    def _ending(self, some: np.ndarray, strings: list[str], ends: bool) -> None:
-        width, size = max(map(len, strings)), len(self.v)
-        codes = np.full((len(strings), width), -1)
-        for row, string in zip(codes, strings):
-            if string:
-                row[-len(string) :] = [self.place.get(c, -1) for c in string]
-        one, two = np.zeros((len(some), size), np.float32), np.zeros((len(some), size), np.float32)
-        total = np.zeros(len(some), np.float32)
-        for t in range(width):
-            one *= DECAY
-            two *= DECAY
-            for c, rows in self._rows(codes[:, t]):
-                total[rows] += DECAY * two[rows, c]
-                two[rows] += one[rows] @ self.v[:, c, :]
+    def __init__(self, landmarks: Landmarks, weights: np.ndarray):
+        alphabet = sorted(set("".join(landmarks.strings)))
+        self.place = {c: k for k, c in enumerate(alphabet)}
+        self._alphabet = np.array([ord(c) for c in alphabet], np.int32)
+        self.v = np.zeros((len(alphabet),) * 3)
+        factors = landmarks.map.astype(np.float64) @ weights.astype(np.float64)
+        for string, factor, own in zip(landmarks.strings, factors.tolist(), landmarks.own.tolist()):
+            if own > 0:
+                codes = np.array([self.place[c] for c in string])
+                a, b, c = np.array(list(itertools.combinations(range(len(string)), 3))).T
+                np.add.at(self.v, (codes[a], codes[b], codes[c]), factor / math.sqrt(own) * DECAY ** (c - a + 1.0))
+
+    def places(self, strings: list[str], width: int, right: bool) -> np.ndarray:
+        """(strings, width): each character's place in the alphabet, -1 for others and beside the string."""
+        codes = _codes(strings, width, -1, right)
+        found = np.minimum(np.searchsorted(self._alphabet, codes), len(self._alphabet) - 1)
+        return np.where(self._alphabet[found] == codes, found, -1)
+
+    def ending(self, strings: list[str], kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per string: its sum; its open subsequences of one character; of two, by the third to come."""
+        size, v = len(self.v), self.v.astype(kind)
+        codes = self.places(strings, max(map(len, strings)), True)
+        one, two = np.zeros((len(strings), size), kind), np.zeros((len(strings), size), kind)
+        total = np.zeros(len(strings), kind)
+        for column in codes.T:
+            one *= kind(DECAY)
+            two *= kind(DECAY)
+            for c, rows in _rows(column):
+                total[rows] += kind(DECAY) * two[rows, c]
+                two[rows] += one[rows] @ v[:, c, :]
                 one[rows, c] += 1
-        self.total[some] = total
-        if ends:
-            self.one[some], self.two[some] = one, two
-
-    def _starting(self, some: np.ndarray, strings: list[str]) -> None:
-        width, size = max(map(len, strings)), len(self.v)
-        codes = np.full((len(strings), width), -1)
-        for row, string in zip(codes, strings):
-            row[: len(string)] = [self.place.get(c, -1) for c in string]
-        last, later, held = (np.zeros((len(some), size), np.float32) for _ in range(3))
-        for t in range(width):
-            for c, rows in self._rows(codes[:, t]):
-                later[rows] += DECAY ** (t + 1) * (held[rows] @ self.v[:, :, c].T)
+        return total, one, two
+
+    def starting(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per string: its characters as third of a subsequence; as second and third, by the first; their numbers."""
+        size, v = len(self.v), self.v.astype(np.float32)
+        codes = self.places(strings, max(map(len, strings)), False)
+        last, later, held = (np.zeros((len(strings), size), np.float32) for _ in range(3))
+        for t, column in enumerate(codes.T):
+            for c, rows in _rows(column):
+                later[rows] += np.float32(DECAY ** (t + 1)) * (held[rows] @ v[:, :, c].T)
                 held[rows, c] += 1
-                last[rows, c] += DECAY ** (t + 1)
-        self.last[some], self.later[some], self.held[some] = last, later, held
-        middle = (held @ self.v.transpose(1, 0, 2).reshape(size, -1)).reshape(-1, size, size)
-        self.most[some] = np.maximum(middle.max(axis=1), 0)
-
-    def of(self, which: np.ndarray, before: str = "") -> _Sums:
-        """The sums of the strings `which`, each with the character `before` in front."""
-        new = object.__new__(_Sums)
-        for name in ("length", "total", "one", "two", "last", "later", "held", "most"):
-            setattr(new, name, getattr(self, name)[which])
-        if not before:
-            return new
-        c = self.place.get(before)
+                last[rows, c] += np.float32(DECAY ** (t + 1))
+        return last, later, held
+
+    def values(self, strings: list[str]) -> np.ndarray:
+        """The machine's value of each string, without its offset, whatever else is in the list."""
+        found = np.zeros(len(strings))
+        order = np.argsort(np.fromiter(map(len, strings), np.int64, len(strings)), kind="stable")
+        for at in range(0, len(order), _TOGETHER):
+            some = order[at : at + _TOGETHER]
+            part = [strings[k] for k in some.tolist()]
+            # A single string would be summed in another order.
+            part = part * 2 if len(part) == 1 else part
+            own = _self_kernel(part)
+            total = self.ending(part, np.float64)[0]
+            found[some] = np.where(own > 0, total / np.sqrt(np.where(own > 0, own, 1)), 0)[: len(some)]
+        return found
+
+
+def _rows(column: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each code that is not negative."""
+    order = np.argsort(column, kind="stable")
+    codes, starts = np.unique(column[order], return_index=True)
+    for c, rows in zip(codes.tolist(), np.split(order, starts[1:])):
+        if c >= 0:
+            yield c, rows
+
+
+class _Side:
+    """Strings with one character or none in front, as left or right side of a concatenation.
+
+    `total`: the string's sum. `left` and `right`: the product of one's `left` and the next one's
+    `right` is the sum of the subsequences that both take part in. `size`: length. `ahead`, `third`:
+    first and third characters of subsequences that have their second one in a string between.
+    """
+
+    def __init__(self, tensor: _Tensor, base: tuple[np.ndarray, ...], before: str):
+        length, total, one, two, last, later, held, most = base
+        v, c = tensor.v.astype(np.float32), tensor.place.get(before)
+        decay = np.float32(DECAY)
+        self.size = length + len(before)
+        if c is not None:
+            fade = decay ** length.astype(np.float32)[:, None]
+            total = total + decay * later[:, c]
+            two = two + fade * (held @ v[c])
+            later = later + last @ v[:, c, :].T
+            one, last = one.copy(), last.copy()
+            one[:, c] += fade[:, 0]
+            last[:, c] += 1
+        if before:
+            last, later = decay * last, decay * later
+        self.total = total
+        self.left = np.hstack([two, one])
+        self.right = np.hstack([last, later]) * decay
+        self.ahead, self.third = one, last * decay
+        # `held`: numbers of characters. `most`: by the third character, the most that they add as second.
+        self.held, self.most, self.one = held, most, one.sum(axis=1)
         if c is not None:
-            fade = np.float32(DECAY) ** new.length.astype(np.float32)[:, None]
-            new.total = new.total + np.float32(DECAY) * new.later[:, c]
-            new.two = new.two + fade * (new.held @ self.v[c])
-            new.one[:, c] += fade[:, 0]
-            new.later = new.later + new.last @ self.v[:, c, :].T
-            new.last[:, c] += 1
-            new.most = new.most + np.maximum(self.v[:, c, :].max(axis=0), 0)
-        new.last, new.later = np.float32(DECAY) * new.last, np.float32(DECAY) * new.later
-        new.length = new.length + 1
-        return new
+            self.held = held.copy()
+            self.held[:, c] += 1
+            self.most = most + np.maximum(v[:, c, :].max(axis=0), 0)
 
 
 class Windows:
-    """The highest value of a machine over all windows of texts."""
+    """The highest value of a machine over all windows of texts.
+
+    A window's sum is the sum over its units of their own sums, and over pairs of its units of the
+    subsequences that start in the one and end in the other. These are exact but for those with their
+    second character in a unit between, which have a bound; windows above their text's best by this
+    bound are summed exactly.
+    """
 
     def __init__(self, landmarks: Landmarks, weights: np.ndarray, offset: float):
-        self.landmarks, self.weights, self.offset = landmarks, weights, offset
-        self.place = {c: k for k, c in enumerate(sorted(set("".join(landmarks.strings))))}
-        v = np.zeros((len(self.place),) * 3)
-        factors = landmarks.map.astype(np.float64) @ weights.astype(np.float64)
-        for string, factor, own in zip(landmarks.strings, factors.tolist(), landmarks.own.tolist()):
-            if own > 0:
-                codes = np.array([self.place[c] for c in string])
-                a, b, c = np.array(list(itertools.combinations(range(len(string)), 3))).T
-                np.add.at(v, (codes[a], codes[b], codes[c]), factor / math.sqrt(own) * DECAY ** (c - a + 1.0))
-        self.v = v.astype(np.float32)
+        self.tensor, self.offset = landmarks.tensor(weights), offset
+        self.v = self.tensor.v.astype(np.float32)
         # The kernel of a string of n characters with itself is least if no two are equal.
         spans = np.arange(3, 4 * LONGEST)
         least = np.cumsum(np.cumsum((spans - 2) * DECAY ** (2.0 * spans)))
@@ -312,79 +344,136 @@ class Windows:
         found: dict[int, str] = {}
         if len(codes) < 2:
             return found
+        used, codes = np.unique(codes, return_inverse=True)
+        values = [values[k] for k in used.tolist()]
         heads = [v[:LONGEST] for v in values]
         tails = [v[-LONGEST:] for v in values]
-        sizes = np.fromiter(map(len, values), np.int64, len(values))
         letters = [[_letters(v) for v in some] for some in (tails, heads)]
         at = {v: k for k, v in enumerate(dict.fromkeys(itertools.chain(tails, heads, *letters)))}
-        known = _Sums(list(at), self.place, self.v)
-        raw, bare = [[np.array([at[v] for v in some]) for some in both] for both in ((tails, heads), letters)]
-        forms = [
-            (known.of(raw[0], _START), known.of(raw[1], " ")),
-            (known.of(bare[0], _START), known.of(bare[1])),
-        ]
-        del known
-        starts = np.flatnonzero(text[:-1] == text[1:])
-        for at in range(0, len(starts), _STARTS):
-            some = starts[at : at + _STARTS]
-            open_ = [self._bounds(*form, sizes, codes, text, some, best) for form in forms]
-            start, many, bound = (np.concatenate(x) for x in zip(*[[np.concatenate(y) for y in zip(*o)] for o in open_]))
-            form = np.repeat(np.arange(len(forms)), [sum(len(b[0]) for b in o) for o in open_])
-            self._compare(start, many, bound, form, heads, tails, codes, text, best, found)
+        base = self._base(list(at))
+        first = _Side(self.tensor, base, _START)
+        sizes = np.fromiter(map(len, values), np.int64, len(values))[codes]
+        for form, (ends, before) in enumerate([((tails, heads), " "), (letters, "")]):
+            tail, head = (np.array([at[v] for v in some])[codes] for some in ends)
+            for start, many, bound in self._bounds(first, _Side(self.tensor, base, before), tail, head, sizes, text, best):
+                self._compare(start, many, bound, form, heads, tails, codes, text, best, found)
         return found
 
-    def _bounds(self, lead: _Sums, follow: _Sums, sizes: np.ndarray, codes: np.ndarray, text: np.ndarray,
-                start: np.ndarray, best: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-        """Starts, numbers of units and bounds of the windows that may be above their text's best."""
-        a = codes[start]
-        one, two, total, length = lead.one[a], lead.two[a], lead.total[a], lead.length[a]
-        wide, found, many = sizes[a], [], 1
+    def _base(self, strings: list[str]) -> tuple[np.ndarray, ...]:
+        length = np.fromiter(map(len, strings), np.int64, len(strings))
+        size = len(self.tensor.v)
+        found = [np.zeros((len(strings), size)[:k], np.float32) for k in (1, 2, 2, 2, 2, 2, 2)]
+        second = self.v.transpose(1, 0, 2).reshape(size, -1)
+        order = np.argsort(length, kind="stable")
+        for at in range(0, len(order), _TOGETHER * 4):
+            some = order[at : at + _TOGETHER * 4]
+            part = [strings[k] for k in some.tolist()]
+            sums = (*self.tensor.ending(part, np.float32), *self.tensor.starting(part))
+            most = np.maximum((sums[-1] @ second).reshape(-1, size, size).max(axis=1), 0)
+            for array, rows in zip(found, (*sums, most)):
+                array[some] = rows
+        return length, *found
+
+    def _bounds(self, first: _Side, other: _Side, tail: np.ndarray, head: np.ndarray, sizes: np.ndarray,
+                text: np.ndarray, best: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Starts, number of units and bounds of the windows that may be above their text's best."""
+
+        def high(start: np.ndarray, many: int, total: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+            bound = np.maximum(total, 0) / self.least[length] + self.offset + _SLACK
+            kept = np.flatnonzero(bound > best[text[start]])
+            return start[kept], many, bound[kept], total[kept], length[kept]
+
+        start = np.flatnonzero(text[:-1] == text[1:])
+        opened, inner = np.zeros(len(tail), np.float32), other.total[head]
+        for at in range(0, len(start), _STARTS):
+            some = start[at : at + _STARTS]
+            right = other.right[head[some + 1]]
+            opened[some] = first.total[tail[some]] + np.einsum("ij,ij->i", first.left[tail[some]], right)
+            inner[some] += np.einsum("ij,ij->i", other.left[head[some]], right)
+        own = other.total[head]
+        # opened: sums that start in the first unit; inner: likewise of a unit that is not the first.
+        # run: sums of all units from one that is not the first on, one unit less than the windows.
+        run, many = own, 2
+        length, wide = first.size[tail[start]] + other.size[head[start + 1]], sizes[start] + 1 + sizes[start + 1]
+        yield high(start, 2, opened[start] + own[start + 1], length)[:3]
+        ends = np.cumsum(other.size[head])
         while True:
-            b = codes[start + many]
             many += 1
-            cross = np.einsum("ij,ij->i", two, follow.last[b]) + np.einsum("ij,ij->i", one, follow.later[b])
-            total = total + follow.total[b] + DECAY * cross
-            length = length + follow.length[b]
-            bound = np.maximum(total, 0) / self.least[length] + self.offset + _SLACK
-            high = np.flatnonzero(bound > best[text[start]])
-            found.append((start[high], np.full(len(high), many), bound[high]))
-            wide = wide + 1 + sizes[b]
-            after = np.minimum(start + many, len(codes) - 1)
-            on = (start + many < len(codes)) & (text[after] == text[start]) & (wide + 1 + sizes[codes[after]] <= LONGEST)
-            keep = np.flatnonzero(on)
-            if not keep.size:
-                return found
-            b, start, total, length, wide = b[keep], start[keep], total[keep], length[keep], wide[keep]
-            fade = (np.float32(DECAY) ** follow.length[b].astype(np.float32))[:, None]
-            one, two = one[keep], two[keep]
-            two = fade * (two + one.sum(axis=1, keepdims=True) * follow.most[b]) + follow.two[b]
-            one = fade * one + follow.one[b]
+            last = start + many - 1
+            in_text = np.flatnonzero(last < len(text))
+            start, last, wide = start[in_text], last[in_text], wide[in_text]
+            length = length[in_text]
+            fits = np.flatnonzero((text[last] == text[start]) & (wide + 1 + sizes[last] <= LONGEST))
+            if not fits.size:
+                return
+            start, last, wide, length = start[fits], last[fits], wide[fits] + 1 + sizes[last[fits]], length[fits]
+            # Sums of runs of many - 1 units, then those of windows that begin one unit earlier.
+            following = run.copy()
+            begin = np.flatnonzero(text[: len(text) - many + 2] == text[many - 2 :])
+            following[begin] = inner[begin] + run[begin + 1]
+            run = following
+            fade = np.float32(DECAY) ** (ends[last - 1] - ends[start]).astype(np.float32)
+            b = head[last]
+            for at in range(0, len(start), _STARTS):
+                some = slice(at, at + _STARTS)
+                right = other.right[b[some]]
+                between = sum(other.most[head[start[some] + k]] for k in range(1, many - 1))
+                third = np.einsum("ij,ij->i", between, other.third[b[some]])
+                for sums, side, units in ((opened, first, tail), (inner, other, head)):
+                    a = units[start[some]]
+                    ends_there = np.einsum("ij,ij->i", side.left[a], right)
+                    sums[start[some]] += fade[some] * (ends_there + side.one[a] * third)
+            length = length + other.size[b]
+            some, _, _, total, size = high(start, many, opened[start] + run[start + 1], length)
+            if some.size:
+                total = total + self._surplus(first, other, tail, head, some, many)
+                yield high(some, many, total, size)[:3]
+
+    def _surplus(self, first: _Side, other: _Side, tail: np.ndarray, head: np.ndarray, start: np.ndarray,
+                 many: int) -> np.ndarray:
+        """What the bounds of second characters in units between are wrong by, for windows of `many` units."""
+        found = np.zeros(len(start), np.float32)
+        for p in range(many - 2):
+            side, units = (other, head) if p else (first, tail)
+            for q in range(p + 2, many):
+                places, which = np.unique(start + p, return_inverse=True)
+                parts = []
+                for at in range(0, len(places), _STARTS):
+                    some = places[at : at + _STARTS]
+                    a, b = units[some], head[some + q - p]
+                    between = [head[some + k] for k in range(1, q - p)]
+                    held, third, ahead = sum(other.held[z] for z in between), other.third[b], side.ahead[a]
+                    most = side.one[a] * np.einsum("ij,ij->i", sum(other.most[z] for z in between), third)
+                    exact = np.zeros(len(some), np.float32)
+                    for c in range(held.shape[1]):
+                        rows = np.flatnonzero(held[:, c])
+                        pairs = np.einsum("ij,ij->i", ahead[rows] @ self.v[:, c, :], third[rows])
+                        exact[rows] += held[rows, c] * pairs
+                    fade = np.float32(DECAY) ** sum(other.size[z] for z in between).astype(np.float32)
+                    parts.append(fade * (exact - most))
+                found += np.concatenate(parts)[which] if parts else 0
+        return found
 
     def _compare(self, start, many, bound, form, heads, tails, codes, text, best, found) -> None:
-        """Compare windows with the landmarks, highest bounds first, as long as a bound is above the best."""
-        if not start.size:
-            return
-        windows = [
-            " ".join([tails[codes[i]], *[heads[c] for c in codes[i + 1 : i + k].tolist()]])
-            for i, k in zip(start.tolist(), many.tolist())
-        ]
-        strings = [_START + (_letters(w) if f else w) for w, f in zip(windows, form.tolist())]
-        exact = _Sums(strings, self.place, self.v, ends=False)
-        bound = np.maximum(exact.total, 0) / self.least[exact.length] + self.offset + _SLACK
-        order = np.lexsort((form, many, start, -bound, text[start]))
-        order = order[bound[order] > best[text[start[order]]]]
-        of, bound = text[start[order]], bound[order]
-        at_once = 1
-        while order.size:
+        """Compare windows in full, highest bounds first, as long as a bound is above the best."""
+        order = np.lexsort((start, -bound, text[start]))
+        start, bound = start[order], bound[order]
+        of, at_once = text[start], 1
+        while start.size:
             now = np.arange(len(of)) - np.searchsorted(of, of) < at_once
-            some = order[now].tolist()
-            scores = self.landmarks.weighed([strings[k] for k in some], self.weights) + self.offset
-            for t, k, score in zip(of[now].tolist(), some, scores.tolist()):
-                if score > best[t]:
-                    best[t] = score
-                    found[t] = windows[k]
+            windows = [
+                " ".join([tails[codes[i]], *[heads[c] for c in codes[i + 1 : i + many].tolist()]])
+                for i in start[now].tolist()
+            ]
+            strings = [_START + (_letters(w) if form else w) for w in windows]
+            once = {s: k for k, s in enumerate(dict.fromkeys(strings))}
+            scores = (self.tensor.values(list(once)) + self.offset).tolist()
+            for t, string, window in zip(of[now].tolist(), strings, windows):
+                if scores[once[string]] > best[t]:
+                    best[t] = scores[once[string]]
+                    found[t] = window
             left = ~now & (bound > best[of])
-            order, of, bound = order[left], of[left], bound[left]
+            start, bound, of = start[left], bound[left], of[left]
             at_once *= 4
 
 

@@ -187,3 +187,10 @@ def test_support_vectors_separate():
     y = np.where(x[:, 0] > 0, 1.0, -1.0)
     w = toxicity._support_vectors(x, y, np.ones(200))
     assert (np.sign(x @ w[:-1] + w[-1]) == y).mean() > 0.97
+
+
+def test_sums_of_subsequence_weights_are_the_machine(model):
+    rnd = random.Random(2)
+    strings = ["".join(rnd.choices("idotsumrnx- \x02é", k=rnd.randint(1, 40))) for _ in range(3000)]
+    plain = model.landmarks._normal(strings).astype(np.float64) @ (model.landmarks.map @ model.weights.astype(np.float64))
+    assert np.abs(model.landmarks.weighed(strings, model.weights) - plain).max() < 1e-4
