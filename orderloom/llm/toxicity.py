@@ -55,8 +55,8 @@ LONGEST = 24
 _START = "\x02"
 _AT_ONCE = 128
 _TOGETHER = 1_024
-_REMEMBERED = 1_000_000
-_SLICE_CHARS = 4_000_000
+_REMEMBERED = 300_000
+_SLICE_CHARS = 2_000_000
 _ROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
 # One in so many windows of clean documents is an example from the start; their highest ones follow.
 _NEGATIVES = 64
@@ -203,7 +203,7 @@ def _self_kernel(strings: list[str]) -> np.ndarray:
 
 # For bounds: added to them, as they are sums in another order and precision than the kernel's.
 _SLACK = 1e-3
-_STARTS = 40_000
+_STARTS = 10_000
 # Training documents whose windows are compared at once, for the driver's memory.
 _DOCUMENTS = 50
 
@@ -290,6 +290,7 @@ class _Side:
     `total`: the string's sum. `left` and `right`: the product of one's `left` and the next one's
     `right` is the sum of the subsequences that both take part in. `size`: length. `ahead`, `third`:
     first and third characters of subsequences that have their second one in a string between.
+    A string behind the start mark has nothing to its left.
     """
 
     def __init__(self, tensor: _Tensor, base: tuple[np.ndarray, ...], before: str):
@@ -307,12 +308,16 @@ class _Side:
             last[:, c] += 1
         if before:
             last, later = decay * last, decay * later
-        self.total = total
+        self.total, self.one = total, one.sum(axis=1)
         self.left = np.hstack([two, one])
-        self.right = np.hstack([last, later]) * decay
-        self.ahead, self.third = one, last * decay
+        self.ahead = self.left[:, len(v) :]
+        if before == _START:
+            return
+        self.right = np.hstack([last, later])
+        self.right *= decay
+        self.third = self.right[:, : len(v)]
         # `held`: numbers of characters. `most`: by the third character, the most that they add as second.
-        self.held, self.most, self.one = held, most, one.sum(axis=1)
+        self.held, self.most = held, most
         if c is not None:
             self.held = held.copy()
             self.held[:, c] += 1
@@ -414,15 +419,19 @@ class Windows:
             run = following
             fade = np.float32(DECAY) ** (ends[last - 1] - ends[start]).astype(np.float32)
             b = head[last]
+            before = np.maximum(start - 1, 0)
+            wider = (start > 0) & (text[before] == text[start]) & (wide + 1 + sizes[before] <= LONGEST)
             for at in range(0, len(start), _STARTS):
                 some = slice(at, at + _STARTS)
                 right = other.right[b[some]]
                 between = sum(other.most[head[start[some] + k]] for k in range(1, many - 1))
-                third = np.einsum("ij,ij->i", between, other.third[b[some]])
-                for sums, side, units in ((opened, first, tail), (inner, other, head)):
-                    a = units[start[some]]
-                    ends_there = np.einsum("ij,ij->i", side.left[a], right)
-                    sums[start[some]] += fade[some] * (ends_there + side.one[a] * third)
+                third = np.einsum("ij,ij->i", between, right[:, : between.shape[1]])
+                # Inner sums serve windows that begin one unit earlier.
+                for sums, side, units, rows in ((opened, first, tail, slice(None)), (inner, other, head, wider[some])):
+                    at_start = start[some][rows]
+                    a = units[at_start]
+                    ends_there = np.einsum("ij,ij->i", side.left[a], right[rows])
+                    sums[at_start] += fade[some][rows] * (ends_there + side.one[a] * third[rows])
             length = length + other.size[b]
             some, _, _, total, size = high(start, many, opened[start] + run[start + 1], length)
             if some.size:
