@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -83,3 +84,24 @@ def test_repeated_dimension_keys_are_an_error(warehouse):
     twice = replace(warehouse, dim_channel=warehouse.dim_channel.union(warehouse.dim_channel))
     with pytest.raises(WarehouseError, match="dim_channel"):
         enrich_sales(twice)
+
+
+def test_amounts_that_differ_from_their_formulas_are_stored_as_they_are(spark):
+    lines = good_lines()
+    lines[0] |= {"revenue": "1.23", "total_cost": "999999999999.99", "profit": "-7.00"}
+    lines[1] |= {"unit_price": None}
+    lines[2] |= {"revenue": None, "profit": "5.00"}
+    lines[3] |= {"unit_cost": "9999999999.99", "quantity": "2000000000"}
+    stored = {r.transaction_id + str(r.line_number): r for r in build_warehouse(frame(spark, lines)).fact_sales.collect()}
+    assert len(stored) == len(lines)
+    for line in lines:
+        row = stored[line["transaction_id"] + str(int(line["line_number"]))]
+        for name in ("unit_price", "revenue", "total_cost", "profit"):
+            assert row[name] == (None if line[name] is None else Decimal(line[name])), (name, line)
+
+
+def test_the_numbered_lines_are_narrow(warehouse):
+    """Names are keys and amounts are differences before the lines are sorted and staged."""
+    plan = warehouse.fact_sales._jdf.queryExecution().optimizedPlan().toString()
+    assert "sales_key" in plan and "Join LeftOuter" not in plan
+    assert not {"customer_id", "product_id", "sales_channel"} & set(re.findall(r"(\w+)#", plan))
