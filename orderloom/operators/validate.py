@@ -132,8 +132,7 @@ def unstable_keys(raw: DataFrame, key: str) -> DataFrame:
     no more than any other. Null counts as a value of its own.
     """
     attributes = RELATIONSHIPS[key]
-    # Dates are compared as dates, not as texts.
-    plain = raw.select(key, *typed_columns(raw, attributes)).distinct()
+    plain = _distinct_values(raw, key)
     flags = [
         (
             (F.min(name) != F.max(name))
@@ -149,12 +148,22 @@ def unstable_keys(raw: DataFrame, key: str) -> DataFrame:
     return grouped.where(reduce(or_, [F.col(f"unstable_{name}") for name in attributes]))
 
 
+def _distinct_values(raw: DataFrame, key: str) -> DataFrame:
+    """Distinct rows of a key and its attributes; dates are compared as dates, not as texts."""
+    return raw.select(key, *typed_columns(raw, RELATIONSHIPS[key])).distinct()
+
+
+def _unstable(raw: DataFrame, key: str) -> DataFrame:
+    """The keys of `unstable_keys` alone: those with several distinct rows. No value is sorted or sent."""
+    return keys.repeated_keys(_distinct_values(raw, key), [key])
+
+
 def validate_source(raw: DataFrame) -> DataFrame:
     """All source checks: (check_no, check_name, violation_count)."""
     report = row_checks(raw)
     grouped = {
         "duplicate_lines": duplicate_lines(raw),
-        **{f"unstable_{key}": unstable_keys(raw, key) for key in RELATIONSHIPS},
+        **{f"unstable_{key}": _unstable(raw, key) for key in RELATIONSHIPS},
     }
     for name, rows in grouped.items():
         report = report.unionByName(_as_rows(rows.agg(F.count(F.lit(1)).alias(name)), [name]))
