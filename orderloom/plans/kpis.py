@@ -179,8 +179,12 @@ def product_sums(warehouse: Warehouse) -> DataFrame:
 
 
 def portfolio_margin(warehouse: Warehouse) -> DataFrame:
+    return _margin(warehouse.fact_sales)
+
+
+def _margin(amounts: DataFrame) -> DataFrame:
     margin = money.ratio(F.sum("profit"), F.sum("revenue"))
-    return warehouse.fact_sales.agg(margin.alias("margin"))
+    return amounts.agg(margin.alias("margin"))
 
 
 def median_product_revenue(warehouse: Warehouse) -> DataFrame:
@@ -189,9 +193,11 @@ def median_product_revenue(warehouse: Warehouse) -> DataFrame:
 
 def weak_margin_products(warehouse: Warehouse) -> DataFrame:
     """Products at or above the median revenue whose margin is below the portfolio's."""
-    middle = median_product_revenue(warehouse).scalar()
-    portfolio = portfolio_margin(warehouse).scalar()
-    chosen = product_sums(warehouse).where(
+    # The median takes several passes: over one row per product, not over the lines.
+    sums = stage(product_sums(warehouse), "product-sums")
+    middle = median(sums, "revenue").scalar()
+    portfolio = _margin(sums).scalar()
+    chosen = sums.where(
         (F.col("revenue").cast("double") >= middle) & (F.col("margin") < portfolio)
     )
     names = warehouse.dim_product.select("product_key", "product_id", "product_name")

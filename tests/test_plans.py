@@ -7,6 +7,7 @@ import pytest
 from orderloom import registry
 from orderloom.operators import numbering
 from orderloom.plans import kpis
+from orderloom.sources import testdata
 
 
 def plan(frame) -> str:
@@ -73,3 +74,31 @@ def test_large_numbering_has_no_single_partition_over_rows(spark, sample):
 def test_no_python_in_any_plan(sample):
     for name in ("fact_sales", "insights", "product_performance", "val_source_dirty"):
         assert "Python" not in plan(registry.ALL[name](sample))
+
+
+def test_places_meet_orders_and_not_lines(spark, sample):
+    """Lines are exchanged by order and by part, never by customer."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for lines in (testdata.raw_sales, testdata.dirty_raw_sales):
+            text = lines(spark, sample.folder)._jdf.queryExecution().optimizedPlan().toString()
+            on_customer = [line for line in text.splitlines() if "Join" in line and "c_custkey" in line]
+            on_order = [line for line in text.splitlines() if "Join" in line and "l_orderkey" in line]
+            assert on_customer and on_order
+            depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+            assert depth(on_customer[0]) > depth(on_order[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_source_checks_send_no_values_of_keys(sample):
+    text = plan(registry.ALL["val_source_clean"](sample))
+    assert "SortAggregate" not in text
+
+
+def test_median_of_products_reads_the_lines_once(sample, monkeypatch):
+    read = []
+    sums = kpis.product_sums
+    monkeypatch.setattr(kpis, "product_sums", lambda warehouse: read.append(1) or sums(warehouse))
+    frame = kpis.weak_margin_products(sample.warehouse)
+    assert len(read) == 1 and "transaction_id" not in plan(frame) and "fact_sales" not in plan(frame)
