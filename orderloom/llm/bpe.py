@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm.workers import in_arrow
+from orderloom.llm.workers import in_arrow, keep_one
 
 # Fixed value: the pre-tokenizer's pattern of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -348,16 +348,10 @@ def share_vocabulary(spark: SparkSession, path: str | None = None):
         return spark.sparkContext.broadcast(file.read())
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder_of(content: bytes) -> Encoder:
     """This Python worker's encoder; it keeps the last vocabulary only."""
     key = hashlib.sha256(content).hexdigest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(Vocabulary(content))
-    return _encoders[key]
+    return keep_one(("encoder", key), lambda: Encoder(Vocabulary(content)))
 
 
 def large(column: pa.Array | pa.ChunkedArray) -> pa.Array:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,3 +33,18 @@ def in_arrow(frame: DataFrame, function, schema: str | StructType) -> DataFrame:
     """mapInArrow with this package at hand."""
     send_package(frame.sparkSession)
     return frame.mapInArrow(function, schema)
+
+
+_kept: dict[tuple, object] = {}
+
+
+def keep_one(key: tuple, make: Callable[[], object]):
+    """What `make` gives, kept in this Python worker until another key is asked for.
+
+    Workers serve one operator after another; what the last one prepared must not fill memory beside
+    the next one's.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from conftest import SMALL
 from text_rows import docs, no_docs, repeated  # noqa: F401
-from orderloom.llm import bpe
+from orderloom.llm import bpe, workers
 from orderloom.llm.queries import op2_bpe
 
 
@@ -107,3 +107,10 @@ def test_odd_rows(docs, no_docs, repeated):
 def test_ids_decode_to_the_texts(docs):
     back = {r.doc_id: r.text for r in bpe.decode_ids(bpe.encode_documents(docs)).collect()}
     assert all(back[r.doc_id] == (r.text or "") for r in docs.collect())
+
+
+def test_a_worker_keeps_one_operators_state():
+    made = []
+    for key in ("scorer", "scorer", "encoder", "scorer"):
+        assert workers.keep_one((key, 1), lambda: made.append(key) or [key]) == [key]
+    assert made == ["scorer", "encoder", "scorer"] and len(workers._kept) == 1
