@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.workers import in_arrow
+from orderloom.llm.workers import in_arrow, keep_one
 
 ORDER = 3
 DECAY = 0.7
@@ -57,6 +57,8 @@ _AT_ONCE = 128
 _TOGETHER = 1_024
 _REMEMBERED = 300_000
 _SLICE_CHARS = 2_000_000
+# Digits of a text's margin that do not depend on the texts beside it.
+_DIGITS = 6
 _ROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
 # One in so many windows of clean documents is an example from the start; their highest ones follow.
 _NEGATIVES = 64
@@ -824,7 +826,8 @@ class Scorer:
             bare = np.array([bool(v) for v in values])[codes]
             text = np.repeat(np.arange(len(texts)), counts)
             self._windows.raised(values, codes[bare], text[bare], best)
-        return self.model.probability(np.where(np.isfinite(best), best, -10.0))
+        # The last digits follow from what was summed together; equal texts have equal scores without.
+        return self.model.probability(np.where(np.isfinite(best), best.round(_DIGITS), -10.0))
 
     def _joined(self, values: list[str], codes: np.ndarray, counts: np.ndarray, best: np.ndarray) -> None:
         """Runs of single characters, in the texts that have them."""
@@ -838,15 +841,9 @@ class Scorer:
             best[t] = max(best[t], *self._margins(extra))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(model: Model, key: int) -> Scorer:
     """This Python worker's scorer; it keeps the last model only."""
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model)
-    return _scorers[key]
+    return keep_one(("scorer", key), lambda: Scorer(model))
 
 
 def with_scores(docs: DataFrame, model: Model) -> DataFrame:
