@@ -38,8 +38,9 @@ BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SHARD_ROWS = 16_384
 SOURCES = 256
 
-_SLICE_CHARS = 4_000_000
+_SLICE_CHARS = 1_000_000
 _HELD_ROWS = 400_000
+_SENT_ROWS = 50_000
 _PAIRS_AT_ONCE = 1 << 20
 _KEY = ["lang", "source", "term"]
 
@@ -87,23 +88,29 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Partial counts of a task; what it holds is bounded by _HELD_ROWS and a slice of texts."""
     held: list[pa.Table] = []
     for batch in batches:
-        large = [batch.column(c).cast(pa.large_string()) for c in ("lang", "source", "text")]
-        sizes = pc.binary_length(large[2]).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
         cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // _SLICE_CHARS)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
-            held.append(term_counts(*(column.slice(a, b - a) for column in large)))
+            # Taken, as a slice would keep its offset, which a cast to large texts gets wrong.
+            part = batch.take(pa.array(np.arange(a, b)))
+            held.append(term_counts(*(part.column(c).cast(pa.large_string()) for c in ("lang", "source", "text"))))
             if sum(map(len, held)) > _HELD_ROWS:
                 held = [merged_counts(held)]
                 if len(held[0]) > _HELD_ROWS // 2:
                     yield from _sent(held.pop())
     if held:
-        yield from _sent(merged_counts(held))
-
-
-def _sent(table: pa.Table) -> list[pa.RecordBatch]:
-    columns = [table[c].cast(pa.string()) for c in _KEY]
-    plain = pa.table([*columns, table["n"].cast(pa.int64()), table["docs"].cast(pa.int64())], [*_KEY, "n", "docs"])
-    return plain.to_batches(max_chunksize=50_000)
+        held = [merged_counts(held)]
+        yield from _sent(held.pop())
+    # The worker outlives the task; beside the sums that follow it must not keep what it counted with.
+    pa.default_memory_pool().release_unused()
+
+
+def _sent(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(table), _SENT_ROWS):
+        some = table.slice(at, _SENT_ROWS).combine_chunks()
+        columns = [some[c].cast(pa.string()) for c in _KEY]
+        plain = pa.table([*columns, some["n"].cast(pa.int64()), some["docs"].cast(pa.int64())], [*_KEY, "n", "docs"])
+        yield from plain.to_batches()
 
 
 def kept_terms(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:

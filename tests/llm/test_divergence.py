@@ -109,6 +109,22 @@ def test_partial_counts_are_bounded(monkeypatch):
     assert total == want
 
 
+def test_a_task_holds_little_beside_its_batch(monkeypatch):
+    """Texts are cut in small slices, also those of a batch that starts inside its buffers."""
+    text = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600))
+    whole = pa.record_batch({"lang": ["en"] * 6000, "source": ["s"] * 6000, "text": [text] * 6000})
+    batch, held, before, count = whole.slice(1000), [], pa.total_allocated_bytes(), divergence.term_counts
+
+    def counted(*columns):
+        held.append(pa.total_allocated_bytes() - before)
+        return count(*columns)
+
+    monkeypatch.setattr(divergence, "term_counts", counted)
+    sent = list(divergence._count_batches(iter([batch])))
+    assert sum(sum(b["n"].to_pylist()) for b in sent) == 5000 * 600
+    assert len(held) > 5 and max(held) < batch.nbytes / 2
+
+
 def test_large_counts_stay_exact():
     counts = np.array([[4 * 10**15, 3], [0, 10**13]])
     totals = np.array([5 * 10**15, 2 * 10**13])
