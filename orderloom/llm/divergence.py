@@ -91,7 +91,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
         cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // _SLICE_CHARS)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
-            # Taken, as a slice would keep its offset, which a cast to large texts gets wrong.
+            # Taken, as Arrow's ascii_lower reads other bytes from a slice that was cast to large texts.
             part = batch.take(pa.array(np.arange(a, b)))
             held.append(term_counts(*(part.column(c).cast(pa.large_string()) for c in ("lang", "source", "text"))))
             if sum(map(len, held)) > _HELD_ROWS:
