@@ -812,7 +812,8 @@ class Scorer:
         """Probability for each text."""
         if self.model.landmarks is None:
             return np.zeros(len(texts))
-        words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+        # Blanks at the end go first: Arrow's split looks at the bytes behind them.
+        words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(pc.fill_null(texts, ""))))
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = words.flatten().dictionary_encode()
         values = [v.strip(_ROUND) for v in coded.dictionary.to_pylist()]

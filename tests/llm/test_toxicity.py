@@ -6,6 +6,8 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +175,22 @@ def test_odd_rows(docs, no_docs, repeated, made, model):
     assert len(toxicity.train(made[0], noisy).weights) == len(model.weights)
 
 
+def test_blanks_at_the_end_hide_what_lies_behind(model, monkeypatch):
+    """Bytes behind the last text in its buffer are none of its words."""
+    lowered = pc.utf8_lower
+
+    def with_rest(texts):
+        parts = [t.encode() for t in lowered(texts).to_pylist()]
+        ends = np.cumsum([0, *map(len, parts)]).astype(np.int64)
+        buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(parts) + b"\xff")]
+        return pa.Array.from_buffers(pa.large_string(), len(parts), buffers)
+
+    monkeypatch.setattr(pc, "utf8_lower", with_rest)
+    for blank, plain in ((" \t\n ", ""), ("you are an idiot ", "you are an idiot"), ("one\u00a0", "one")):
+        scores = [toxicity.Scorer(model).scores(pa.array(["a word", t], pa.large_string())) for t in (blank, plain)]
+        assert scores[0].tolist() == scores[1].tolist()
+
+
 def test_rejecting_keeps_clean_documents(made, spark):
     docs, labels, truth = made
     full = docs.withColumn("lang", F.lit("en")).withColumn("source", F.lit("s")).withColumn("n_chars", F.lit(1))
