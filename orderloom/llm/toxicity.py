@@ -16,9 +16,9 @@ Some positive examples are repeated with inserted characters or spaces. Scores b
 a sigmoid fitted to the training documents.
 
 The training sample is bounded: PER_CLASS documents of each label, in the order of their ids' hashes.
-Scoring covers all texts in full. Every unit is scored once per task, whatever its number of uses. A
-window's value is first bounded from sums known of its words; only windows whose bound is above the
-text's best value are compared with the landmarks, so that the highest value is always found.
+Scoring covers all texts in full. A unit's or window's value is first bounded from sums known of its
+words, which are kept from text to text; bounds become closer in steps, and only units and windows whose
+bound is above the text's best value are compared in full, so that the highest value is always found.
 
 Defined results: null and empty texts get the score of a text without any unit, which is low; null
 labels and labels of unknown documents are not learned from; without both labels every score is 0;
@@ -56,6 +56,7 @@ _START = "\x02"
 _AT_ONCE = 128
 _TOGETHER = 1_024
 _REMEMBERED = 300_000
+_KEPT = 150_000
 _SLICE_CHARS = 2_000_000
 # Digits of a text's margin that do not depend on the texts beside it.
 _DIGITS = 6
@@ -196,6 +197,17 @@ class Landmarks:
         return self.tensor(weights).values(strings)
 
 
+def _own(strings: list[str]) -> np.ndarray:
+    """Each string's kernel with itself, 0 for those below ORDER characters."""
+    found, length = np.zeros(len(strings), np.float32), np.fromiter(map(len, strings), np.int64, len(strings))
+    order = np.argsort(length, kind="stable")
+    order = order[length[order] >= ORDER]
+    for at in range(0, len(order), _TOGETHER):
+        some = order[at : at + _TOGETHER]
+        found[some] = _self_kernel([strings[k] for k in some.tolist()])
+    return found
+
+
 def _self_kernel(strings: list[str]) -> np.ndarray:
     width = max(map(len, strings))
     left = np.ascontiguousarray(_codes(strings, width, -1).T)
@@ -235,32 +247,21 @@ class _Tensor:
         found = np.minimum(np.searchsorted(self._alphabet, codes), len(self._alphabet) - 1)
         return np.where(self._alphabet[found] == codes, found, -1)
 
-    def ending(self, strings: list[str], kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per string: its sum; its open subsequences of one character; of two, by the third to come."""
-        size, v = len(self.v), self.v.astype(kind)
+    def sums(self, strings: list[str]) -> np.ndarray:
+        """Each string's sum."""
+        size, v = len(self.v), self.v
         codes = self.places(strings, max(map(len, strings)), True)
-        one, two = np.zeros((len(strings), size), kind), np.zeros((len(strings), size), kind)
-        total = np.zeros(len(strings), kind)
+        one, two = np.zeros((len(strings), size)), np.zeros((len(strings), size))
+        total = np.zeros(len(strings))
         for column in codes.T:
-            one *= kind(DECAY)
-            two *= kind(DECAY)
+            # Open subsequences of one character; of two, by the third to come.
+            one *= DECAY
+            two *= DECAY
             for c, rows in _rows(column):
-                total[rows] += kind(DECAY) * two[rows, c]
+                total[rows] += DECAY * two[rows, c]
                 two[rows] += one[rows] @ v[:, c, :]
                 one[rows, c] += 1
-        return total, one, two
-
-    def starting(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per string: its characters as third of a subsequence; as second and third, by the first; their numbers."""
-        size, v = len(self.v), self.v.astype(np.float32)
-        codes = self.places(strings, max(map(len, strings)), False)
-        last, later, held = (np.zeros((len(strings), size), np.float32) for _ in range(3))
-        for t, column in enumerate(codes.T):
-            for c, rows in _rows(column):
-                later[rows] += np.float32(DECAY ** (t + 1)) * (held[rows] @ v[:, :, c].T)
-                held[rows, c] += 1
-                last[rows, c] += np.float32(DECAY ** (t + 1))
-        return last, later, held
+        return total
 
     def values(self, strings: list[str]) -> np.ndarray:
         """The machine's value of each string, without its offset, whatever else is in the list."""
@@ -272,7 +273,7 @@ class _Tensor:
             # A single string would be summed in another order.
             part = part * 2 if len(part) == 1 else part
             own = _self_kernel(part)
-            total = self.ending(part, np.float64)[0]
+            total = self.sums(part)
             found[some] = np.where(own > 0, total / np.sqrt(np.where(own > 0, own, 1)), 0)[: len(some)]
         return found
 
@@ -286,62 +287,177 @@ def _rows(column: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield c, rows
 
 
-class _Side:
-    """Strings with one character or none in front, as left or right side of a concatenation.
+class _Units:
+    """What windows need of their units, which have the character `before` or none between them.
 
-    `total`: the string's sum. `left` and `right`: the product of one's `left` and the next one's
-    `right` is the sum of the subsequences that both take part in. `size`: length. `ahead`, `third`:
-    first and third characters of subsequences that have their second one in a string between.
-    A string behind the start mark has nothing to its left.
+    `left` and `right`: the product of one's `left` and the next one's `right` is the sum of the
+    subsequences that both take part in; `ahead`, `third`: first and third characters of those that have
+    their second one in a unit between. `marks`: for the start mark in front of a window's first unit and
+    the character in front of later ones, its place, what it adds by the third character, and the unit's
+    fading. `sums`: the unit's own sum behind either. `excess`: what its kernel with itself has above the
+    least.
     """
 
-    def __init__(self, tensor: _Tensor, base: tuple[np.ndarray, ...], before: str):
-        length, total, one, two, last, later, held, most = base
-        v, c = tensor.v.astype(np.float32), tensor.place.get(before)
-        decay = np.float32(DECAY)
-        self.size = length + len(before)
+    def __init__(self, tensor: _Tensor, base: tuple[np.ndarray, ...], left: np.ndarray, before: str):
+        length, total, one, two, last, later, held, self.excess = base
+        v, decay = tensor.v.astype(np.float32), np.float32(DECAY)
+        self.left, self.size, self.bare = left, length + len(before), length
+        self.ahead = left[:, len(v) :]
+        self.marks, self.sums = [], []
+        for mark in (_START, before):
+            c = tensor.place.get(mark)
+            self.sums.append(total if c is None else total + decay * later[:, c])
+            self.marks.append(None if c is None else (c, held @ v[c], decay ** length.astype(np.float32)))
+        # `held`: numbers of characters. `shift`: what `before` adds to the marks' sums.
+        c, self.shift, self.held = tensor.place.get(before), [np.zeros(len(v), np.float32)] * 2, held
         if c is not None:
-            fade = decay ** length.astype(np.float32)[:, None]
-            total = total + decay * later[:, c]
-            two = two + fade * (held @ v[c])
             later = later + last @ v[:, c, :].T
-            one, last = one.copy(), last.copy()
-            one[:, c] += fade[:, 0]
+            last, self.held = last.copy(), held.copy()
             last[:, c] += 1
-        if before:
-            last, later = decay * last, decay * later
-        self.total, self.one = total, one.sum(axis=1)
-        self.left = np.hstack([two, one])
-        self.ahead = self.left[:, len(v) :]
-        if before == _START:
-            return
+            self.held[:, c] += 1
+            self.shift = [v[mark[0], c] if mark else None for mark in self.marks]
+        # `most`: by the third character, the most that a unit's characters add as second; `widest`: by the first.
+        self.most = self.held @ np.maximum(v.max(axis=0), 0)
+        self.widest = self.held @ np.maximum(v.max(axis=2), 0).T
         self.right = np.hstack([last, later])
-        self.right *= decay
+        self.right *= decay ** (1 + len(before))
         self.third = self.right[:, : len(v)]
-        # `held`: numbers of characters. `most`: by the third character, the most that they add as second.
-        self.held, self.most = held, most
-        if c is not None:
-            self.held = held.copy()
-            self.held[:, c] += 1
-            self.most = most + np.maximum(v[:, c, :].max(axis=0), 0)
+        # For bounds without vectors: highest values, and sums of those that are not negative.
+        self.open, self.one = np.maximum(two.max(axis=1), 0), one.sum(axis=1)
+        self.thirds, self.top = self.third.sum(axis=1), self.most.max(axis=1)
+        self.close = np.maximum(self.right[:, len(v) :].max(axis=1), 0)
+
+
+class _Pairs:
+    """Sums of windows of a list of units, from bounds of the pairs of their units.
+
+    A pair is bounded by single numbers first. Where a window is still of interest, it is bounded by
+    vectors, then the part of the marks in front of its units is summed, and at last all is exact.
+    """
+
+    STEPS = 3
+
+    def __init__(self, v: np.ndarray, units: _Units, tail: np.ndarray, head: np.ndarray):
+        self.v, self.units, self.tail, self.head = v, units, tail, head
+        # Sums that start in a window's first unit; likewise, by its number of units, in a run of later ones.
+        self.opened = units.sums[0][tail]
+        self.inner = [self.opened[:0], units.sums[1][head]]
+        # Whether a step was done for the pair of a unit and the one at a distance.
+        self.done: dict[tuple[int, bool, int], np.ndarray] = {}
+        self.ends = np.cumsum(units.size[head])
+        self.fades = np.float32(DECAY) ** np.arange(4 * LONGEST, dtype=np.float32)
+        self.tops = self._added(units.top)
+        self.start, self.last = (units.open[tail], units.one[tail]), (units.thirds[head], units.close[head])
+        self.marks = []
+        for mark, shift in zip(units.marks, units.shift):
+            if mark:
+                high = np.maximum(mark[1].max(axis=1), 0)
+                between = self._added(high + max(0, shift.max()))
+                close = units.right[:, len(v) + mark[0]][head]
+                self.marks.append((mark[2][tail], high[tail], between, close))
+            else:
+                self.marks.append(None)
+
+    def _added(self, values: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(values[self.head], dtype=np.float64)])
+
+    def total(self, start: np.ndarray, many: int) -> np.ndarray:
+        """Sums, or bounds of them, of the windows of `many` units from `start` on."""
+        return self.opened[start] + sum(self.inner[many - k][start + k] for k in range(1, many))
+
+    def add(self, start: np.ndarray, last: np.ndarray) -> None:
+        """Bounds of the pairs of `start` and `last`, all at the next distance."""
+        fade = self.fades[self.ends[last - 1] - self.ends[start]]
+        thirds, close = (array[last] for array in self.last)
+        opened, one = (array[start] for array in self.start)
+        both = opened * thirds + one * (close + thirds * (self.tops[last] - self.tops[start + 1]))
+        self.inner.append(self.inner[-1].copy())
+        for mark, sums in zip(self.marks, (self.opened, self.inner[-1])):
+            if mark:
+                faded, high, between, close = mark
+                high = high[start] + (between[last] - between[start + 1])
+                sums[start] += fade * (both + faded[start] * (high * thirds + close[last]))
+            else:
+                sums[start] += fade * both
+
+    def refine(self, start: np.ndarray, gap: int, part: int, step: int) -> None:
+        """The next step for unit `part` and unit `part + gap` of the windows from `start` on."""
+        later = part > 0 and step == 1
+        if step == 1 and not self.marks[later] or step == 2 and gap == 1:
+            return
+        done = self.done.setdefault((step, later, gap), np.zeros(len(self.head), bool))
+        places = start + part
+        places = places[~done[places]]
+        done[places] = True
+        all_sums = [self.opened] if step == 1 and not later else self.inner[gap + 1 :]
+        all_sums = all_sums if step == 1 else [self.opened, *all_sums]
+        for at in range(0, len(places), _STARTS):
+            some = places[at : at + _STARTS]
+            a, b, between = self.tail[some], self.head[some + gap], [self.head[some + k] for k in range(1, gap)]
+            wrong = self._marked(a, b, between, later) if step == 1 else self._summed(a, b, between, step == 2)
+            wrong *= self.fades[self.ends[some + gap - 1] - self.ends[some]]
+            for sums in all_sums:
+                sums[some] += wrong
+
+    def _marked(self, a: np.ndarray, b: np.ndarray, between: list[np.ndarray], later: bool) -> np.ndarray:
+        """What the bound of a mark's sums is wrong by."""
+        (_, through, faded), shift = self.units.marks[later], self.units.shift[later]
+        sums, high = through[a], np.maximum(through[a].max(axis=1), 0)
+        for z in between:
+            sums += through[z] + shift
+            high += np.maximum(through[z].max(axis=1), 0) + max(0, shift.max())
+        return faded[a] * (np.einsum("ij,ij->i", sums, self.units.third[b]) - high * self.units.thirds[b])
+
+    def _summed(self, a: np.ndarray, b: np.ndarray, between: list[np.ndarray], exact: bool) -> np.ndarray:
+        """What bounds without vectors are wrong by against those with them, or these if `exact`."""
+        units, second = self.units, np.float32(0)
+        left, right, one, thirds = units.left[a], units.right[b], units.one[a], units.thirds[b]
+        ahead, third = left[:, len(self.v) :], right[:, : len(self.v)]
+        if between:
+            # The lesser of two bounds of subsequences with their second character between.
+            most = one * np.einsum("ij,ij->i", sum(units.most[z] for z in between), third)
+            widest = thirds * np.einsum("ij,ij->i", ahead, sum(units.widest[z] for z in between))
+            second = np.minimum(most, widest)
+        if not exact:
+            top = sum(units.top[z] for z in between)
+            bound = units.open[a] * thirds + one * (units.close[b] + thirds * top)
+            return second + np.einsum("ij,ij->i", left, right) - bound
+        held, wrong = sum(units.held[z] for z in between), -second
+        for c in range(held.shape[1]):
+            rows = np.flatnonzero(held[:, c])
+            wrong[rows] += held[rows, c] * np.einsum("ij,ij->i", ahead[rows] @ self.v[:, c, :], third[rows])
+        return wrong
 
 
 class Windows:
     """The highest value of a machine over all windows of texts.
 
     A window's sum is the sum over its units of their own sums, and over pairs of its units of the
-    subsequences that start in the one and end in the other. These are exact but for those with their
-    second character in a unit between, which have a bound; windows above their text's best by this
-    bound are summed exactly.
+    subsequences that start in the one and end in the other. Pairs are bounded first and summed more
+    exactly, nearest ones first, as long as the window may be above its text's best. Its kernel with
+    itself is at least that of as many unequal characters and what its units have above that.
     """
 
-    def __init__(self, landmarks: Landmarks, weights: np.ndarray, offset: float):
-        self.tensor, self.offset = landmarks.tensor(weights), offset
+    def __init__(self, landmarks: Landmarks, weights: np.ndarray, offset: float, keep: int = 0):
+        self.tensor, self.offset, self.keep = landmarks.tensor(weights), offset, keep
         self.v = self.tensor.v.astype(np.float32)
         # The kernel of a string of n characters with itself is least if no two are equal.
         spans = np.arange(3, 4 * LONGEST)
         least = np.cumsum(np.cumsum((spans - 2) * DECAY ** (2.0 * spans)))
-        self.least = np.sqrt(np.concatenate([np.full(3, np.inf), least]))
+        self.least = np.concatenate([np.full(3, np.inf), least])
+        # Strings known from earlier texts: row in the arrays, by string; number of calls that had it.
+        self._rows: dict[str, int] = {}
+        self._kept: list[np.ndarray] = []
+        self._uses = np.zeros(keep, np.int32)
+
+    def unit_bounds(self, units: list[str]) -> np.ndarray:
+        """Bounds of the values of units that are letters alone and not longer than LONGEST."""
+        (length, total, _, _, _, later, *_, excess), rows = self._known(units)
+        total, size = total[rows], length[rows] + 1
+        start = self.tensor.place.get(_START)
+        if start is not None:
+            total = total + np.float32(DECAY) * later[rows, start]
+        return np.maximum(total, 0) / np.sqrt(self.least[size] + excess[rows]) + self.offset + _SLACK
 
     def raised(self, values: list[str], codes: np.ndarray, text: np.ndarray, best: np.ndarray) -> dict[int, str]:
         """Raise each text's `best` to its highest window; the windows that did so, by text.
@@ -351,140 +467,159 @@ class Windows:
         found: dict[int, str] = {}
         if len(codes) < 2:
             return found
-        used, codes = np.unique(codes, return_inverse=True)
-        values = [values[k] for k in used.tolist()]
-        heads = [v[:LONGEST] for v in values]
-        tails = [v[-LONGEST:] for v in values]
-        letters = [[_letters(v) for v in some] for some in (tails, heads)]
-        at = {v: k for k, v in enumerate(dict.fromkeys(itertools.chain(tails, heads, *letters)))}
-        base = self._base(list(at))
-        first = _Side(self.tensor, base, _START)
+        used = np.flatnonzero(np.bincount(codes, minlength=len(values)))
+        place = np.zeros(len(values), np.int64)
+        place[used] = np.arange(len(used))
+        codes, values = place[codes], [values[k] for k in used.tolist()]
+        heads, tails = ([v[some] for v in values] for some in (slice(LONGEST), slice(-LONGEST, None)))
+        plain = np.array([len(v) <= LONGEST and v.isalpha() for v in values])
+        at = {values[k]: n for n, k in enumerate(np.flatnonzero(plain).tolist())}
+        # Places of tails and heads, and of their letters, which are all the same for most units.
+        places = np.zeros((4, len(values)), np.int64)
+        places[:, plain] = np.arange(len(at))
+        for k in np.flatnonzero(~plain).tolist():
+            ends = tails[k], heads[k]
+            places[:, k] = [at.setdefault(s, len(at)) for s in (*ends, *map(_letters, ends))]
+        kept, rows = self._known(list(at))
+        base = tuple(array[rows] for array in kept)
+        left = np.hstack([base[3], base[2]])
         sizes = np.fromiter(map(len, values), np.int64, len(values))[codes]
-        for form, (ends, before) in enumerate([((tails, heads), " "), (letters, "")]):
-            tail, head = (np.array([at[v] for v in some])[codes] for some in ends)
-            for start, many, bound in self._bounds(first, _Side(self.tensor, base, before), tail, head, sizes, text, best):
-                self._compare(start, many, bound, form, heads, tails, codes, text, best, found)
+        for form, before in ((1, ""), (0, " ")):
+            tail, head = places[2 * form : 2 * form + 2, codes]
+            units = _Units(self.tensor, base, left, before)
+            for start, many, total in self._totals(units, tail, head, sizes, text, best):
+                self._compare(start, many, total, form, heads, tails, codes, text, best, found)
         return found
 
-    def _base(self, strings: list[str]) -> tuple[np.ndarray, ...]:
-        length = np.fromiter(map(len, strings), np.int64, len(strings))
-        size = len(self.tensor.v)
-        found = [np.zeros((len(strings), size)[:k], np.float32) for k in (1, 2, 2, 2, 2, 2, 2)]
-        second = self.v.transpose(1, 0, 2).reshape(size, -1)
-        order = np.argsort(length, kind="stable")
-        for at in range(0, len(order), _TOGETHER * 4):
-            some = order[at : at + _TOGETHER * 4]
-            part = [strings[k] for k in some.tolist()]
-            sums = (*self.tensor.ending(part, np.float32), *self.tensor.starting(part))
-            most = np.maximum((sums[-1] @ second).reshape(-1, size, size).max(axis=1), 0)
-            for array, rows in zip(found, (*sums, most)):
-                array[some] = rows
-        return length, *found
-
-    def _bounds(self, first: _Side, other: _Side, tail: np.ndarray, head: np.ndarray, sizes: np.ndarray,
-                text: np.ndarray, best: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-        """Starts, number of units and bounds of the windows that may be above their text's best."""
-
-        def high(start: np.ndarray, many: int, total: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
-            bound = np.maximum(total, 0) / self.least[length] + self.offset + _SLACK
-            kept = np.flatnonzero(bound > best[text[start]])
-            return start[kept], many, bound[kept], total[kept], length[kept]
-
-        start = np.flatnonzero(text[:-1] == text[1:])
-        opened, inner = np.zeros(len(tail), np.float32), other.total[head]
-        for at in range(0, len(start), _STARTS):
-            some = start[at : at + _STARTS]
-            right = other.right[head[some + 1]]
-            opened[some] = first.total[tail[some]] + np.einsum("ij,ij->i", first.left[tail[some]], right)
-            inner[some] += np.einsum("ij,ij->i", other.left[head[some]], right)
-        own = other.total[head]
-        # opened: sums that start in the first unit; inner: likewise of a unit that is not the first.
-        # run: sums of all units from one that is not the first on, one unit less than the windows.
-        run, many = own, 2
-        length, wide = first.size[tail[start]] + other.size[head[start + 1]], sizes[start] + 1 + sizes[start + 1]
-        yield high(start, 2, opened[start] + own[start + 1], length)[:3]
-        ends = np.cumsum(other.size[head])
+    def _known(self, strings: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Arrays of what is known of strings, and the row of each; at most `keep` rows stay for later texts."""
+        if not strings or len(strings) > self.keep:
+            return self._sums(strings), np.arange(len(strings))
+        new = [s for s in strings if s not in self._rows]
+        if len(self._rows) + len(new) > self.keep:
+            self._forget(len(strings))
+            new = [s for s in strings if s not in self._rows]
+        if new:
+            sums, at = self._sums(new), len(self._rows)
+            self._kept = self._kept or [np.zeros((self.keep, *a.shape[1:]), a.dtype) for a in sums]
+            for array, rows in zip(self._kept, sums):
+                array[at : at + len(new)] = rows
+            self._rows.update(zip(new, range(at, at + len(new))))
+        rows = np.fromiter((self._rows[s] for s in strings), np.int64, len(strings))
+        self._uses[rows] += 1
+        return self._kept, rows
+
+    def _forget(self, many: int) -> None:
+        """Make room for `many` strings; those that came up more often stay if there is room for them too."""
+        often = np.flatnonzero(self._uses[: len(self._rows)] > 2)
+        often = often if len(often) + many <= self.keep else often[:0]
+        names = list(self._rows)
+        self._rows = {names[k]: n for n, k in enumerate(often.tolist())}
+        for array in self._kept:
+            array[: len(often)] = array[often]
+        self._uses[:] = 0
+
+    def _sums(self, strings: list[str]) -> list[np.ndarray]:
+        """Per string: length, what `_Units` takes of it, and its kernel with itself above the least.
+
+        Strings with the same beginning share its sums: one more character is added at a time.
+        """
+        v, size, count = self.v, len(self.v), len(strings)
+        length = np.fromiter(map(len, strings), np.int64, count)
+        # total; one, two: open subsequences of one character, of two by the third to come;
+        # last, later: characters as third, as second and third by the first; held: their numbers.
+        found = [np.zeros((count, size)[:k], np.float32) for k in (1, 2, 2, 2, 2, 2)]
+        codes = self.tensor.places(strings, max(1, int(length.max(initial=1))), False)
+        states = [np.zeros((1, size)[:k], np.float32) for k in (1, 2, 2, 2, 2, 2)]
+        node, rows, decay = np.zeros(count, np.int64), np.arange(count), np.float32(DECAY)
+        for t in range(codes.shape[1]):
+            rows = rows[length[rows] > t]
+            if not rows.size:
+                break
+            parents = len(states[0])
+            keys, node[rows] = np.unique((codes[rows, t] + 1) * parents + node[rows], return_inverse=True)
+            parent, code = keys % parents, keys // parents - 1
+            total, one, two, last, later, held = states = [state[parent] for state in states]
+            one *= decay
+            two *= decay
+            fade = np.float32(DECAY ** (t + 1))
+            cuts = np.searchsorted(code, np.arange(size + 1)).tolist()
+            for c, some in enumerate(map(slice, cuts, cuts[1:])):
+                if some.start < some.stop:
+                    total[some] += decay * two[some, c]
+                    two[some] += one[some] @ v[:, c, :]
+                    one[some, c] += 1
+                    later[some] += fade * (held[some] @ v[:, :, c].T)
+                    held[some, c] += 1
+                    last[some, c] += fade
+            ended = rows[length[rows] == t + 1]
+            for array, state in zip(found, states):
+                array[ended] = state[node[ended]]
+        del states
+        excess = np.maximum(_own(strings) - np.where(length < ORDER, 0, self.least[length]), 0)
+        return [length, *found, excess]
+
+    def _totals(self, units: _Units, tail: np.ndarray, head: np.ndarray, sizes: np.ndarray, text: np.ndarray,
+                best: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Starts, number of units and sums of the windows that may be above their text's best."""
+        # A kernel with itself is at least that of as many unequal characters and its units' excess.
+        excess = np.concatenate([[0], np.cumsum(units.excess[head])])
+        first, least = units.excess[tail] - excess[1:], self.least
+
+        def high(start: np.ndarray, many: int, length: np.ndarray) -> tuple[np.ndarray, ...]:
+            own = np.sqrt(least[length] + (first[start] + excess[start + many]))
+            total = pairs.total(start, many)
+            # Whatever is negative is bounded by 0.
+            missing = best[text[start]] - (self.offset + _SLACK)
+            kept = np.flatnonzero((total > missing * own) | (missing < 0))
+            return start[kept], total[kept], length[kept]
+
+        pairs = _Pairs(self.v, units, tail, head)
+        start, many, length, wide = np.arange(len(text)), 1, units.bare[tail] + 1, sizes
         while True:
             many += 1
             last = start + many - 1
             in_text = np.flatnonzero(last < len(text))
-            start, last, wide = start[in_text], last[in_text], wide[in_text]
-            length = length[in_text]
-            fits = np.flatnonzero((text[last] == text[start]) & (wide + 1 + sizes[last] <= LONGEST))
+            start, last, length, wide = start[in_text], last[in_text], length[in_text], wide[in_text]
+            wide = wide + 1 + sizes[last]
+            fits = np.flatnonzero((text[last] == text[start]) & ((wide <= LONGEST) | (many == 2)))
             if not fits.size:
                 return
-            start, last, wide, length = start[fits], last[fits], wide[fits] + 1 + sizes[last[fits]], length[fits]
-            # Sums of runs of many - 1 units, then those of windows that begin one unit earlier.
-            following = run.copy()
-            begin = np.flatnonzero(text[: len(text) - many + 2] == text[many - 2 :])
-            following[begin] = inner[begin] + run[begin + 1]
-            run = following
-            fade = np.float32(DECAY) ** (ends[last - 1] - ends[start]).astype(np.float32)
-            b = head[last]
-            before = np.maximum(start - 1, 0)
-            wider = (start > 0) & (text[before] == text[start]) & (wide + 1 + sizes[before] <= LONGEST)
-            for at in range(0, len(start), _STARTS):
-                some = slice(at, at + _STARTS)
-                right = other.right[b[some]]
-                between = sum(other.most[head[start[some] + k]] for k in range(1, many - 1))
-                third = np.einsum("ij,ij->i", between, right[:, : between.shape[1]])
-                # Inner sums serve windows that begin one unit earlier.
-                for sums, side, units, rows in ((opened, first, tail, slice(None)), (inner, other, head, wider[some])):
-                    at_start = start[some][rows]
-                    a = units[at_start]
-                    ends_there = np.einsum("ij,ij->i", side.left[a], right[rows])
-                    sums[at_start] += fade[some][rows] * (ends_there + side.one[a] * third[rows])
-            length = length + other.size[b]
-            some, _, _, total, size = high(start, many, opened[start] + run[start + 1], length)
+            start, last, wide = start[fits], last[fits], wide[fits]
+            length = length[fits] + units.size[head[last]]
+            pairs.add(start, last)
+            some, total, size = high(start, many, length)
+            for step in range(pairs.STEPS):
+                for gap in range(1, many):
+                    if some.size:
+                        for part in range(many - gap):
+                            pairs.refine(some, gap, part, step)
+                        some, total, size = high(some, many, size)
             if some.size:
-                total = total + self._surplus(first, other, tail, head, some, many)
-                yield high(some, many, total, size)[:3]
-
-    def _surplus(self, first: _Side, other: _Side, tail: np.ndarray, head: np.ndarray, start: np.ndarray,
-                 many: int) -> np.ndarray:
-        """What the bounds of second characters in units between are wrong by, for windows of `many` units."""
-        found = np.zeros(len(start), np.float32)
-        for p in range(many - 2):
-            side, units = (other, head) if p else (first, tail)
-            for q in range(p + 2, many):
-                places, which = np.unique(start + p, return_inverse=True)
-                parts = []
-                for at in range(0, len(places), _STARTS):
-                    some = places[at : at + _STARTS]
-                    a, b = units[some], head[some + q - p]
-                    between = [head[some + k] for k in range(1, q - p)]
-                    held, third, ahead = sum(other.held[z] for z in between), other.third[b], side.ahead[a]
-                    most = side.one[a] * np.einsum("ij,ij->i", sum(other.most[z] for z in between), third)
-                    exact = np.zeros(len(some), np.float32)
-                    for c in range(held.shape[1]):
-                        rows = np.flatnonzero(held[:, c])
-                        pairs = np.einsum("ij,ij->i", ahead[rows] @ self.v[:, c, :], third[rows])
-                        exact[rows] += held[rows, c] * pairs
-                    fade = np.float32(DECAY) ** sum(other.size[z] for z in between).astype(np.float32)
-                    parts.append(fade * (exact - most))
-                found += np.concatenate(parts)[which] if parts else 0
-        return found
+                yield some, many, total
 
-    def _compare(self, start, many, bound, form, heads, tails, codes, text, best, found) -> None:
+    def _compare(self, start, many, total, form, heads, tails, codes, text, best, found) -> None:
         """Compare windows in full, highest bounds first, as long as a bound is above the best."""
+        windows = [
+            " ".join([tails[codes[i]], *[heads[c] for c in codes[i + 1 : i + many].tolist()]]) for i in start.tolist()
+        ]
+        strings = [_START + (_letters(w) if form else w) for w in windows]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bound = np.where(total > 0, total / np.sqrt(_own(strings)), 0) + self.offset + _SLACK
         order = np.lexsort((start, -bound, text[start]))
-        start, bound = start[order], bound[order]
-        of, at_once = text[start], 1
-        while start.size:
+        order = order[bound[order] > best[text[start[order]]]]
+        of, bound, at_once = text[start[order]], bound[order], 1
+        while order.size:
             now = np.arange(len(of)) - np.searchsorted(of, of) < at_once
-            windows = [
-                " ".join([tails[codes[i]], *[heads[c] for c in codes[i + 1 : i + many].tolist()]])
-                for i in start[now].tolist()
-            ]
-            strings = [_START + (_letters(w) if form else w) for w in windows]
-            once = {s: k for k, s in enumerate(dict.fromkeys(strings))}
+            chosen = order[now].tolist()
+            once = {s: k for k, s in enumerate(dict.fromkeys(strings[i] for i in chosen))}
             scores = (self.tensor.values(list(once)) + self.offset).tolist()
-            for t, string, window in zip(of[now].tolist(), strings, windows):
-                if scores[once[string]] > best[t]:
-                    best[t] = scores[once[string]]
-                    found[t] = window
+            for t, i in zip(of[now].tolist(), chosen):
+                if scores[once[strings[i]]] > best[t]:
+                    best[t] = scores[once[strings[i]]]
+                    found[t] = windows[i]
             left = ~now & (bound > best[of])
-            start, bound, of = start[left], bound[left], of[left]
+            order, bound, of = order[left], bound[left], of[left]
             at_once *= 4
 
 
@@ -496,8 +631,8 @@ class Model:
     slope: float
     shift: float
 
-    def windows(self) -> Windows:
-        return Windows(self.landmarks, self.weights, self.offset)
+    def windows(self, keep: int = 0) -> Windows:
+        return Windows(self.landmarks, self.weights, self.offset, keep)
 
     def margins(self, units: list[str]) -> np.ndarray:
         """Highest margin of each unit's pieces."""
@@ -789,7 +924,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self._windows = model.windows() if model.landmarks else None
+        self._windows = model.windows(_KEPT) if model.landmarks else None
         self._known: dict[str, float] = {}
 
     def _margins(self, units: list[str]) -> list[float]:
@@ -816,20 +951,43 @@ class Scorer:
         words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(pc.fill_null(texts, ""))))
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = words.flatten().dictionary_encode()
-        values = [v.strip(_ROUND) for v in coded.dictionary.to_pylist()]
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        bare = [v.strip(_ROUND) for v in coded.dictionary.to_pylist()]
+        once = {v: k for k, v in enumerate(dict.fromkeys(bare))}
+        values = list(once)
+        unit = np.fromiter((once[v] for v in bare), np.int64, len(bare))
+        codes = unit[coded.indices.to_numpy(zero_copy_only=False)]
         best = np.full(len(texts), -np.inf)
         if len(codes):
-            margins = np.array(self._margins(values))[codes]
-            filled = np.flatnonzero(counts)
-            best[filled] = np.maximum.reduceat(margins, (np.cumsum(counts) - counts)[filled])
+            self._units(values, codes, counts, best)
             self._joined(values, codes, counts, best)
-            bare = np.array([bool(v) for v in values])[codes]
+            filled = np.array([bool(v) for v in values])[codes]
             text = np.repeat(np.arange(len(texts)), counts)
-            self._windows.raised(values, codes[bare], text[bare], best)
+            self._windows.raised(values, codes[filled], text[filled], best)
         # The last digits follow from what was summed together; equal texts have equal scores without.
         return self.model.probability(np.where(np.isfinite(best), best.round(_DIGITS), -10.0))
 
+    def _units(self, values: list[str], codes: np.ndarray, counts: np.ndarray, best: np.ndarray) -> None:
+        """Raise each text's `best` to its highest unit; only units whose bound is above it are scored."""
+        plain = np.array([len(v) <= LONGEST and v.isalpha() for v in values])
+        bound = np.full(len(values), np.inf)
+        places = np.flatnonzero(plain)
+        bound[places] = self._windows.unit_bounds([values[k] for k in places.tolist()])
+        bound[[not v for v in values]] = -np.inf
+        filled = np.flatnonzero(counts)
+        starts = (np.cumsum(counts) - counts)[filled]
+        margins = np.full(len(values), -np.inf)
+        # Units without a bound and each text's highest by its bound come first.
+        highest = np.zeros(len(counts))
+        highest[filled] = np.maximum.reduceat(np.where(plain, bound, -np.inf)[codes], starts)
+        of = np.repeat(highest, counts)
+        chosen = bound[codes] >= of
+        text = np.repeat(np.arange(len(counts)), counts)
+        for _ in range(2):
+            some = np.unique(codes[chosen])
+            margins[some] = self._margins([values[k] for k in some.tolist()])
+            best[filled] = np.maximum.reduceat(margins[codes], starts)
+            chosen = (bound[codes] > best[text]) & np.isneginf(margins[codes])
+
     def _joined(self, values: list[str], codes: np.ndarray, counts: np.ndarray, best: np.ndarray) -> None:
         """Runs of single characters, in the texts that have them."""
         single = np.array([len(v) == 1 for v in values], bool)[codes]

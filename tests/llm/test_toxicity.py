@@ -133,6 +133,45 @@ def test_bounds_leave_out_no_window(model):
         assert abs(scores.max() - best[0]) < 1e-9
 
 
+def odd_texts() -> list[str]:
+    texts = [t for _, t, _ in corpus(60)]
+    texts += ["a" * 30 + " st b-u p.id x y stu p! " + "id" * 14 + " q 123 é", "m o r o n", "i d iot sc-um l", "?! ...", ""]
+    return texts + ["you_are_a_really_complete_total_i*d*i*o*t", "an IDIOT's st-upid, sc um", "in s c u m er " + "mor" * 12 + " on"]
+
+
+def plain_score(model, text: str) -> float:
+    """From all pieces of all units and windows, without bounds."""
+    words = text.lower().split()
+    bare = [b for w in words if (b := w.strip(toxicity._ROUND))]
+    pieces = [p for u in [*toxicity.units_of(words), *toxicity.windows_of(bare)] for p in toxicity._pieces(u)]
+    best = model.landmarks.weighed(pieces, model.weights).max() + model.offset if pieces else -10.0
+    return float(model.probability(np.array([best]).round(toxicity._DIGITS))[0])
+
+
+def test_scores_are_those_of_all_units_and_windows(model, monkeypatch):
+    texts = odd_texts()
+    plain = [plain_score(model, t) for t in texts]
+    assert np.abs(scored(model, texts) - plain).max() < 1e-5
+    # Sums that are kept from text to text, forgotten when they are too many, or not kept at all.
+    for kept in (0, 60, 500, 2_000):
+        monkeypatch.setattr(toxicity, "_KEPT", kept)
+        scorer = toxicity.Scorer(model)
+        for _ in range(2):
+            found = [scorer.of_batch(pa.array([t], pa.large_string()))[0] for t in texts]
+            assert np.abs(np.array(found) - plain).max() < 1e-5
+        assert len(scorer._windows._rows) <= kept
+
+
+def test_few_units_and_windows_are_compared_in_full(model, monkeypatch):
+    """Bounds spare the others, also the units, which were all compared."""
+    compared, values = set(), toxicity._Tensor.values
+    monkeypatch.setattr(toxicity._Tensor, "values", lambda self, strings: compared.update(strings) or values(self, strings))
+    texts = [t for _, t, _ in corpus(200)]
+    scored(model, texts)
+    units = {w.strip(toxicity._ROUND) for t in texts for w in t.lower().split()}
+    assert len(compared) < len(units) / 2
+
+
 def test_letters_of_long_units_are_all_compared(model):
     unit = "you_are_a_really_complete_total_i*d*i*o*t"
     letters = "".join(filter(str.isalpha, unit))
