@@ -56,7 +56,7 @@ _START = "\x02"
 _AT_ONCE = 128
 _TOGETHER = 1_024
 _REMEMBERED = 300_000
-_KEPT = 150_000
+_KEPT = 100_000
 _SLICE_CHARS = 2_000_000
 # Digits of a text's margin that do not depend on the texts beside it.
 _DIGITS = 6
