@@ -489,6 +489,8 @@ class Windows:
             units = _Units(self.tensor, base, left, before)
             for start, many, total in self._totals(units, tail, head, sizes, text, best):
                 self._compare(start, many, total, form, heads, tails, codes, text, best, found)
+            # Not beside the next one's.
+            del units
         return found
 
     def _known(self, strings: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -499,12 +501,13 @@ class Windows:
         if len(self._rows) + len(new) > self.keep:
             self._forget(len(strings))
             new = [s for s in strings if s not in self._rows]
-        if new:
-            sums, at = self._sums(new), len(self._rows)
+        # A few at once, for the worker's memory.
+        for part in (new[k : k + _STARTS] for k in range(0, len(new), _STARTS)):
+            sums, at = self._sums(part), len(self._rows)
             self._kept = self._kept or [np.zeros((self.keep, *a.shape[1:]), a.dtype) for a in sums]
             for array, rows in zip(self._kept, sums):
-                array[at : at + len(new)] = rows
-            self._rows.update(zip(new, range(at, at + len(new))))
+                array[at : at + len(part)] = rows
+            self._rows.update(zip(part, range(at, at + len(part))))
         rows = np.fromiter((self._rows[s] for s in strings), np.int64, len(strings))
         self._uses[rows] += 1
         return self._kept, rows
