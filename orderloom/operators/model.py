@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import dates, money, parsing
-from orderloom.operators.numbering import dense_key
+from orderloom.operators import packed
+from orderloom.operators.numbering import dense_key, ordered_index
 from orderloom.schema import (
     AMOUNT,
     FACT_COLUMNS,
@@ -112,7 +113,7 @@ def build_fact(
 
     Names become integer keys first, then the lines are put in order and numbered, so the rows that
     are sorted and staged are narrow, and the fact is written in that order. Until then amounts travel
-    as their difference from their formula, nearly always zero, which compresses to next to nothing.
+    as their difference from their formula, nearly always zero, and lines are packed into words.
     The joins carry no hints: Spark broadcasts a dimension that is below its size threshold and
     otherwise sorts and merges, where adaptive execution splits a hot customer or product.
     """
@@ -127,14 +128,15 @@ def build_fact(
         *[_stored(name).alias(name) for name in FACT_COLUMNS[FACT_COLUMNS.index("unit_price") :]],
     )
     channels = dim_channel.withColumnRenamed("channel_name", "sales_channel")
-    keyed = (
-        _as_differences(narrow)
-        .join(channels, "sales_channel", "left")
-        .join(dim_product.select("product_id", "product_key"), "product_id", "left")
-        .join(dim_customer.select("customer_id", "customer_key"), "customer_id", "left")
-        .drop("sales_channel", "product_id", "customer_id")
+    lines = packed.pack(_as_differences(narrow).join(channels, "sales_channel", "left").drop("sales_channel"))
+    lines = packed.with_key(lines, dim_product, "product_id", "product_key")
+    lines = packed.with_key(lines, dim_customer, "customer_id", "customer_key")
+    # Orders sort as texts.
+    lines = lines.withColumn("transaction_id", packed.unpacked(lines, "transaction_id")).drop(
+        packed.number_of("transaction_id")
     )
-    numbered = dense_key(keyed, ["date_key", "transaction_id", "line_number"], "sales_key", "bigint")
+    order = [packed.unpacked(lines, "date_key"), F.col("transaction_id"), packed.unpacked(lines, "line_number")]
+    numbered = ordered_index(lines, order, "sales_key", finish=packed.unpack, compression="zstd")
     return _as_amounts(numbered).select(*FACT_COLUMNS)
 
 

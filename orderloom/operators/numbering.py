@@ -7,17 +7,21 @@ any size; `few_ranks` is for frames whose meaning bounds them, such as a top-ten
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.sources.staging import stage
+from orderloom.sources.staging import shuffles_dropped, stage
 
 # A group with more rows than this is numbered by many tasks; the numbers are the same.
 SPLIT_ROWS = 1_000_000
 
+# Rows are first counted per hash of their group, this many hashes.
+SIZE_BUCKETS = 1 << 16
+
 # Blocks of a ranked column at most; their borders are one array.
 MAX_BLOCKS = 4_096
 
@@ -37,20 +41,26 @@ class Rank:
 
 
 def ordered_index(
-    frame: DataFrame, order: list[Column], name: str, running: str | None = None
+    frame: DataFrame,
+    order: list[Column],
+    name: str,
+    running: str | None = None,
+    *,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    compression: str | None = None,
 ) -> DataFrame:
     """Add the 1-based position of every row in the total order.
 
     `order` should be unique per row so that no key, however frequent, fills one partition.
     With `running` the column's sum over all earlier rows is added as `running_before`.
+    `finish` gives the rows their last form once they are in order, before they are staged.
     """
-    slotted = (
-        frame.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-    )
+    frame = frame.repartitionByRange(*order).sortWithinPartitions(*order)
+    if finish:
+        frame = finish(frame)
+    slotted = frame.withColumn("_slot", F.monotonically_increasing_id())
     # The borders come from a sample, so both passes below must read the same written rows.
-    rows = stage(slotted, "ordered").withColumn("_block", F.shiftright("_slot", _ROW_BITS))
+    rows = stage(slotted, "ordered", compression).withColumn("_block", F.shiftright("_slot", _ROW_BITS))
     sizes = [F.count(F.lit(1)).alias("_rows")]
     if running:
         sizes.append(F.sum(running).alias("_sum"))
@@ -138,7 +148,9 @@ def _borders(frame: DataFrame, columns: list[str]) -> tuple[dict[str, list], dic
     blocks = max(2, min(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BLOCKS))
     shares = [i / blocks for i in range(1, blocks)]
     quantiles = [F.percentile_approx(c, shares, 50 * blocks) for c in columns]
-    found = frame.agg(*quantiles, *[F.count_if(F.col(c).isNull()) for c in columns]).first()
+    missing = [F.count_if(F.col(c).isNull()) for c in columns]
+    with shuffles_dropped(frame.sparkSession):
+        found = frame.agg(*quantiles, *missing).first()
     borders = {c: list(listed or []) for c, listed in zip(columns, found)}
     return borders, dict(zip(columns, found[len(columns) :]))
 
@@ -190,7 +202,9 @@ def _block_sums(values: dict[str, DataFrame]) -> dict[str, list]:
         for column, frame in values.items()
     ]
     found: dict[str, list] = {column: [] for column in values}
-    for row in reduce(DataFrame.unionByName, parts).collect():
+    with shuffles_dropped(parts[0].sparkSession):
+        rows = reduce(DataFrame.unionByName, parts).collect()
+    for row in rows:
         found[row["column"]].append(row)
     return {column: sorted(rows, key=lambda r: r["_block"]) for column, rows in found.items()}
 
@@ -282,7 +296,9 @@ def _middle(cents: DataFrame, bucket: Column, before: int = 0, rows: int | None
     begins = F.col("upto") - F.col("here")
     lower, upper = F.floor((F.col("rows") + 1) / 2), F.floor(F.col("rows") / 2) + 1
     chosen = counted.where((lower > begins) & (lower <= F.col("upto")) | (upper > begins) & (upper <= F.col("upto")))
-    return sorted(chosen.select("low", "high", begins.alias("before"), "rows").collect(), key=lambda r: r["low"])
+    with shuffles_dropped(cents.sparkSession):
+        rows_found = chosen.select("low", "high", begins.alias("before"), "rows").collect()
+    return sorted(rows_found, key=lambda r: r["low"])
 
 
 def top_rows(frame: DataFrame, order: list[Column], n: int) -> DataFrame:
@@ -301,14 +317,11 @@ def number_within(
     limit: int = SPLIT_ROWS,
 ) -> DataFrame:
     """ROW_NUMBER per group; groups above `limit` rows are sorted by many tasks."""
-    sizes = frame.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.where(F.col("_size") > limit).select(group)
     window = Window.partitionBy(group).orderBy(*order)
     numbered = F.row_number().over(window).cast("bigint")
-    if large.isEmpty():
+    large = _large_groups(frame, group, limit)
+    if large is None:
         return frame.withColumn(name, numbered)
-    # Spark broadcasts the list of large groups if it is small.
-    large = stage(large, "large-groups")
     usual = frame.join(large, group, "left_anti").withColumn(name, numbered)
     # Full copies tie in every column; the scan position spreads them over tasks as well.
     hot = frame.join(large, group, "left_semi").withColumn(
@@ -321,3 +334,22 @@ def number_within(
     )
     columns = [*frame.columns, name]
     return usual.select(*columns).unionByName(hot.select(*columns))
+
+
+def _large_groups(frame: DataFrame, group: str, limit: int) -> DataFrame | None:
+    """The groups above `limit` rows, none if there is no such group.
+
+    Counts per hash of the group are few. Groups are counted one by one only where their hash has more
+    rows than the limit. Spark broadcasts the staged lists if they are small.
+    """
+
+    def above(rows: DataFrame, by: str, label: str) -> DataFrame | None:
+        counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_size"))
+        found = stage(counts.where(F.col("_size") > limit).select(by), label)
+        return None if found.isEmpty() else found
+
+    hashed = frame.select(group, F.pmod(F.xxhash64(group), F.lit(SIZE_BUCKETS)).alias("_bucket"))
+    full = above(hashed, "_bucket", "large-hashes")
+    if full is None:
+        return None
+    return above(hashed.join(full, "_bucket", "left_semi"), group, "large-groups")

@@ -11,7 +11,7 @@ from orderloom.operators.validate import require_valid
 from orderloom.schema import Limits
 from orderloom.sources import warehouse_store
 from orderloom.sources.raw_csv import contract_errors, read_raw_sales
-from orderloom.sources.staging import stage
+from orderloom.sources.staging import shuffles_dropped, stage, temporary
 
 
 def load_raw(
@@ -19,10 +19,13 @@ def load_raw(
 ) -> Warehouse:
     """Validate raw lines, build the star schema and publish it.
 
-    Null and unresolved keys are among the checks that run before a version is published.
+    Null and unresolved keys are among the checks that run before a version is published. What the
+    load stages on its way goes when it ends.
     """
-    warehouse = build_warehouse(require_valid(raw))
-    return warehouse_store.publish(warehouse, root, rebuild=rebuild, limits=limits)
+    spark = raw.sparkSession
+    with shuffles_dropped(spark), temporary(spark):
+        warehouse = build_warehouse(require_valid(raw))
+        return warehouse_store.publish(warehouse, root, rebuild=rebuild, limits=limits)
 
 
 def load_csv(
@@ -34,7 +37,7 @@ def load_csv(
     own columns instead of parsing the text again.
     """
     with contract_errors():
-        landed = stage(read_raw_sales(spark, path), "landed")
+        landed = stage(read_raw_sales(spark, path), "landed", "zstd")
     published = load_raw(landed, root, rebuild=rebuild, limits=limits)
     return warehouse_store.row_counts(published)
 

@@ -27,11 +27,11 @@ class Lake:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return stage(testdata.raw_sales(self.spark, self.folder), "raw")
+        return stage(testdata.raw_sales(self.spark, self.folder), "raw", "zstd")
 
     @cached_property
     def dirty_raw(self) -> DataFrame:
-        return stage(testdata.dirty_raw_sales(self.spark, self.folder), "dirty-raw")
+        return stage(testdata.dirty_raw_sales(self.spark, self.folder), "dirty-raw", "zstd")
 
     @cached_property
     def root(self) -> str:
@@ -47,7 +47,10 @@ class Lake:
     def dirty(self) -> model.Warehouse:
         broken = testdata.dirty_warehouse(warehouse_store.without_partition_column(self.warehouse))
         return model.Warehouse(
-            **{name: stage(table, f"dirty-{name}") for name, table in broken.tables().items()}
+            **{
+                name: stage(table, f"dirty-{name}", "zstd" if name == "fact_sales" else None)
+                for name, table in broken.tables().items()
+            }
         )
 
     @cached_property

@@ -7,10 +7,16 @@ files outlive lost executors, and unlike a recomputed plan they keep partition b
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark deletes a query's shuffle files when the query ends if this is set, else when the driver
+# happens to collect garbage, which on large tables may be never.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # What to forget when the staged files go: holders of frames that read them.
 _on_release: list[Callable[[], None]] = []
 
@@ -26,11 +32,43 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(frame: DataFrame, name: str) -> DataFrame:
-    """Write the frame once and continue from the files."""
+# Paths staged inside `temporary`, None outside.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffle files as they end."""
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, so no frame that reads it may leave."""
+    paths: list[str] = []
+    token = _passing.set(paths)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def stage(frame: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write the frame once and continue from the files; by default in the session's compression."""
     spark = frame.sparkSession
     path = new_path(spark, name)
-    frame.write.parquet(path)
+    passing = _passing.get()
+    if passing is not None:
+        passing.append(path)
+    with shuffles_dropped(spark):
+        frame.write.parquet(path, compression=compression)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -41,22 +41,29 @@ def _order_lines(spark: SparkSession, folder: str, lines: DataFrame) -> DataFram
     """Lines with contract columns first and the source columns kept.
 
     Places meet the orders, of which there are fewer, so lines go through two exchanges, not three.
+    The handful of region names is joined last, and days travel as days.
     """
     places = (
         _table(spark, folder, "customer")
         .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "r_name")
+        .select("c_custkey", "n_regionkey")
     )
-    orders = _table(spark, folder, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"))
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        _table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
+    orders = (
+        _table(spark, folder, "orders")
+        .withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+        .join(places, F.col("o_custkey") == F.col("c_custkey"))
+    )
+    regions = F.broadcast(_table(spark, folder, "region"))
+    joined = (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return line_measures(
         joined.withColumns(
             {
                 "transaction_id": F.format_string("TXN%07d", "l_orderkey"),
-                "order_date": F.col("o_orderdate").cast("date"),
+                "order_date": F.col("o_orderdate"),
                 "customer_id": F.format_string("CUST%05d", "o_custkey"),
                 "product_id": F.format_string("PROD%05d", "p_partkey"),
                 "product_name": F.col("p_name"),
