@@ -89,7 +89,7 @@ def _doubtful_numbers(keys: DataFrame) -> DataFrame:
         F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("key"))).alias("numbers"),
     )
     doubtful = buckets.where(F.col("rows") > F.col("numbers")).select("number", "bucket")
-    return placed.join(doubtful, ["number", "bucket"], "left_semi")
+    return _if_any(placed, doubtful).join(doubtful, ["number", "bucket"], "left_semi")
 
 
 def _doubtful_orders(keys: DataFrame) -> DataFrame:
@@ -107,7 +107,12 @@ def _doubtful_orders(keys: DataFrame) -> DataFrame:
     )
     doubtful = orders.where((F.col("rows") > F.col("lines")) | (F.col("others") > 1)).select("text")
     known = doubtful.withColumnRenamed("text", "order")
-    return keys.join(known, F.col("text").eqNullSafe(F.col("order")), "left_semi")
+    return _if_any(keys, known).join(known, F.col("text").eqNullSafe(F.col("order")), "left_semi")
+
+
+def _if_any(keys: DataFrame, doubtful: DataFrame) -> DataFrame:
+    """The keys, or none of them if nothing is doubtful: then no key is sent to meet its bucket or order."""
+    return keys.where(doubtful.agg(F.count(F.lit(1)) > 0).scalar())
 
 
 def _rule(rules: dict) -> Column:
