@@ -29,7 +29,7 @@ from orderloom.schema import (
     Limits,
     WarehouseError,
 )
-from orderloom.sources.staging import delete_folder
+from orderloom.sources.staging import delete_folder, shuffles_dropped
 
 POINTER = "CURRENT"
 
@@ -84,7 +84,7 @@ def _write(warehouse: Warehouse, folder: str, limits: Limits = Limits()) -> tupl
             # Keys follow the calendar, so a task writes one or two years and keeps their order.
             rows = rows.withColumn(PARTITION_COLUMN, dates.key_year(F.col("date_key")))
             rows = rows.sortWithinPartitions(PARTITION_COLUMN, "sales_key")
-            rows.write.partitionBy(PARTITION_COLUMN).parquet(f"{folder}/{name}")
+            rows.write.partitionBy(PARTITION_COLUMN).parquet(f"{folder}/{name}", compression="zstd")
         else:
             rows.write.parquet(f"{folder}/{name}")
         failed += [f"{name}.{rule}" for rule, count in passed.get.items() if count]
@@ -152,10 +152,11 @@ def publish(
     spark = warehouse.spark
     folder = _new_folder(root)
     try:
-        version, failed = _write(warehouse, folder, limits)
-        if failed:
-            raise WarehouseError("warehouse checks failed: " + ", ".join(sorted(failed)))
-        return _check_and_switch(spark, root, version, rebuild)
+        with shuffles_dropped(spark):
+            version, failed = _write(warehouse, folder, limits)
+            if failed:
+                raise WarehouseError("warehouse checks failed: " + ", ".join(sorted(failed)))
+            return _check_and_switch(spark, root, version, rebuild)
     except Exception:
         delete_folder(spark, folder)
         raise
